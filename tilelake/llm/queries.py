@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash
+from . import bitpack, packing, simhash
 from .common import table
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitpack.read(bitpack.write(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
+    "op2_packing": op2_packing,
     "op5_simhash": op5_simhash,
+    "op8_bitpack": op8_bitpack,
 }
 
 ORACLE_SQL: dict[str, str] = {}
