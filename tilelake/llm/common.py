@@ -92,23 +92,25 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray, at_a_time: int = 1 << 21) -> np.ndarray:
     """64-bit hashes of words given by their bytes: sums of mixed (byte, place in the word), mixed with the length.
 
     Words of equal bytes have equal hashes wherever they stand.
     """
-    if not len(first):
-        return np.zeros(0, np.uint64)
-    n = last - first
-    idx = np.arange(len(data), dtype=np.int64)
-    of = np.zeros(len(data) + 1, np.int64)
-    of[first] = 1
-    word = np.cumsum(of[:-1]) - 1
-    place = (idx - first[np.maximum(word, 0)]).astype(np.uint64)
-    x = mixed((place << np.uint64(8)) | data)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(x, out=sums[1:])
-    return mixed(sums[last] - sums[first] + n.astype(np.uint64) * _BASE)
+    out = np.zeros(len(first), np.uint64)
+    lo = 0
+    while lo < len(first):
+        hi = max(lo + 1, int(np.searchsorted(last, first[lo] + at_a_time, "right")))
+        a, n = first[lo:hi] - first[lo], last[lo:hi] - first[lo:hi]
+        part = data[first[lo] : last[hi - 1]]
+        begin = np.zeros(len(part), np.int32)
+        begin[a[1:]] = np.diff(a)
+        place = np.arange(len(part), dtype=np.int32) - np.cumsum(begin, dtype=np.int32)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(mixed((place.astype(np.uint64) << np.uint64(8)) | part), out=sums[1:])
+        out[lo:hi] = mixed(sums[a + n] - sums[a] + n.astype(np.uint64) * _BASE)
+        lo = hi
+    return out
 
 
 def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
