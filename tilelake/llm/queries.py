@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitpack, decontaminate, packing, simhash
+from . import bitpack, ctw, decontaminate, packing, simhash
 from .common import table
 
 
+def op1_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ctw.scores(table(spark, sf_dir, "documents"), ~ctw.held_out("doc_id", 10, 0))
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -25,6 +30,7 @@ def op8_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ctw": op1_ctw,
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op5_simhash": op5_simhash,
