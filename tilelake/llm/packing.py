@@ -17,7 +17,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import stored
 from .tokens import Encoder, groups, tokenizer_path
@@ -87,7 +87,7 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     found = stored(pieces(docs, id_col, text_col, capacity, path), "pieces")
     shards = max(1, -(-found.count() // shard))
     dealt = found.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards)))
-    schema = found.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType([*found.schema, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def pack(t: pa.Table) -> pa.Table:
         bins, places = sum_of_squares(t.column("length").to_numpy(), capacity)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitpack, ctw, decontaminate, packing, simhash
+from . import bitpack, ctw, decontaminate, embeddings, packing, simhash
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read(bitpack.write(table(spark, sf_dir, "documents")))
 
@@ -34,6 +38,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op5_simhash": op5_simhash,
+    "op7_embeddings": op7_embeddings,
     "op8_bitpack": op8_bitpack,
 }
 
