@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitpack, ctw, decontaminate, embeddings, packing, simhash
+from . import bitpack, ctw, decontaminate, embeddings, packing, simhash, warc
 from .common import table
 
 
@@ -21,6 +21,19 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def capture_digests(captures: DataFrame) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of assembled captures."""
+    again = F.col("response.type") == "revisit"
+    return captures.select(
+        F.col("capture_id").cast("long").alias("page_id"), F.when(again, F.col("referred.payload_bytes")).otherwise(F.col("response.payload_bytes")).alias("payload_bytes"),
+        F.when(again, F.col("referred.payload_digest")).otherwise(F.col("response.payload_digest")).alias("payload_digest"), F.col("response.type").alias("record_type"), F.when(again, F.col("referred.capture_id").cast("long")).alias("refers_to"),
+    )
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capture_digests(warc.captures(spark, warc.write(table(spark, sf_dir, "pages"))))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,6 +50,7 @@ QUERIES = {
     "op1_ctw": op1_ctw,
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
+    "op4_warc": op4_warc,
     "op5_simhash": op5_simhash,
     "op7_embeddings": op7_embeddings,
     "op8_bitpack": op8_bitpack,
