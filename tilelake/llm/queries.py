@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitpack, ctw, decontaminate, embeddings, html, packing, simhash, warc
+from . import bitpack, ctw, decontaminate, embeddings, html, licenses, packing, simhash, warc
 from .common import table
 
 
@@ -46,6 +46,10 @@ def op8_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read(bitpack.write(table(spark, sf_dir, "documents")))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op7_embeddings": op7_embeddings,
     "op8_bitpack": op8_bitpack,
+    "op9_licenses": op9_licenses,
     "op10_html": op10_html,
 }
 
