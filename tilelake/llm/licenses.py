@@ -88,7 +88,7 @@ def examples(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> D
     own = templates(docs.sparkSession)
     spans = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - 4), F.lit(3)), lambda i: F.slice(F.col("words"), i, F.lit(12)))
     spans = own.select("family", F.explode(F.filter(spans, lambda s: F.size(s) >= 5)).alias("words"), F.lit(False).alias("whole"))
-    spans = own.select("family", F.explode(F.array_repeat(F.col("words"), 6)).alias("words"), F.lit(True).alias("whole")).union(spans)
+    spans = own.select("family", F.explode(F.array_repeat(F.col("words"), 20)).alias("words"), F.lit(True).alias("whole")).union(spans)
     backwards = spans.select(F.lit(UNKNOWN).alias("family"), F.reverse("words").alias("words"), "whole")
     picked = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null").orderBy(F.xxhash64("text"), "text").limit(sample)
     lines = picked.select(F.explode(F.split("text", "[\\r\\n]+")).alias("line")).select(words(F.col("line")).alias("words")).where("size(words) > 1")
@@ -107,7 +107,7 @@ def trained(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tu
     rows = examples(docs, text_col, sample).withColumn("label", of).cache()
     grams = templates(spark).select(pairs(F.col("words"), lambda a, b: F.concat_ws(" ", a, b)).alias("grams"))
     counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(grams)
-    learner = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-3, elasticNetParam=0.5, standardization=False)
+    learner = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-4, elasticNetParam=0.5, standardization=False)
     model = learner.fit(counter.transform(rows.where("not held")))
     margins = [float(b) for b in model.interceptVector]
     table = model.coefficientMatrix.toArray()
