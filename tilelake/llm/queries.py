@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitpack, ctw, decontaminate, embeddings, html, licenses, packing, simhash, warc
+from . import bitpack, ctw, decontaminate, embeddings, html, langid, licenses, packing, simhash, warc
 from .common import table
 
 
@@ -38,6 +38,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = ctw.held_out("doc_id", 3, 1)
+    found = langid.labelled(docs, langid.fit(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -60,6 +67,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_warc": op4_warc,
     "op5_simhash": op5_simhash,
+    "op6_langid": op6_langid,
     "op7_embeddings": op7_embeddings,
     "op8_bitpack": op8_bitpack,
     "op9_licenses": op9_licenses,
