@@ -92,19 +92,26 @@ def links(classes: DataFrame, bits: int = BITS, wide: bool = False) -> DataFrame
     return found.distinct() if wide else found
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """(id, fingerprint, component_id): one row per document, component_id the smallest id reachable over links."""
-    own = stored(fingerprints(docs, id_col, text_col), "simhash")
+def grouped(own: DataFrame, bits: int = BITS) -> DataFrame:
+    """(id, fp, component_id) from a stored table of (id, fp)."""
     classes = own.groupBy("fp").agg(F.min("id").alias("least"))
     wide = classes.count() > WIDE_FROM
     label = components(links(classes.select("fp"), bits, wide))
     classes = classes.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    classes = classes.join(least, "label").select("fp", "component_id")
-    return own.join(classes, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return own.join(classes.join(least, "label").select("fp", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """(id, fingerprint, component_id): one row per document, component_id the smallest id reachable over links."""
+    out = grouped(stored(fingerprints(docs, id_col, text_col), "simhash"), bits)
+    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
     """docs without all but one document of each group: the row with the smallest id stays; of rows that share it, one."""
-    least = near_duplicates(docs, id_col, text_col, bits).where(F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(least, docs[id_col].eqNullSafe(least["_keep"]), "left_semi").dropDuplicates([id_col])
+    own = stored(fingerprints(docs, id_col, text_col), "simhash")
+    least = grouped(own, bits).where(F.col("component_id").eqNullSafe(F.col("id"))).select(F.col("id").alias("_keep"))
+    kept = docs.join(least.distinct(), docs[id_col].eqNullSafe(F.col("_keep")), "left_semi")
+    repeated = own.groupBy("id").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates([id_col]) if repeated else kept
