@@ -2,43 +2,11 @@
 
 from __future__ import annotations
 
-import contextlib
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    It is the one named by ``spark.checkpoint.dir``. Only where that is unset, as in local tests, a temporary
-    folder of this machine is taken and set for the session.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="tilelake-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df once as Parquet in the shared folder and reads it back, which cuts lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def dropped(df: DataFrame) -> None:
-    """Deletes the files of a ``stored`` table that nothing reads any more."""
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        with contextlib.suppress(Exception):
-            path.getFileSystem(conf).delete(path, True)
+from ..operators.graph import components, shared_dir, stored  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +28,16 @@ def string_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
+def slices(col: pa.Array, most: int = 1 << 20):
+    """Row ranges of about ``most`` bytes of text or one row."""
+    off = string_bytes(col)[1]
+    lo = 0
+    while lo < len(off) - 1:
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + most, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
 def split_words(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of bytes that ``is_word`` (a table of 256 flags) accepts, never across texts.
 
@@ -121,40 +99,3 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     for i in range(k):
         out = mixed(out * _BASE + h[i : len(h) - k + 1 + i])
     return out
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Connected components of an edge table by alternating large-star and small-star steps.
-
-    Returns (node, label), label the smallest node of the component, for nodes that have an edge. Every step is a
-    grouped minimum and a join of rows, none gathers a component, and each round is kept in the shared folder.
-    """
-    e = stored(edges.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u")).where("u <> v").distinct(), "edges")
-    while True:
-        both = e.union(e.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("m").alias("v"), F.col("v").alias("u")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.select(F.col("m").alias("v"), F.col("v").alias("u")).union(joined.select(F.col("m").alias("v"), "u")).where("u <> v").distinct()
-        new = stored(small, "edges")
-        marks = [x.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first() for x in (e, new)]
-        dropped(e)
-        e = new
-        if marks[0] == marks[1]:
-            break
-    return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
-
-
-def batches(rows, most: int):
-    """Arrow batches joined until they hold ``most`` bytes or more."""
-    held, size = [], 0
-    for b in rows:
-        if b.num_rows:
-            held.append(b)
-            size += b.nbytes
-        if size >= most:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()

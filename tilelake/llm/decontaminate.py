@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import gram_hashes, lower_table, split_words, string_bytes, text_mb, word_hashes
+from .common import gram_hashes, lower_table, slices, split_words, string_bytes, text_mb, word_hashes
 
 K, WINDOW, BLOCK_MB = 5, 10, 32
 IS_WORD = np.zeros(256, bool)
@@ -150,16 +150,6 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
         yield n, Benchmark([r.id for r in rows], [r.text for r in rows])
 
 
-def slices(col, most: int = 1 << 20):
-    """Row ranges of about ``most`` bytes of text or one row."""
-    off = string_bytes(col)[1]
-    lo = 0
-    while lo < len(off) - 1:
-        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + most, "right")) - 1)
-        yield lo, hi
-        lo = hi
-
-
 def find(docs: DataFrame, block, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text_hash, n_words, first, end, items) of every document against one broadcast block of the benchmark."""
     kind = docs.schema[id_col].dataType.simpleString()
