@@ -2,7 +2,8 @@
 
 Writing stays in built-in functions: the payloads' SHA-1 digests are grouped to find the response of equal payloads,
 each capture's three records become one text, and Spark's text sink writes them with the record terminator as line
-separator, so any file system that Spark knows will do and lost tasks are repeated by Spark. Reading takes whole files
+separator, so any file system that Spark knows will do and lost tasks are repeated by Spark; a file is gzipped whole
+unless told otherwise. Reading takes whole files
 (bounded by ``FILE_MB``, or one capture), walks their records by Content-Length, and assembles transactions: records
 meet under the identifier that WARC-Concurrent-To names; revisits are joined to the response that they refer to.
 
@@ -14,13 +15,14 @@ are captures of their own, all of the same type; an empty table writes no record
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import shared_dir
+from .common import shared_dir, stored
 
 FILE_MB = 8
 END = "\r\n\r\n"
@@ -57,7 +59,7 @@ def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     return joined.select("id", "url", "html", "digest", F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
 
-def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", file_mb: float = FILE_MB) -> str:
+def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", file_mb: float = FILE_MB, compression: str = "gzip") -> str:
     """Writes three records a page and returns the folder, by default one in spark.checkpoint.dir."""
     folder = folder or f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     size = pages.agg(F.avg(F.octet_length(html_col)).alias("mean")).first().mean or 0
@@ -73,7 +75,7 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
     request = record("request", [("WARC-Record-ID", urn(F.col("id"), F.col("digest"), F.lit("request"))), ("WARC-Concurrent-To", own), *common], "application/http; msgtype=request", get)
     metadata = record("metadata", [("WARC-Record-ID", urn(F.col("id"), F.col("digest"), F.lit("metadata"))), ("WARC-Concurrent-To", own), *common], "application/warc-fields", F.concat(F.lit("capture-id: "), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("\r\n")))
     text = rows.select(F.concat(request, F.lit(END), response, F.lit(END), metadata).alias("value"))
-    text.write.option("lineSep", END).option("maxRecordsPerFile", max(1, int(file_mb * 1e6 / (size + 1500)))).text(folder)
+    text.write.option("lineSep", END).option("compression", compression).option("maxRecordsPerFile", max(1, int(file_mb * 1e6 / (size + 1500)))).text(folder)
     return folder
 
 
@@ -101,7 +103,8 @@ def read(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFra
         for b in rows:
             for data in b.column(0):
                 out = []
-                for head, block in parsed(data.as_py()):
+                whole = data.as_py()
+                for head, block in parsed(gzip.decompress(whole) if whole[:2] == b"\x1f\x8b" else whole):
                     r = {"type": head["warc-type"], "record_id": head["warc-record-id"], "concurrent_to": head.get("warc-concurrent-to"), "refers_to": head.get("warc-refers-to"), "target_uri": head.get("warc-target-uri"), "date": head.get("warc-date"), "digest": head.get("warc-payload-digest")}
                     if head.get("content-type", "").startswith("application/http"):
                         http, _, payload = block.partition(b"\r\n\r\n")
@@ -129,5 +132,6 @@ def transactions(records: DataFrame) -> DataFrame:
 def captures(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFrame:
     """Transactions with capture_id from their metadata, and of revisits the response that they refer to."""
     done = transactions(read(spark, folder, with_payload)).withColumn("capture_id", F.nullif(F.element_at(F.col("metadata")[0]["fields"], "capture-id"), F.lit("")))
+    done = done if with_payload else stored(done, "captures")  # small rows, so that archives are read once
     responses = done.where("response.type = 'response'").groupBy(F.col("capture").alias("r_capture")).agg(F.first("capture_id").alias("r_id"), F.first("response.payload_bytes").alias("r_bytes"), F.first("response.payload_digest").alias("r_digest"))
     return done.join(responses, F.col("response.refers_to") == F.col("r_capture"), "left").select("*", F.when(F.col("r_capture").isNotNull(), F.struct(F.col("r_id").alias("capture_id"), F.col("r_bytes").alias("payload_bytes"), F.col("r_digest").alias("payload_digest"))).alias("referred")).drop("r_capture", "r_id", "r_bytes", "r_digest")
