@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from tilelake.llm import bitpack, packing
+from tilelake.llm import bitpack, packing, tokens
 from tilelake.llm.tokens import Encoder, tokenizer_path
 
 ODD = ["", None, "a", " \n\n x  y\t\n", "don't 've''s", "Öl äß 東京 123  x", "<|endoftext|> x", "é \U0001f600\U0001f600", "x" * 5000, " " * 300 + "y", "a\r\n\r\nb   \n  c"]
@@ -28,15 +28,48 @@ def test_encoder_equals_the_library(texts):
     assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == want
 
 
-def test_encoder_on_long_texts(monkeypatch):
-    import tilelake.llm.tokens as tokens
+def test_encoder_on_every_latin_character():
+    rng = np.random.default_rng(0)
+    texts = ["".join(map(chr, rng.integers(0, 256, 40))) for _ in range(400)] + [f"a{chr(c)}{chr(d)} b" for c in range(256) for d in (32, 39, 133, 160, 28, 65)]
+    ids, off = Encoder(tokenizer_path())(texts)
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == [e.ids + [0] for e in plain().encode_batch(texts, add_special_tokens=False)]
+
+
+def test_pieces_against_the_pattern():
+    import public_tokenizers
+    import regex
+
+    rng = np.random.default_rng(5)
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    few = "ab1'  \n\t.!srevmltd\xa0é"
+    texts = ["".join(rng.choice(list(few), rng.integers(0, 12))) for _ in range(5000)] + ["'s", "x's", " 's", "'street", "'ll've", "''d", "\n's", "a'", "'r", "'re"]
+    raw = [t.encode("latin-1") for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(t) for t in raw])])
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    first = tokens.piece_starts(data, off)
+    want = [int(o) + m.start() for t, o in zip(texts, off) for m in pattern.finditer(t)]
+    assert first.tolist() == want
+    size = np.diff(first, append=len(data))
+    codes, one = tokens.same_pieces(data, first, size)
+    pieces = [bytes(data[a : a + z]) for a, z in zip(first, size)]
+    assert [pieces[one[c]] for c in codes] == pieces and len(set(pieces)) == len(one)
 
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(tokens, "mixed", lambda x: x & np.uint64(7))
+    text = " ".join(f"w{i}" + "y" * (i % 50) for i in range(300))
+    assert Encoder(tokenizer_path())([text])[0].tolist() == plain().encode(text, add_special_tokens=False).ids + [0]
+
+
+def test_encoder_on_long_texts(monkeypatch):
     monkeypatch.setattr(tokens, "AT_A_TIME", 50)
     monkeypatch.setattr(tokens, "KEEP", 60)
-    text = " ".join(f"word{i % 97} x{i}" for i in range(500))
-    ids, off = Encoder(tokenizer_path())([text, "a b", text])
-    one = plain().encode(text, add_special_tokens=False).ids + [0]
-    assert ids[off[0] : off[1]].tolist() == one and ids[off[2] : off[3]].tolist() == one
+    monkeypatch.setattr(tokens.split_safely, "__defaults__", (100,))
+    for odd in ("", "\u4e00"):
+        text = odd + " ".join(f"word{i % 97} x{i}\n\n" for i in range(500)) + "z" * 500
+        ids, off = Encoder(tokenizer_path())([text, "a b", text])
+        one = plain().encode(text, add_special_tokens=False).ids + [0]
+        assert ids[off[0] : off[1]].tolist() == one and ids[off[2] : off[3]].tolist() == one
 
 
 @pytest.mark.parametrize("width", [1, 7, 8, 13, 16, 17, 32])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import shared_dir, stored, text_mb
-from .tokens import Encoder, groups, tokenizer_path
+from .tokens import encoder, groups, tokenizer_path
 
 MAGIC, HEAD, NULL = b"TLBITS01", "<8sIIQQQ", np.iinfo(np.int64).min
 BLOCK = 1 << 16
@@ -130,7 +130,7 @@ def write(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id", te
     def run(rows):
         from pyspark import TaskContext
 
-        encode = Encoder(path)
+        encode = encoder(path)
         out = Writer(width_of(encode.vocab))
         for b in rows:
             doc_ids, texts = b.column(0).fill_null(int(NULL)).to_numpy(), b.column(1).to_pylist()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import stored
-from .tokens import Encoder, groups, tokenizer_path
+from .tokens import encoder, groups, tokenizer_path
 
 CAPACITY, SHARD = 2048, 50_000
 
@@ -65,7 +65,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(rows):
-        encode = Encoder(path)
+        encode = encoder(path)
         for b in rows:
             texts = b.column(1).to_pylist()
             for lo, hi in groups(texts):
