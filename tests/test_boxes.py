@@ -1,0 +1,216 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tilelake.functions import boxes, rings
+from tilelake.operators import filters, merge, regions, report, spatial, suppress, tiling
+from tilelake.schemas import DETECTIONS, MODELS, REGIONS, checked_models, rectangle
+
+SCHEMA = "det_id long, slide_id long, class_name string, x1 double, y1 double, x2 double, y2 double, conf double"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def iou(a, b):
+    w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+    i = max(0, w) * max(0, h)
+    u = (a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - i
+    return i / u if u > 0 else 0.0
+
+
+def random_boxes(seed, n, side=200.0):
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        x, y = rng.uniform(-side, side), rng.uniform(-side, side)
+        out.append((i, rng.randrange(2), rng.choice(["lp", "mild"]), x, y, x + rng.uniform(5, 60), y + rng.uniform(5, 60), rng.choice([0.5, 0.7, rng.random()])))
+    return out
+
+
+def greedy(rows, threshold):
+    kept = []
+    for r in sorted(rows, key=lambda r: (-r[7], r[0])):
+        if all((r[1], r[2]) != (k[1], k[2]) or iou(r[3:7], k[3:7]) <= threshold for k in kept):
+            kept.append(r)
+    return {k[0] for k in kept}
+
+
+@pytest.mark.parametrize("threshold", [0.1, 0.5])
+def test_suppression_against_greedy(spark, threshold):
+    rows = random_boxes(1, 250)
+    for parts in (1, 5):
+        df = frame(spark, rows).repartition(parts)
+        assert {r.det_id for r in suppress.suppressed(df, threshold, size=50).collect()} == greedy(rows, threshold)
+
+
+def test_suppression_fixture(spark):
+    rows = [(0, 0, "lp", 100.0, 100.0, 200.0, 200.0, 0.9), (1, 0, "lp", 105.0, 105.0, 195.0, 195.0, 0.8), (2, 0, "lp", 300.0, 300.0, 400.0, 400.0, 0.7), (3, 1, "lp", 105.0, 105.0, 195.0, 195.0, 0.1)]
+    df = frame(spark, rows)
+    assert {r.det_id for r in suppress.suppressed(df, 0.7).collect()} == {0, 2, 3}
+    assert suppress.suppressed(df, 0.85).count() == 4
+    assert suppress.suppressed(df.limit(0)).count() == 0
+
+
+def grown(rows, threshold):
+    kept = []
+    for r in sorted(rows, key=lambda r: (-r[7], r[0])):
+        for k in kept:
+            if k[:2] == [r[1], r[2]] and iou(k[3:7], r[3:7]) > threshold:
+                k[3:7] = [min(k[3], r[3]), min(k[4], r[4]), max(k[5], r[5]), max(k[6], r[6])]
+                k[8] += 1
+                break
+        else:
+            kept.append([r[1], r[2], r[0], *r[3:7], r[7], 1])
+    return sorted(tuple(k) for k in kept)
+
+
+def test_merging_against_one_pass(spark):
+    rows = random_boxes(3, 200)
+    got = suppress.merged_boxes(frame(spark, rows), 0.15).collect()
+    assert sorted(tuple(r) for r in got) == grown(rows, 0.15)
+    rows = [(0, 0, "a", 0.0, 0.0, 10.0, 10.0, 0.9), (1, 0, "a", 1.0, 0.0, 11.0, 10.0, 0.8), (2, 0, "a", 2.0, 0.0, 12.0, 10.0, 0.7), (3, 0, "a", 50.0, 0.0, 60.0, 10.0, 0.1)]
+    assert sorted((r.x1, r.x2, r.conf) for r in suppress.merged_boxes(frame(spark, rows), 0.5).collect()) == [(0, 12, 0.9), (50, 60, 0.1)]
+
+
+def test_pairs_against_all(spark):
+    rows = random_boxes(5, 150)
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and (a[1], a[2]) == (b[1], b[2]) and iou(a[3:7], b[3:7]) > 0.05}
+    for size in (10, 64, 1000):
+        got = [(r.a, r.b) for r in spatial.iou_pairs(frame(spark, rows), 0.05, size=size).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_touching_and_flat_boxes(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 10.0, 10.0, 10.0, 0.0, 20.0, 10.0), (0.0, 0.0, 0.0, 5.0, 0.0, 0.0, 0.0, 5.0)], "a_x1 double, a_y1 double, a_x2 double, a_y2 double, b_x1 double, b_y1 double, b_x2 double, b_y2 double")
+    rows = df.select(boxes.intersection("a_", "b_").alias("i"), boxes.intersects("a_", "b_").alias("t"), boxes.iou("a_", "b_").alias("u")).collect()
+    assert [(r.i, r.t, r.u) for r in rows] == [(0, False, 0), (0, False, 0)]
+
+
+def test_grid_edges(spark):
+    slides = spark.createDataFrame([(0, 511, 2000), (1, 512, 512), (2, 1100, 513), (3, 0, 0)], "slide_id long, width long, height long")
+    assert sorted(tuple(r) for r in tiling.grid(slides, 512, 0.5).collect()) == [(1, 0, 0, 512), (2, 0, 0, 512), (2, 256, 0, 512), (2, 512, 0, 512)]
+    assert [r.n for r in slides.select(tiling.tile_count(512, 0.5).alias("n")).collect()] == [0, 1, 3, 0]
+    big = spark.createDataFrame([(0, 136192, 77312)], "slide_id long, width long, height long")
+    assert tiling.grid(big).count() == 40166 and tiling.grid(big, 512, 0.5).count() == 159831
+    region = spark.createDataFrame([(0, 100, 100, 1700, 1200)], "slide_id long, x_min long, y_min long, x_max long, y_max long")
+    assert sorted((r.x, r.y) for r in tiling.grid(big, regions=region).collect()) == [(512, 512), (1024, 512)]
+    assert [r.patch_id for r in tiling.first_tiles(tiling.grid(big), 3).orderBy("patch_id").collect()] == [0, 1, 2]
+    with pytest.raises(ValueError):
+        tiling.step_of(512, 1.0)
+
+
+def test_filters(spark):
+    rows = [(0, 0, "lp", 0.0, 0.0, 20.0, 20.0, 0.5), (1, 0, "Background", 0.0, 0.0, 19.9, 50.0, 0.5), (2, 0, "excl", 600.0, 0.0, 700.0, 600.0, 0.5), (3, 0, "excl", 5.0, 5.0, 40.0, 40.0, 0.9), (4, 1, "excl", 5.0, 5.0, 15.0, 15.0, 0.9)]
+    df = frame(spark, rows)
+    ids = lambda d: [r.det_id for r in d.orderBy("det_id").collect()]
+    assert ids(df.where(filters.large_enough())) == [0, 2, 3]
+    assert ids(df.where(filters.area_band())) == [0, 1, 3, 4]
+    assert ids(filters.cells_beyond(df)) == [0, 1, 3]
+    assert ids(df.where(filters.not_background())) == [0, 2, 3, 4]
+    short = spark.createDataFrame([(0, "lp", None), (1, "lp", []), (2, "lp", [1]), (3, "lp", list(range(7))), (4, "lp", list(range(8))), (5, "mild", [1])], "det_id int, class_name string, polygon array<int>")
+    assert ids(short.where(filters.not_short())) == [0, 1, 4, 5]
+
+
+def test_models_are_checked(spark):
+    good = spark.createDataFrame([("m", 512, 0.5)], MODELS)
+    assert checked_models(good) is good
+    for bad in (("m", 0, 0.5), ("m", 512, 1.5), ("m", 512, None)):
+        with pytest.raises(ValueError):
+            checked_models(spark.createDataFrame([bad], MODELS))
+
+
+def test_rings(spark):
+    square = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
+    fine = [(float(i), 0.0) for i in range(10)] + [(10.0, float(i)) for i in range(10)] + [(10.0 - i, 10.0) for i in range(10)] + [(0.0, 10.0 - i) for i in range(10)]
+    df = spark.createDataFrame([(0, square), (1, fine), (2, [])], "id int, p array<struct<x:double,y:double>>")
+    rows = df.select("id", rings.area(F.col("p")).alias("a"), rings.perimeter(F.col("p")).alias("l"), rings.key_points(F.col("p")).alias("k"), rings.metrics(F.col("p")).alias("m")).orderBy("id").collect()
+    assert [(r.a, r.l) for r in rows[:2]] == [(100, 40)] * 2 and rows[2].a in (0, None)
+    assert [(p.x, p.y) for p in rows[1].k] == [(0, 0), (10, 0), (10, 10), (0, 10), (0, 1)]
+    assert rows[0].m.is_simple and math.isclose(rows[0].m.compactness, math.pi / 4) and not rows[1].m.is_simple
+
+
+REGIONS_ROWS = [(0, i, i + 1, f"r{i + 1}", *b, b[2] - b[0], b[3] - b[1]) for i, b in enumerate([(931, 2127, 20149, 22601), (399, 57701, 19418, 76780), (59584, 0, 79600, 19278), (57456, 54776, 77605, 73855), (116242, 0, 136125, 19477), (114978, 54776, 135460, 74918)])]
+
+
+def test_regions(spark):
+    df = spark.createDataFrame(REGIONS_ROWS, REGIONS)
+    numbered = regions.renumbered(df).orderBy("grid_id").collect()
+    assert [(r.grid_id, r.id) for r in numbered] == [(i, i) for i in range(1, 7)]
+    assert [r.grid_position for r in numbered] == ["(1, 1)", "(1, 2)", "(1, 3)", "(2, 1)", "(2, 2)", "(2, 3)"]
+    points = spark.createDataFrame([(0, 0, 50000.0, 50000.0), (1, 0, 60000.0, 30000.0), (2, 0, 10000.0, 10000.0), (3, 1, 10000.0, 10000.0), (4, 0, 20149.0, 22601.0)], "p int, slide_id long, x double, y double")
+    found = spatial.in_regions(points, df, "p").orderBy("p").collect()
+    assert [r.r_id for r in found] == [None, None, 1, None, 1]
+    assert spatial.in_regions(points, df, "p", closed=False).where("p = 4").first().r_id is None
+    assert regions.recommendations(df).first().time_reduction == 83.3
+    assert regions.statistics(df.limit(0)).count() == 0
+
+
+def test_statistics(spark):
+    rows = [(0, 0, "lp", 0.0, 0.0, 10.0, 10.0, 0.5), (1, 0, "lp", 0.0, 0.0, 20.0, 10.0, 1.0), (2, 1, "mild", 0.0, 0.0, 5.0, 5.0, 0.25)]
+    df = frame(spark, rows)
+    slides = spark.createDataFrame([(0,), (1,), (2,)], "slide_id long")
+    got = {r.slide_id: (r.total, r.average_confidence, r.by_class) for r in report.slide_statistics(df, slides).collect()}
+    assert got == {0: (2, 0.75, {"lp": 2}), 1: (1, 0.25, {"mild": 1}), 2: (0, None, None)}
+    bins = {(r.class_name, r.bin): r.n for r in report.histogram(df, F.col("conf")).collect()}
+    assert bins == {("lp", 0): 1, ("lp", 19): 1, ("mild", 0): 1}
+    stats = {r.class_name: (r.original, r.filtered, r.removed, r.ratio) for r in report.filter_statistics(df, df.where("det_id = 0")).collect()}
+    assert stats == {"lp": (2, 1, 1, 0.5), "mild": (1, 0, 1, 1.0)}
+    paths = spark.createDataFrame([("/a/b.c/slide.x.tiff",), ("plain",)], "path string")
+    assert [r.s for r in paths.select(report.stem().alias("s")).collect()] == ["slide.x", "plain"]
+
+
+def rect(x1, y1, x2, y2):
+    return [(float(x1), float(y1)), (float(x2), float(y1)), (float(x2), float(y2)), (float(x1), float(y2))]
+
+
+def polygons(spark, rows):
+    """(class, box, conf, polygon) rows of slide 0."""
+    return spark.createDataFrame([(i, 0, c, *map(float, b), conf, p) for i, (c, b, conf, p) in enumerate(rows)], DETECTIONS)
+
+
+def test_union_cases(spark):
+    case = lambda rows, **kw: sorted((r.class_name, r.x1, r.y1, r.x2, r.y2, round(r.conf, 3), len(r.polygon or [])) for r in merge.united(polygons(spark, rows), **kw).collect())
+    a, b = ("lp", (0, 0, 10, 10), 0.5, rect(0, 0, 10, 10)), ("lp", (5, 5, 15, 15), 0.6, rect(5, 5, 15, 15))
+    assert case([a, b]) == [("lp", 0, 0, 15, 15, 0.8, 8)]
+    assert case([a, b], conf="max") == [("lp", 0, 0, 15, 15, 0.6, 8)]
+    assert len(case([a, ("lp", (10, 0, 20, 10), 0.5, rect(10, 0, 20, 10))])) == 1
+    assert len(case([a, ("lp", (10, 10, 20, 20), 0.5, rect(10, 10, 20, 20))])) == 2
+    assert case([("lp", (0, 0, 3, 3), 0.4, None)]) == [("lp", 0, 0, 3, 3, 0.4, 0)]
+    assert case([a, ("lp", (50, 50, 60, 60), 0.9, None)]) == [("lp", 0, 0, 10, 10, 0.8, 4)]
+    assert len(case([a, b], least=1000)) == 2
+    frame_ = [("lp", (0, 0, 30, 5), 1.0, rect(0, 0, 30, 5)), ("lp", (0, 25, 30, 30), 1.0, rect(0, 25, 30, 30)), ("lp", (0, 0, 5, 30), 1.0, rect(0, 0, 5, 30)), ("lp", (25, 0, 30, 30), 1.0, rect(25, 0, 30, 30))]
+    assert case(frame_, least=500) == [("lp", 0, 0, 30, 30, 0.8, 4)] and len(case(frame_, least=501)) == 4
+
+
+def test_improved_merger_fixture(spark):
+    bad = [(100.0, 100.0), (200.0, 100.0), (200.0, 200.0), (100.0, 200.0), (120.0, 120.0), (180.0, 120.0), (180.0, 180.0), (120.0, 180.0)]
+    rows = [("lp", (100, 100, 200, 200), 0.85, bad), ("lp", (150, 150, 250, 250), 0.9, [(x + 50, y + 50) for x, y in bad])]
+    rows += [("background", (300, 300, 400, 400), 0.95, rect(300, 300, 400, 400)), ("lp", (500, 500, 600, 600), 0.75, rect(500, 500, 600, 600)), ("lp", (700, 700, 800, 800), 0.7, rect(700, 700, 800, 800)[:3])]
+    rows += [("lp", (900, 900, 1100, 1100), 0.88, rect(900, 900, 1100, 1100)), ("lp", (950, 950, 1050, 1050), 0.82, rect(950, 950, 1050, 1050)), ("mild", (1200, 1200, 1300, 1300), 0.8, rect(1200, 1200, 1300, 1300)), ("moderate", (1400, 1400, 1500, 1500), 0.85, rect(1400, 1400, 1500, 1500))]
+    df = polygons(spark, rows)
+    assert sorted(r.det_id for r in merge.merged(df, improved=True).collect()) == [0, 1, 7, 8]
+    assert [r.det_id for r in merge.without_nested(df.where("det_id in (5, 6)")).collect()] == [5]
+    out = report.filter_statistics(df, merge.merged(df, improved=True)).agg(F.sum("removed").alias("r")).first()
+    assert out.r == 5
+
+
+def test_components(spark):
+    rows = random_boxes(8, 120)
+    root = {r[0]: r[0] for r in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in rows:
+        for b in rows:
+            if a[0] < b[0] and (a[1], a[2]) == (b[1], b[2]) and iou(a[3:7], b[3:7]) > 0:
+                x, y = sorted((find(a[0]), find(b[0])))
+                root[y] = x
+    assert {r.det_id: r.component for r in merge.box_components(frame(spark, rows)).collect()} == {i: find(i) for i in root}
+    assert frame(spark, rows).select(rectangle().alias("p")).first().p[2].x == rows[0][5]

@@ -28,9 +28,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import lower_table, split_words, stored, string_bytes, text_mb, word_hashes
+from .common import lower_table, slices, split_words, stored, string_bytes, text_mb, word_hashes
 
-DEPTH, ROOT, BLOCK_MB = 6, 3, 24
+DEPTH, ROOT, BLOCK_MB = 6, 3, 20
 END, SPACE = 10, 32
 STEP = 1 << 20
 NOT_SPACE = np.ones(256, bool)
@@ -110,18 +110,19 @@ def restored(b: bytes, kind, sorted_keys: bool = False) -> np.ndarray:
 
 
 def places(x: np.ndarray, begin: np.ndarray, end: np.ndarray, mark: np.ndarray, step: int = STEP):
-    """(lo, hi, which): slices of a stream and the index of the document of each place, -1 for padding."""
-    edges = np.zeros(len(x) + 1, np.int32)
-    edges[begin] = 1
-    doc = np.cumsum(edges[:-1], dtype=np.int32) - 1
-    pad = np.zeros(len(x) + 1, np.int32)
-    pad[begin] += 1
-    pad[end] -= 1
-    inside = np.cumsum(pad[:-1], dtype=np.int32) > 0
+    """(lo, hi, which): slices of a stream and the mark of the document of each place, -1 for padding."""
+    which = np.repeat(np.stack([np.full(len(mark), -1, mark.dtype), mark], axis=1).ravel(), np.diff(np.stack([begin, end], axis=1).ravel(), prepend=0))
     first = int(begin[0]) if len(begin) else 0
     for lo in range(first, len(x), step):
         hi = min(len(x), lo + step)
-        yield lo, hi, np.where(inside[lo:hi], mark[doc[lo:hi]], -1)
+        yield lo, hi, which[lo:hi]
+
+
+def streams(t: pa.Table, depth: int):
+    """Streams of about a megabyte of a block's documents, with their rows."""
+    text = t.column("text").combine_chunks()
+    for lo, hi in slices(text, STEP):
+        yield lo, hi, *stream(text[lo:hi], depth)
 
 
 class Subtrees:
@@ -254,22 +255,27 @@ def scores(docs: DataFrame, is_training, id_col: str = "doc_id", text_col: str =
     def gather(t: pa.Table) -> pa.Table:
         """A block's distinct grams and words with their training counts, for the partitions that own them."""
         training = t.column("training").combine_chunks().to_numpy(zero_copy_only=False)
-        x, begin, end, hashes, at = stream(t.column("text"), depth)
-        held: list = [[], []]
-        for lo, hi, which in places(x, begin, end, training.astype(np.int8)):
-            key = grams(x, lo, hi, depth)
-            a, n = counted(key[which == 1])
-            b = counted(key[which == 0])[0]
-            held[0] += [a, b]
-            held[1] += [n, np.zeros(len(b), np.int64)]
-        keys, n = counted(np.concatenate(held[0]), np.concatenate(held[1]))
-        block = t.column("block")[0].as_py()
-        out = list(_send(block, 0, keys, n, owner(keys, parts, depth), parts))
-        trained = np.repeat(training, np.diff(at))
-        a, n = counted(hashes[trained])
-        b = counted(hashes[~trained])[0]
-        keys, n = counted(np.concatenate([a, b]), np.concatenate([n, np.zeros(len(b), np.int64)]))
-        out += _send(block, 1, keys, n, (keys % np.uint64(parts)).astype(np.int64), parts)
+        held: tuple = ([], []), ([], [])
+
+        def keep(which: int, trained: np.ndarray, other: np.ndarray) -> None:
+            a, n = counted(trained)
+            b = counted(other)[0]
+            held[which][0].extend([a, b])
+            held[which][1].extend([n, np.zeros(len(b), np.int64)])
+            if len(held[which][0]) >= 16:  # so that few slices are held at a time
+                a, n = counted(*map(np.concatenate, held[which]))
+                held[which][0][:], held[which][1][:] = [a], [n]
+
+        for first, last, x, begin, end, hashes, at in streams(t, depth):
+            for lo, hi, mark in places(x, begin, end, training[first:last].astype(np.int8)):
+                key = grams(x, lo, hi, depth)
+                keep(0, key[mark == 1], key[mark == 0])
+            trained = np.repeat(training[first:last], np.diff(at))
+            keep(1, hashes[trained], hashes[~trained])
+        block, out = t.column("block")[0].as_py(), []
+        for kind, (keys, n) in enumerate(held):
+            keys, n = counted(np.concatenate(keys), np.concatenate(n))
+            out += _send(block, kind, keys, n, (keys % np.uint64(parts)).astype(np.int64) if kind else owner(keys, parts, depth), parts)
         return pa.Table.from_pylist(out, pa.schema([("part", pa.int32()), ("block", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())]))
 
     sent = stored(rows.groupBy("block").applyInArrow(gather, "part int, block int, kind int, keys binary, n binary"), "grams")
@@ -300,8 +306,8 @@ def scores(docs: DataFrame, is_training, id_col: str = "doc_id", text_col: str =
         """Log probabilities of the grams that each block sent, counts of its words."""
         of_kind = t.column("kind")[0].as_py()
         sets, keys, n = merged(t)
-        value = n.astype(np.float32 if n.max(initial=0) < 1 << 24 else np.float64) if of_kind else Subtrees(keys, n, depth).log_probabilities(top.value).astype(np.float32)
-        values = [squeezed(value[np.searchsorted(keys, k)].astype(np.float64 if of_kind else np.float32)) for k in sets]
+        value = n if of_kind else Subtrees(keys, n, depth).log_probabilities(top.value).astype(np.float32)
+        values = [squeezed(value[np.searchsorted(keys, k)]) for k in sets]
         return pa.table({"block": t.column("block"), "kind": t.column("kind"), "keys": t.column("keys"), "value": pa.array(values, pa.binary())})
 
     answers = sent.groupBy("part", "kind").applyInArrow(answer, "block int, kind int, keys binary, value binary")
@@ -315,25 +321,27 @@ def scores(docs: DataFrame, is_training, id_col: str = "doc_id", text_col: str =
             mine = [i for i, v in enumerate(a.column("kind").to_pylist()) if v == k]
             if mine:
                 keys = np.concatenate([restored(a.column("keys")[i].as_py(), np.uint64, True) for i in mine])
-                value = np.concatenate([restored(a.column("value")[i].as_py(), np.float64 if k else np.float32) for i in mine])
+                value = np.concatenate([restored(a.column("value")[i].as_py(), np.int64 if k else np.float32) for i in mine])
                 order = np.argsort(keys)
                 table[k] = keys[order], value[order].astype(np.float64)
-        x, begin, end, hashes, at = stream(t.column("text"), depth)
-        n = len(begin)
-        out = np.zeros(n)
-        for lo, hi, which in places(x, begin, end, np.arange(n)):
-            key = grams(x, lo, hi, depth)
-            key, which = key[which >= 0], which[which >= 0]
-            order = np.argsort(key)
-            out += np.bincount(which[order], table[0][1][np.searchsorted(table[0][0], key[order])], n)
-        count = table[1][1][np.searchsorted(table[1][0], hashes)] if len(hashes) else np.zeros(0)
-        logs = np.concatenate([[0], np.cumsum(np.log10((count + 0.1) / denominator))])
-        known = np.concatenate([[0], np.cumsum(count > 0)])
-        base = logs[at[1:]] - logs[at[:-1]] + math.log10((train_docs + 0.1) / denominator)
-        size = end - begin
+        cols: list = [[] for _ in range(5)]
+        for first, last, x, begin, end, hashes, at in streams(t, depth):
+            n, out = last - first, np.zeros(last - first)
+            for lo, hi, which in places(x, begin, end, np.arange(n)):
+                key = grams(x, lo, hi, depth)[which >= 0]
+                which = which[which >= 0]
+                order = np.argsort(key)
+                out += np.bincount(which[order], table[0][1][np.searchsorted(table[0][0], key[order])], n)
+            count = table[1][1][np.searchsorted(table[1][0], hashes)] if len(hashes) else np.zeros(0)
+            logs = np.concatenate([[0], np.cumsum(np.log10((count + 0.1) / denominator))])
+            known = np.concatenate([[0], np.cumsum(count > 0)])
+            base = logs[at[1:]] - logs[at[:-1]] + math.log10((train_docs + 0.1) / denominator)
+            for c, v in zip(cols, (np.diff(at) + 1, known[at[1:]] - known[at[:-1]] + (train_docs > 0), base, out, end - begin)):
+                c.append(v)
+        n_tokens, n_known, base, out, size = map(np.concatenate, cols)
         return pa.table({
-            "id": t.column("id"), "training": t.column("training"), "n_tokens": np.diff(at).astype(np.int64) + 1, "n_known": (known[at[1:]] - known[at[:-1]] + (train_docs > 0)).astype(np.int64),
-            "train_tokens": np.full(n, total, np.int64), "base_score": base, "score": out, "n_bytes": size.astype(np.int64), "bits_per_byte": -out / math.log10(2) / size,
+            "id": t.column("id"), "training": t.column("training"), "n_tokens": n_tokens.astype(np.int64), "n_known": n_known.astype(np.int64), "train_tokens": np.full(len(size), total, np.int64),
+            "base_score": base, "score": out, "n_bytes": size.astype(np.int64), "bits_per_byte": -out / math.log10(2) / size,
         })
 
     schema = f"id {kind}, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"

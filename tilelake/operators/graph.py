@@ -56,3 +56,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if marks[0] == marks[1]:
             break
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+
+
+def by_component(parted: DataFrame, f, schema: str, rows: int = 20_000) -> DataFrame:
+    """Applies f, from pandas frame to pandas frame, to each component (_part) of a stored or cheap table.
+
+    Components are dealt by a hash into groups of about ``rows`` rows, since a Spark group for each of millions of small
+    components would cost more than f.
+    """
+    import pandas as pd
+
+    names = [c.split()[0] for c in schema.replace("array<struct<x:double,y:double>>", "array").split(", ")]
+    groups = max(1, -(-parted.count() // rows))
+
+    def run(t: pd.DataFrame) -> pd.DataFrame:
+        out = [f(x) for _, x in t.groupby("_part", sort=False)]
+        return pd.concat(out, ignore_index=True)[names] if out else pd.DataFrame(columns=names)
+
+    return parted.withColumn("_group", F.pmod(F.xxhash64("_part"), F.lit(groups))).groupBy("_group").applyInPandas(run, schema)
