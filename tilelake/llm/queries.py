@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bitpack, ctw, decontaminate, embeddings, html, langid, licenses, packing, simhash, warc
 from .common import table
+from .oracle import ORACLE_SQL  # noqa: F401
 
 
 def op1_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +74,3 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_html": op10_html,
 }
-
-ORACLE_SQL: dict[str, str] = {}
