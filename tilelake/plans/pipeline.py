@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import rings
 from ..operators import filters, inference, merge, regions, report, tiling
 from ..operators.graph import stored
+from ..schemas import BOX
 
 
 def standard(tiles: DataFrame, models: DataFrame, load: inference.Detector, tissue: str = "spread", most_tiles: int | None = None) -> DataFrame:
@@ -38,3 +40,15 @@ def region_workflow(thumbnails: DataFrame, slides: DataFrame, k: int = 6, least:
 def minimum(detections: DataFrame) -> DataFrame:
     """Size filter, cell filter, statistics by slide and class."""
     return report.class_statistics(filters.cells_beyond(detections.where(filters.large_enough())))
+
+
+def rewritten(detections: DataFrame, most: int = 60) -> DataFrame:
+    """Stored detections again: invalid polygons go, the others are simplified and their boxes follow them."""
+    kept = detections.where(merge.is_valid("polygon")).withColumn("polygon", merge.smart_simplified("polygon", most))
+    return kept.withColumns(dict(zip(BOX, rings.bounds(F.col("polygon")))))
+
+
+def annotations(detections: DataFrame, n: int | None = None, within: float | None = None) -> DataFrame:
+    """What is drawn on each tile: detections of the n fullest cells (all, if none), relative to the cell, with colours."""
+    cells = report.cells_ranked(detections, n, within=within).withColumnRenamed("n", "n_in_cell").drop("first_det_id")
+    return report.coloured(report.tile_relative(detections.where(filters.not_class()))).join(cells, ["slide_id", "i", "j"])

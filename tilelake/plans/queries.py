@@ -379,6 +379,28 @@ def json_roundtrip(s, d):
     return back.select("det_id", "class_name", F.col("box.start.x").alias("x1"), F.col("box.start.y").alias("y1"), F.col("box.end.x").alias("x2"), F.col("box.end.y").alias("y2"))
 
 
+PIXELS = "t as (select p_partkey as patch_id, (p_partkey*7919)%256 as a, (p_partkey*10007)%256 as b from part)"
+
+
+@query(f"with {PIXELS} select patch_id from t where not (a > 240 and b > 240) and (a+b)/2.0 < 240 and abs(a-b)/2.0 > 10")
+def tissue_filter(s, d):
+    k = F.col("p_partkey")
+    level = lambda v: F.lpad(F.hex(v), 2, "0")
+    image = F.unhex(F.repeat(F.concat(level(k * 7919 % 256), level(k * 10007 % 256)), F.lit(96)))
+    tiles = table(s, d, "part").select(k.alias("patch_id"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(3).alias("channels"), image.alias("image"))
+    return tiling.with_tissue(tiles, "spread").select("patch_id")
+
+
+@query(f"with {DET}, c as (select slide_id, floor(x1/512) as i, floor(y1/512) as j, count(*) as n from det where class_name <> 'excl' group by all order by n desc, min(det_id) limit 20) select det_id, det.x1-c.i*512 as x1, det.y1-c.j*512 as y1, case class_name when 'excl' then '#00FFFF' else '#000000' end as colour, c.n as n_in_cell from det join c on det.slide_id = c.slide_id and floor(x1/512) = c.i and floor(y1/512) = c.j where class_name <> 'excl'")
+def tile_annotations(s, d):
+    return pipeline.annotations(det(s, d), 20).select("det_id", "x1", "y1", "colour", "n_in_cell")
+
+
+@query(f"with {DET} select det_id, x1, y1, x2, y2 from det")
+def rewritten_boxes(s, d):
+    return pipeline.rewritten(det(s, d).withColumn("polygon", rectangle()).withColumns({"x1": F.lit(0.0), "y2": F.lit(0.0)})).select("det_id", "x1", "y1", "x2", "y2")
+
+
 @query()
 def kmeans_regions(s, d):
     rows = det(s, d).select("slide_id", "det_id", ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"))

@@ -87,3 +87,21 @@ def documents(detections: DataFrame, slides: DataFrame) -> DataFrame:
     info = F.struct(*[c for c in ("path", "width", "height", "levels", "mpp") if c in slides.columns]).alias("wsi_info")
     met = slides.select("slide_id", info).join(rows, "slide_id", "left")
     return met.select("slide_id", F.to_json(F.struct("wsi_info", F.coalesce("predictions", F.array()).alias("predictions"))).alias("json"))
+
+
+def summaries(detections: DataFrame, slides: DataFrame) -> DataFrame:
+    """(slide, file, predictions_count, label_statistics, avg_confidence) of every slide, those without detections too."""
+    from ..operators.report import slide_statistics
+
+    by = slide_statistics(detections, slides)
+    name = F.regexp_extract("path", "([^/]*)$", 1)
+    met = slides.select("slide_id", name.alias("file")).join(by, "slide_id")
+    return met.select(F.regexp_replace("file", "(?<=.)\\.[^.]*$", "").alias("slide"), "file", F.col("total").alias("predictions_count"), F.coalesce("by_class", F.create_map().cast("map<string,bigint>")).alias("label_statistics"), F.col("average_confidence").alias("avg_confidence"))
+
+
+def region_documents(numbered: DataFrame) -> DataFrame:
+    """(slide_id, json): the grid document of each slide, from regions numbered by their distance from the origin."""
+    region = F.struct("id", "name", "x_min", "y_min", "x_max", "y_max", "width", "height").alias("region")
+    one = F.struct("grid_id", F.col("id").alias("original_id"), "name", F.array("center_x", "center_y").alias("center"), "distance", region, "grid_position")
+    rows = numbered.groupBy("slide_id").agg(F.sort_array(F.collect_list(one)).alias("numbered_biopsies"), F.count("*").alias("total_biopsies"))
+    return rows.select("slide_id", F.to_json(F.struct(F.struct("total_biopsies", "numbered_biopsies").alias("biopsy_grid"))).alias("json"))
