@@ -55,7 +55,8 @@ def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", base32_sha1(F.col("html").cast("binary")))
     first = rows.where(F.octet_length("html") >= least_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
-    joined = rows.join(first.select("digest", "first"), "digest", "left")
+    first = stored(first.select("digest", "first"), "firsts")  # a plain scan, so that Spark may split the rows of a frequent payload
+    joined = rows.join(first, "digest", "left")
     return joined.select("id", "url", "html", "digest", F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
 
@@ -134,4 +135,5 @@ def captures(spark: SparkSession, folder: str, with_payload: bool = False) -> Da
     done = transactions(read(spark, folder, with_payload)).withColumn("capture_id", F.nullif(F.element_at(F.col("metadata")[0]["fields"], "capture-id"), F.lit("")))
     done = done if with_payload else stored(done, "captures")  # small rows, so that archives are read once
     responses = done.where("response.type = 'response'").groupBy(F.col("capture").alias("r_capture")).agg(F.first("capture_id").alias("r_id"), F.first("response.payload_bytes").alias("r_bytes"), F.first("response.payload_digest").alias("r_digest"))
+    responses = stored(responses, "responses")  # a plain scan: revisits of one response may be half of all rows
     return done.join(responses, F.col("response.refers_to") == F.col("r_capture"), "left").select("*", F.when(F.col("r_capture").isNotNull(), F.struct(F.col("r_id").alias("capture_id"), F.col("r_bytes").alias("payload_bytes"), F.col("r_digest").alias("payload_digest"))).alias("referred")).drop("r_capture", "r_id", "r_bytes", "r_digest")
