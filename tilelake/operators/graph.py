@@ -58,7 +58,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def by_component(parted: DataFrame, f, schema: str, rows: int = 20_000) -> DataFrame:
+def by_component(parted: DataFrame, f, schema: str, rows: int = 4_000) -> DataFrame:
     """Applies f, from pandas frame to pandas frame, to each component (_part) of a stored or cheap table.
 
     Components are dealt by a hash into groups of about ``rows`` rows, since a Spark group for each of millions of small
@@ -73,4 +73,7 @@ def by_component(parted: DataFrame, f, schema: str, rows: int = 20_000) -> DataF
         out = [f(x) for _, x in t.groupby("_part", sort=False)]
         return pd.concat(out, ignore_index=True)[names] if out else pd.DataFrame(columns=names)
 
-    return parted.withColumn("_group", F.pmod(F.xxhash64("_part"), F.lit(groups))).groupBy("_group").applyInPandas(run, schema)
+    # by number, since partitions small in bytes would be put together, though f is slow
+    parts = min(groups, int(parted.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = parted.withColumn("_group", F.pmod(F.xxhash64("_part"), F.lit(groups))).repartition(parts, "_group")
+    return dealt.groupBy("_group").applyInPandas(run, schema)
