@@ -96,3 +96,15 @@ def test_entry_without_training_data_operators(tmp_path):
             (package / p.name).symlink_to(p)
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(k.startswith('op') or k == 'pipeline' for k in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, check=True, timeout=60)
+
+
+def test_kmeans_query_takes_the_best_of_ten_tries(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+
+    from tilelake.plans import queries
+
+    seeds, fit = [], KMeans.fit
+    monkeypatch.setattr(KMeans, "fit", lambda self, *a: seeds.append(self.getSeed()) or fit(self, *a))
+    rows = queries.kmeans_regions(spark, "/root/testdata/sf0.001").collect()
+    assert len(set(seeds)) == 10 and len(rows) == 6
+    assert sum(r.n for r in rows) == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()

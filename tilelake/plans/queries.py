@@ -404,7 +404,7 @@ def rewritten_boxes(s, d):
 @query()
 def kmeans_regions(s, d):
     rows = det(s, d).select("slide_id", "det_id", ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"))
-    return regions.clustered(rows, 6, tries=2).groupBy("cluster").agg(F.count("*").alias("n"))
+    return regions.clustered(rows, 6).groupBy("cluster").agg(F.count("*").alias("n"))
 
 
 def _waves(rows: DataFrame) -> DataFrame:
