@@ -66,3 +66,13 @@ def test_empty_and_repeated(spark):
     got = sorted((r.doc_id, r.component_id) for r in simhash.near_duplicates(df).collect() if r.doc_id is not None)
     assert got == [(0, 0), (1, 1), (1, 1)]
     assert sorted(r.doc_id for r in simhash.deduplicated(df).collect()) == [0, 1]
+
+
+def test_one_row_of_each_group_whatever_its_id(spark):
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(40)) for _ in range(5)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (3, texts[2]), (None, texts[3]), (9, texts[4]), (9, texts[4].upper())]
+    got = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.columns == ["doc_id", "text"]
+    got = sorted(((r.doc_id, r.text.lower()) for r in got.collect()), key=str)
+    assert got == sorted([(None, texts[0]), (None, texts[1]), (3, texts[2]), (4, texts[3]), (9, texts[4])], key=str)

@@ -19,7 +19,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import components, stored
 
@@ -47,16 +47,21 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * set_in > len(hashes)).tobytes(), "big")
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): fp as a signed long."""
+    """(id, text_hash, fp): fp as a signed long."""
     kind = docs.schema[id_col].dataType
 
     def run(rows):
         for b in rows:
-            fp = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["id", "fp"])
+            fp = np.array([fingerprint(t) for t in b.column(2).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], names=["id", "text_hash", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind.simpleString()}, fp long")
+    rows = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, f"id {kind.simpleString()}, text_hash long, fp long")
 
 
 def byte_keys(wide: bool) -> list[tuple[int, ...]]:
@@ -93,25 +98,32 @@ def links(classes: DataFrame, bits: int = BITS, wide: bool = False) -> DataFrame
 
 
 def grouped(own: DataFrame, bits: int = BITS) -> DataFrame:
-    """(id, fp, component_id) from a stored table of (id, fp)."""
+    """own with label and component_id; own: a stored table with id and fp."""
     classes = own.groupBy("fp").agg(F.min("id").alias("least"))
     wide = classes.count() > WIDE_FROM
     label = components(links(classes.select("fp"), bits, wide))
     classes = classes.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    return own.join(classes.join(least, "label").select("fp", "component_id"), "fp")
+    return own.join(classes.join(least, "label").select("fp", "label", "component_id"), "fp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
     """(id, fingerprint, component_id): one row per document, component_id the smallest id reachable over links."""
-    out = grouped(stored(fingerprints(docs, id_col, text_col), "simhash"), bits)
+    out = grouped(stored(fingerprints(docs, id_col, text_col).select("id", "fp"), "simhash"), bits)
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """docs without all but one document of each group: the row with the smallest id stays; of rows that share it, one."""
-    own = stored(fingerprints(docs, id_col, text_col), "simhash")
-    least = grouped(own, bits).where(F.col("component_id").eqNullSafe(F.col("id"))).select(F.col("id").alias("_keep"))
-    kept = docs.join(least.distinct(), docs[id_col].eqNullSafe(F.col("_keep")), "left_semi")
-    repeated = own.groupBy("id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates([id_col]) if repeated else kept
+    """docs without all but one document of each group: the row with the smallest id stays, of rows that
+    share it the one of least text hash. A null id comes after all others; rows of other groups never matter."""
+    return survivors(docs, grouped(stored(fingerprints(docs, id_col, text_col), "simhash"), bits), id_col, text_col)
+
+
+def survivors(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group; groups: (id, text_hash, label) of every row."""
+    groups = stored(groups.select("id", "text_hash", "label"), "groups")
+    first = groups.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("r"))
+    first = first.select(F.col("label").alias("_label"), F.col("r.id").alias("_id"), F.col("r.text_hash").alias("_hash"))
+    repeated = groups.groupBy("id", "text_hash").count().where("count > 1").limit(1).count()
+    kept = docs.join(first, docs[id_col].eqNullSafe(F.col("_id")) & (text_hash(docs[text_col]) == F.col("_hash")))
+    return (kept.dropDuplicates(["_label"]) if repeated else kept).select(*[kept[f"`{c}`"] for c in docs.columns])
