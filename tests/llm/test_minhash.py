@@ -1,0 +1,57 @@
+import random
+
+import corpus_pipeline
+
+from tilelake.llm import minhash
+
+
+def shingles(text, k=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))}
+
+
+def brute(rows):
+    """Ids of the rows that stay, by comparing all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return sorted(least.values())
+
+
+def test_stage_takes_near_copies_from_similarity_of_eight_tenths(spark):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(25):
+        text = [f"w{rng.randrange(400)}" for _ in range(rng.choice([2, 4, 12, 100, 300]))]
+        rows.append((len(rows), " ".join(text)))
+        for _ in range(rng.choice([1, 2, 5])):
+            if rng.random() < 0.5:
+                text = list(text)  # a copy of the copy
+            again = list(text)
+            for _ in range(rng.choice([0, 1, 2, 4, 6])):
+                again[rng.randrange(len(again))] = f"v{rng.randrange(400)}"
+            rows.append((len(rows), "\n ".join(again).upper()))
+            text = rng.choice([text, again])
+    # similarity of exactly 0.8: 40 shared shingles of 50
+    base = [f"x{i}" for i in range(48)]
+    rows += [(900, " ".join(base[:44])), (901, " ".join([*base[:44], *[f"z{i}" for i in range(10)]])), (902, " ".join([*base[:44], *[f"y{i}" for i in range(11)]]))]
+    rows += [(950, None), (951, ""), (952, " \t")]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert 901 not in want and 902 in want and 950 in want and 951 not in want
+    got = corpus_pipeline.near_duplicates(spark, df, "")
+    assert sorted(r.doc_id for r in got.collect()) == want
+    assert minhash.deduplicated(df.limit(0)).count() == 0

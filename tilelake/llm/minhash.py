@@ -1,0 +1,114 @@
+"""Near copies by the Jaccard similarity of word shingles: MinHash bands for candidates, then exact similarity.
+
+A text is the set of its shingles of ``SHINGLE`` words, lower-cased; texts of equal sets are one node. Each of ``BANDS``
+bands is a hash of ``ROWS`` minima; two nodes that share a band are a candidate, and linked if the exact similarity of
+their sets is ``LEAST`` or more. A pair of similarity s shares no band with a probability of (1 - s^4)^32: 5e-8 at 0.8.
+
+No pair is compared whose ends are known to be connected: members of a band are first compared with its smallest node,
+then only with members of other components, so a large group of near copies costs its size, not its square.
+
+Defined cases: a text of fewer words than a shingle is one shingle; null and word-less texts are equal.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from .common import components, gram_hashes, mixed, slices, split_words, string_bytes, stored, word_hashes
+from .simhash import survivors, text_hash
+
+SHINGLE, LEAST, BANDS, ROWS = 5, 0.8, 32, 4
+WORD = np.ones(256, bool)
+WORD[[9, 10, 11, 12, 13, 32]] = False
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_SEEDS = mixed(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+TIMES, PLUS = _SEEDS[: BANDS * ROWS] | np.uint64(1), _SEEDS[BANDS * ROWS :]
+
+
+def shingles(col: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted hashes of the distinct shingles of each text; never empty."""
+    data, off = string_bytes(col)
+    data = LOWER[data]
+    first, last, at = split_words(data, off, WORD)
+    h = word_hashes(data, first, last)
+    out = []
+    for a, z in zip(at[:-1], at[1:]):
+        own = gram_hashes(h[a:z], min(size, z - a)) if z > a else np.zeros(1, np.uint64)
+        out.append(np.unique(own))
+    return out
+
+
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(node, bands) of sets: a hash of the set, and one of each band's minima."""
+    flat = np.concatenate(sets)
+    starts = np.cumsum([0, *map(len, sets[:-1])])
+    size = np.array([len(s) for s in sets], np.uint64)
+    node = mixed(np.add.reduceat(mixed(flat), starts) + size)
+    bands = np.zeros((len(sets), BANDS), np.uint64)
+    for i in range(BANDS * ROWS):
+        x = flat * TIMES[i]
+        x += PLUS[i]
+        x ^= x >> np.uint64(31)
+        x *= TIMES[-1 - i]
+        b = i // ROWS
+        bands[:, b] = mixed(bands[:, b] * np.uint64(3) + np.minimum.reduceat(x, starts) + np.uint64(i))
+    return node.view(np.int64), bands.view(np.int64)
+
+
+def alike(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
+    """Of pairs (a, b) of nodes, those whose sets are similar enough."""
+    x, y = sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), sets.select(F.col("node").alias("b"), F.col("grams").alias("y"))
+    near = pairs.join(x.withColumn("nx", F.size("x")), "a").join(y.withColumn("ny", F.size("y")), "b")
+    near = near.where(F.least("nx", "ny") >= least * F.greatest("nx", "ny"))
+    both = F.size(F.array_intersect("x", "y"))
+    return near.where(both >= least * (F.col("nx") + F.col("ny") - both)).select("a", "b")
+
+
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
+    """(id, text_hash, node, label): one row per row of docs; label is the same for all rows of a group."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
+
+    def sign(batches):
+        for b in batches:
+            for lo, hi in slices(b.column(2), 1 << 18):
+                part = b.slice(lo, hi - lo)
+                node, bands = signatures(shingles(part.column(2), shingle))
+                values = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(node), values], names=["id", "text_hash", "node", "bands"])
+
+    own = stored(rows.mapInArrow(sign, f"id {kind}, text_hash long, node long, bands array<long>"), "minhash")
+    nodes = own.groupBy("node").agg(F.first("bands").alias("bands"))
+    keyed = nodes.select("node", F.posexplode("bands").alias("k", "v")).select("node", F.xxhash64("k", "v").alias("key"))
+    lead = keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    shared = stored(keyed.join(lead, "key"), "bands")
+    met = shared.select("node").distinct()
+    texts = own.join(met, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
+    picked = rows.join(texts, "text_hash").dropDuplicates(["node"]).select("node", "text")
+
+    def expand(batches):
+        for b in batches:
+            for lo, hi in slices(b.column(1), 1 << 20):
+                sets = [s.view(np.int64) for s in shingles(b.column(1)[lo:hi], shingle)]
+                values = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate(sets)))
+                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], values], names=["node", "grams"])
+
+    sets = stored(picked.mapInArrow(expand, "node long, grams array<long>"), "grams")
+    links = stored(alike(shared.where("node <> a").select("a", F.col("node").alias("b")).distinct(), sets, least), "links")
+    label = components(links)
+    named = shared.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    split = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    named = stored(named.join(split, "key"), "bands")
+    y = named.select("key", F.col("node").alias("b"), F.col("label").alias("other"))
+    more = named.withColumnRenamed("node", "a").join(y, "key").where("label < other").select("a", "b").distinct()
+    label = components(links.union(alike(more, sets, least)))
+    label = nodes.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    return own.select("id", "text_hash", "node").join(label, "node")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
+    """docs with one row of each group of near copies, chosen as ``simhash.survivors`` does."""
+    return survivors(docs, grouped(docs, id_col, text_col, least, shingle), id_col, text_col)
