@@ -5,7 +5,8 @@ bands is a hash of ``ROWS`` minima; two nodes that share a band are a candidate,
 their sets is ``LEAST`` or more. A pair of similarity s shares no band with a probability of (1 - s^4)^32: 5e-8 at 0.8.
 
 No pair is compared whose ends are known to be connected: members of a band are first compared with its smallest node,
-then only with members of other components, so a large group of near copies costs its size, not its square.
+then only with members of other components. A large group whose members are like the smallest costs its size; one that
+shares bands below the least similarity still costs pairs by its square.
 
 Defined cases: a text of fewer words than a shingle is one shingle; null and word-less texts are equal.
 """
