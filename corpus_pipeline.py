@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tilelake.llm import ctw, decontaminate, langid, minhash, packing
 from tilelake.llm.common import stored, table
 
-#: A document goes if it has no letters or no language is likelier than this.
-LEAST_LANGUAGE = 0.3
+#: A document goes if it has no letters, or if its language is no likelier than so far from chance to certainty.
+LEAST_LANGUAGE = 0.1
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

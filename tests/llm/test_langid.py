@@ -82,3 +82,36 @@ def test_without_labels(spark):
     assert [tuple(r) for r in langid.labelled(df, m).collect()] == [(1, "und", 0.0)]
     assert langid.labelled(df.limit(0), m).count() == 0 and langid.accepted(df, m).count() == 0
     assert [r.spans for r in langid.spans(df, m).collect()] == [[]]
+
+
+def test_all_bytes_of_a_word_count():
+    stem = "ab" * 16
+    train = [(f"{stem}{end}{i % 7}" + " " + f"{stem}{end}", lang) for i in range(40) for end, lang in (("quxquv", "xx"), ("jizjoz", "yy"))]
+    m = langid.fitted([t for t, _ in train], [v for _, v in train], rounds=25)
+    names, scores = langid._summary(m, pa.array([f"{stem}mequxquvle", f"{stem}mejizjozle", "東京" * 40 + "quxquv " * 3]))
+    assert names == ["xx", "yy", "xx"] and min(scores) > 0.5
+
+
+def test_long_runs_are_cut_between_characters_and_lose_nothing():
+    texts = ["東" * 100, "a" * 48, "a" * 49, "éa" * 500 + ", “b” c", "", None, "x"]
+    data, first, last, _, at = langid.words(pa.array(texts))
+    found = [[data[a:z].tobytes().decode() for a, z in zip(first[i:j], last[i:j])] for i, j in zip(at[:-1], at[1:])]
+    assert ["".join(f) for f in found] == ["東" * 100, "a" * 48, "a" * 49, "éa" * 500 + "bc", "", "", "x"]
+    assert max(len(w.encode()) for f in found for w in f) <= 51 and found[1] == ["a" * 48] and found[3][-2:] == ["b", "c"]
+
+
+def test_sample_takes_each_text_once(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(langid, "fitted", lambda texts, langs: seen.update(texts=texts, langs=langs))
+    rows = [(i, "copied text", "xx") for i in range(300)] + [(1000 + i, f"text {i} of its own", "xx") for i in range(60)] + [(2000, "long " * 20_000, "yy"), (None, "no id", "yy")]
+    langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), ~ctw.held_out("doc_id", 3, 5), per_language=40)
+    assert seen["langs"].count("xx") == 40 and len(set(seen["texts"])) == len(seen["texts"]) == 42
+    assert max(map(len, seen["texts"])) == langid.LONGEST
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = ctw.held_out("doc_id", 3, 1)
+    m = langid.fit(docs, ~held)
+    found = langid.labelled(docs, m).join(docs.where(held).select("doc_id", "lang"), "doc_id").where("lang is not null and lang_pred <> 'und'").collect()
+    assert len(found) > 250 and sum(r.lang == r.lang_pred for r in found) >= 0.98 * len(found)

@@ -1,10 +1,12 @@
 """Language identification by a linear-chain conditional random field over words.
 
-Words are runs of letters, lower-cased. A word's features are its first and last 1 to 4 bytes, its byte n-grams of 2 to
-4, itself, and the language in whose learned lexicon it stands; transitions between languages are learned too. The
-field is fitted by gradient ascent on the conditional likelihood, with forward-backward for the expectations, on a
-sample bounded by ``PER_LANGUAGE`` documents of at most ``LONGEST`` bytes and ``WORDS`` words of each language; half of
-the training sequences are put together from pieces of several languages, so that switches are learned as well.
+Words are runs of letters and their marks, lower-cased; a run of over ``RUN`` bytes, as in scripts without spaces, counts
+as several words in a row. A word's features are its first and last 1 to 4 bytes, all its byte n-grams of 2 to 4,
+itself, and the language in whose learned lexicon it stands; transitions between languages are learned too. The field
+is fitted by gradient ascent on the conditional likelihood, with forward-backward for the expectations, on a sample of
+at most ``PER_LANGUAGE`` distinct texts of each language, of each long text a piece of ``LONGEST`` characters, and
+``WORDS`` words of each language; half of the training sequences are put together from pieces of several languages, so
+that switches are learned as well.
 
 Every word of every text is labelled by its exact posterior. Long documents are cut into chunks whose transfer matrices
 are multiplied first, so that numpy works on all chunks of a batch at once and the result is that of one pass over the
@@ -22,30 +24,39 @@ import dataclasses
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import mixed, slices, split_words, string_bytes, word_hashes
 
-PER_LANGUAGE, LONGEST, WORDS, SEQUENCE = 400, 60_000, 30_000, 32
-BUCKETS, CHUNK, CAP, ROUNDS = 1 << 17, 128, 24, 40
+PER_LANGUAGE, LONGEST, WORDS, SEQUENCE = 400, 20_000, 30_000, 32
+BUCKETS, CHUNK, RUN, ROUNDS = 1 << 17, 128, 48, 40
 UND = "und"
-LETTER = np.zeros(256, bool)
-LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
+IN_WORD = np.ones(256, bool)
+IN_WORD[32] = False
 
 
 def words(col: pa.Array) -> tuple[np.ndarray, ...]:
     """Lower-cased bytes of a text column, words' first bytes and ends, their hashes, and the offsets of rows in them."""
-    data, off = string_bytes(pc.utf8_lower(col.cast(pa.large_string())))
-    first, last, at = split_words(data, off, LETTER)
+    data, off = string_bytes(pc.replace_substring_regex(pc.utf8_lower(col.cast(pa.large_string())), r"[^\p{L}\p{M}]+", " "))
+    first, last, at = split_words(data, off, IN_WORD)
+    parts = -(-(last - first) // RUN)
+    if (parts > 1).any():  # cut long runs, between characters
+        nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+        cut = np.repeat(first, parts) + nth * RUN
+        for _ in range(3):
+            cut -= (nth > 0) & ((data[cut] & 192) == 128)
+        end = np.append(cut[1:], 0)
+        final = np.cumsum(parts) - 1
+        end[final] = last
+        at = np.concatenate([[0], np.cumsum(parts)])[at]
+        first, last = cut, end
     return data, first, last, word_hashes(data, first, last), at
 
 
 def features(data: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.ndarray):
-    """(n, buckets): features of the first n words each; words must come from the longest down. Before the last one
-    pair come affixes and n-grams; the last is the word itself."""
+    """(which, starts, buckets): the words that have features of a kind, where each one's begin among the buckets, and
+    those. First come affixes and n-grams; last is the word itself."""
     size = last - first
-    most = int(min(CAP, size[0])) if len(size) else 0
-    count = [int(np.searchsorted(-size, -p, "right")) for p in range(most + 1)]  # words of at least p bytes
 
     def hashed(kind: int, start: np.ndarray, length: int) -> np.ndarray:
         key = np.full(len(start), kind, np.uint64)
@@ -54,15 +65,18 @@ def features(data: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.n
         return (mixed(key) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
     for n in range(1, 5):
-        if n <= most:
-            c = count[n]
-            yield c, hashed(16 + n, first[:c], n)
-            yield c, hashed(32 + n, last[:c] - n, n)
-    for n in range(2, 5):
-        for p in range(most - n + 1):
-            c = count[p + n]
-            yield c, hashed(48 + n, first[:c] + p, n)
-    yield len(size), (mixed(hashes ^ np.uint64(7)) & np.uint64(BUCKETS - 1)).astype(np.int64)
+        which = np.flatnonzero(size >= n)
+        if not len(which):
+            break
+        one = np.arange(len(which))
+        yield which, one, hashed(16 + n, first[which], n)
+        yield which, one, hashed(32 + n, last[which] - n, n)
+        if n > 1:
+            count = size[which] - n + 1
+            starts = np.cumsum(count) - count
+            place = np.arange(int(count.sum())) + np.repeat(first[which] - starts, count)
+            yield which, starts, hashed(48 + n, place, n)
+    yield np.arange(len(size)), np.arange(len(size)), (mixed(hashes ^ np.uint64(7)) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 @dataclasses.dataclass
@@ -84,17 +98,13 @@ class Model:
 
     def emissions(self, data, first, last, hashes) -> np.ndarray:
         """Log scores of each word, of distinct words once."""
-        keys, one, back = np.unique(hashes, return_index=True, return_inverse=True)
-        order = np.argsort(-(last[one] - first[one]), kind="stable")
-        one = one[order]
+        _, one, back = np.unique(hashes, return_index=True, return_inverse=True)
         out = np.zeros((len(one), len(self.labels)), np.float32)
-        for n, b in features(data, first[one], last[one], hashes[one]):
-            out[:n] += self.weights[b]
+        for which, starts, b in features(data, first[one], last[one], hashes[one]):
+            out[which] += self.weights[b] if len(b) == len(which) else np.add.reduceat(self.weights[b], starts)
         listed = self.listed(hashes[one])
         out[listed >= 0] += self.of_lexicon[listed[listed >= 0]]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        return out[place[back]]
+        return out[back]
 
     def posteriors(self, scores: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Posterior of every label of every word; documents end to end, at their offsets."""
@@ -193,15 +203,19 @@ def expectations(e: np.ndarray, moves: np.ndarray, start: np.ndarray, y: np.ndar
 
 
 def fitted(texts: list[str], langs: list[str], seed: int = 0, rounds: int = ROUNDS, most: int = WORDS) -> Model:
-    """Fits the field to texts of known language; at most ``most`` words of each count, from whole texts in turn."""
+    """Fits the field to texts of known language; at most ``most`` words of each count, from all its texts alike."""
     labels = sorted(set(langs))
     k, rng = len(labels), np.random.default_rng(seed)
     data, first, last, hashes, at = words(pa.array(texts, pa.string()))
     of_doc = np.array([labels.index(v) for v in langs], np.int64)
     pool = []
     for j in range(k):
-        own = [np.arange(at[i], at[i + 1]) for i in np.flatnonzero(of_doc == j)]
-        pool.append(np.concatenate(own)[:most] if own else np.zeros(0, np.int64))
+        own = np.flatnonzero(of_doc == j)
+        each = most  # the same share of every text, and what short ones leave over
+        while len(own) and np.minimum(at[own + 1] - at[own], each).sum() > most and each > 1:
+            each -= max(1, each // 20)
+        parts = [np.arange(at[i], min(at[i + 1], at[i] + each)) for i in own]
+        pool.append(np.concatenate(parts)[:most] if parts else np.zeros(0, np.int64))
     blank = Model(labels, np.zeros((BUCKETS, k), np.float32), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((k, k), np.float32), np.zeros((k, k)), np.zeros(k))
     if not k or not sum(map(len, pool)):
         return blank
@@ -223,16 +237,12 @@ def fitted(texts: list[str], langs: list[str], seed: int = 0, rounds: int = ROUN
                 rows.append(part)
                 marks.append(mark)
     place, y = np.stack(rows), np.stack(marks)
-    keys, one, back = np.unique(hashes[place], return_index=True, return_inverse=True)
-    back = back.reshape(place.shape)
+    _, one, word = np.unique(hashes[place], return_index=True, return_inverse=True)
+    word = word.reshape(place.shape)
     one = place.ravel()[one]
-    order = np.argsort(-(last[one] - first[one]), kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    one, word = one[order], rank[back]
     flat = list(features(data, first[one], last[one], hashes[one]))
-    bucket = np.concatenate([b for _, b in flat])
-    owner = np.concatenate([np.arange(n) for n, _ in flat])
+    bucket = np.concatenate([b for _, _, b in flat])
+    owner = np.concatenate([np.repeat(w, np.diff(s, append=len(b))) for w, s, b in flat])
     counts = np.stack([np.bincount(word[y == j], minlength=len(one)) for j in range(k)], axis=1)
     sure = (counts.sum(axis=1) >= 3) & (counts.max(axis=1) >= 0.8 * counts.sum(axis=1))
     listed = np.where(sure, counts.argmax(axis=1), -1)
@@ -258,14 +268,19 @@ def fitted(texts: list[str], langs: list[str], seed: int = 0, rounds: int = ROUN
 
 
 def fit(docs: DataFrame, is_training: Column, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """Fits to the labelled training rows; of each language a sample of about per_language rows, those of least hash."""
+    """Fits to the labelled training rows; of each language the per_language distinct texts of least hash, or all of
+    them. Of a text of over ``LONGEST`` characters a piece from anywhere in it is taken."""
     rows = docs.where(F.coalesce(is_training, F.lit(False))).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    rows = rows.where(f"octet_length(text) <= {LONGEST}").withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30))
-    share = {r.lang: per_language / r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 40)))
+    # about half as many again as wanted, so that a hash decides in the tasks what the exact rank then sees
+    share = {r.lang: int(1.5 * (per_language + 50) / r.n * (1 << 40)) for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not share:
         return fitted([], [])
     bound = F.element_at(F.create_map(*[F.lit(x) for kv in share.items() for x in kv]), F.col("lang"))
-    picked = sorted((r.h, r.text, r.lang) for r in rows.where(F.col("h") < bound).collect())
+    piece = F.expr(f"substring(text, cast(1 + pmod(h, greatest(1, char_length(text) - {LONGEST} + 1)) as int), {LONGEST})")
+    one = rows.where(F.col("h") < bound).groupBy("lang", "h").agg(F.min(piece).alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    picked = sorted((r.h, r.text, r.lang) for r in one.withColumn("rank", rank).where(F.col("rank") <= per_language).collect())
     return fitted([t for _, t, _ in picked], [v for _, _, v in picked])
 
 
@@ -322,14 +337,17 @@ def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, spans array<struct<first:long,end:long,lang:string,score:double>>").withColumnRenamed("id", id_col)
 
 
-def accepted(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """docs without those that are ``und`` or score less than least, all columns as they were."""
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.1) -> DataFrame:
+    """docs without those that are ``und`` or whose score lies less than ``least`` of the way from chance, one in the
+    number of languages, to certainty; all columns as they were."""
     own = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
+    chance = 1 / max(1, len(model.labels))
+    bar = chance + least * (1 - chance) - 1e-9
 
     def run(rows):
         for b in rows:
             names, scores = _summary(own.value, b.column(place))
-            yield b.filter(pa.array((np.array(names, object) != UND) & (scores >= least), pa.bool_()))
+            yield b.filter(pa.array((np.array(names, object) != UND) & (scores >= bar), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
