@@ -3,7 +3,7 @@
 A byte-level BPE never merges across pre-tokens, so the ids of a text are those of its pre-tokens in order. Most
 pre-tokens repeat; a worker keeps those it has met (up to ``KEEP``, then it starts anew), encodes the others in one
 batch and gathers the ids with numpy. Texts of Latin-1 characters are cut into pre-tokens by numpy too, others by the
-tokeniser's pattern. Strings that spell a special token are ordinary text here.
+tokeniser's pattern. Strings that spell one of the file's added tokens get its id, as the library does it.
 """
 
 from __future__ import annotations
@@ -59,7 +59,11 @@ class Encoder:
         if kind["pre_tokenizer"] != {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} or kind["normalizer"]:
             raise ValueError("a byte-level pre-tokeniser without a normaliser is needed")
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
-        self.tokenizer.encode_special_tokens = True
+        added = {t["content"]: t for t in kind["added_tokens"]}
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added.values()):
+            raise ValueError("added tokens must stand for their own characters only")
+        self.added = {c: np.array([t["id"]], np.uint32) for c, t in added.items()}
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte-level alphabet: these bytes stand for themselves
         rest = [i for i in range(256) if i not in plain]
@@ -119,18 +123,23 @@ class Encoder:
 
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a few texts, each with the end id, end to end; len + 1 offsets. None counts as empty."""
-        found: list = [None] * len(texts)
+        found: list = [[] for _ in texts]
         fast, where = [], []
         for i, t in enumerate(texts):
-            try:
-                parts = split_safely((t or "").encode("latin-1"))
-                fast += parts
-                where += [i] * len(parts)
-            except UnicodeEncodeError:
-                found[i] = [self._slow(t)]
+            for part in self.cut.split(t) if t and any(c in t for c in self.added) else [t or ""]:
+                if part in self.added:
+                    found[i].append(self.added[part])
+                    continue
+                try:
+                    parts = split_safely(part.encode("latin-1"))
+                    where += [(i, len(found[i]) + j) for j in range(len(parts))]
+                    fast += parts
+                    found[i] += [None] * len(parts)
+                except UnicodeEncodeError:
+                    found[i].append(self._slow(part))
         for lo, hi in groups(fast):
-            for i, ids in zip(where[lo:hi], self._fast(fast[lo:hi])):
-                found[i] = [*(found[i] or ()), ids]
+            for (i, j), ids in zip(where[lo:hi], self._fast(fast[lo:hi])):
+                found[i][j] = ids
         end = [] if self.end_id is None else [np.array([self.end_id], np.uint32)]
         sizes = [sum(map(len, f)) + len(end) for f in found]
         ids = [x for f in found for x in (*f, *end)]
