@@ -3,8 +3,8 @@
 A text is its lower-cased words, one space between them, and an end byte. Each byte is eight binary decisions; every
 decision has a tree of contexts, the last 0..DEPTH bytes. A node mixes, half and half, its own Krichevsky-Trofimov
 estimate and the product of its children's; with the training counts fixed, the weights follow bottom-up, and the
-probability of a decision is the mixture along its path. A child that training never reached predicts nothing, so its
-parent's own estimate stands there. The probabilities of both outcomes add up to one at every node.
+probability of a decision is the mixture along its path. A context that training never reached gives one half, as the
+tree of no data does. The probabilities of both outcomes add up to one at every node.
 
 As Spark jobs: documents are dealt into blocks of about ``BLOCK_MB``. A block sends its distinct (context, byte)
 grams, with training counts, to the partitions that own their last ``ROOT`` context bytes. Those build the subtrees and
@@ -15,7 +15,8 @@ grow with the corpus.
 
 Words are counted by 64-bit hashes of their bytes (for V distinct words two of them meet with odds of V^2 / 2^65).
 
-Defined cases: null and empty texts are the end alone; repeated rows train and score as often as they come; with no
+Defined cases: null and empty texts are the end alone; a very long text is scored whole, in slices of a megabyte; equal
+scores need no order; repeated rows train and score as often as they come; with no
 training rows every decision has probability one half; an empty table gives no rows; other columns are ignored.
 """
 
@@ -178,16 +179,15 @@ class Subtrees:
         out = np.zeros(len(self.keys))
         for j in range(8):
             bit = ((self.keys >> np.uint64(7 - j)) & np.uint64(1)).astype(bool)
-            p, seen = None, None
+            p = None
             for d in range(self.depth, self.root - 1, -1):
                 group, n0, n1, weight = self.nodes[d, j]
                 g = group[self.at[d]]
                 n = n0[g] + n1[g]
                 own = (np.where(bit, n1[g], n0[g]) + 0.5) / (n + 1)
-                p = own if p is None else np.where(seen, weight[g] * own + (1 - weight[g]) * p, own)
-                seen = n > 0
+                p = own if p is None else weight[g] * own + (1 - weight[g]) * p
             node = ((self.keys & np.uint64(255)) >> np.uint64(8 - j)) | np.uint64(1 << j)
-            out += np.log10(top.mixed(self.keys >> np.uint64(8 * (self.depth - self.root + 2)), node, bit, p, seen))
+            out += np.log10(top.mixed(self.keys >> np.uint64(8 * (self.depth - self.root + 2)), node, bit, p))
         return out
 
 
@@ -206,19 +206,18 @@ class Top:
                 n0, n1 = (np.bincount(where, v, len(keys)).astype(np.int64) for v in (n0, n1))
                 logs = np.bincount(where, total, len(keys))
 
-    def mixed(self, context: np.ndarray, node: np.ndarray, bit: np.ndarray, p: np.ndarray, seen: np.ndarray) -> np.ndarray:
-        """context: root - 1 bytes; p, seen: of the node below."""
+    def mixed(self, context: np.ndarray, node: np.ndarray, bit: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """context: root - 1 bytes; p: of the node below."""
         for keys, n0, n1, weight in self.levels:
             k = (context << np.uint64(8)) | node
             if len(keys):
                 i = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
                 there = keys[i] == k
-                a, b, w = np.where(there, n0[i], 0), np.where(there, n1[i], 0), weight[i]
+                a, b, w = np.where(there, n0[i], 0), np.where(there, n1[i], 0), np.where(there, weight[i], 0.5)
             else:
-                a = b = w = np.zeros(len(k))
+                a, b, w = np.zeros(len(k)), np.zeros(len(k)), 0.5
             own = (np.where(bit, b, a) + 0.5) / (a + b + 1)
-            p = np.where(seen, w * own + (1 - w) * p, own)
-            seen = a + b > 0
+            p = w * own + (1 - w) * p
             context = context >> np.uint64(8)
         return p
 
