@@ -1,5 +1,8 @@
 import base64
 import hashlib
+import io
+import random
+import zlib
 
 import pytest
 
@@ -35,23 +38,41 @@ def frame(spark, rows):
 
 @pytest.mark.parametrize("least", [0, 5])
 def test_round_trip(spark, least):
-    folder = warc.write(frame(spark, ROWS), least_bytes=least, file_mb=0.005, compression="none" if least else "gzip")
-    got = warc.captures(spark, folder, with_payload=True)
+    manifest = warc.write(frame(spark, ROWS), least_bytes=least, file_mb=0.005, compression="none" if least else "gzip")
+    got = warc.captures(manifest, with_payload=True)
     rows = sorted((tuple(r) for r in queries.capture_digests(got).collect()), key=str)
     assert rows == brute(ROWS, least)
+    seen = []
     for r in got.collect():
-        assert len({m.record_id for m in r.requests}) == 1 and r.requests[0].concurrent_to == r.response.record_id
+        assert len(r.requests) == len(r.metadata) == 1 and r.requests[0].concurrent_to == r.metadata[0].concurrent_to == r.response.record_id
+        seen += [r.requests[0].record_id, r.metadata[0].record_id, r.response.record_id]
         if r.response.type == "response":
             assert r.response.digest == "sha1:" + r.response.payload_digest
             assert bytes(r.response.payload).decode() in [h or "" for _, _, h in ROWS]
-    records = warc.read(spark, folder)
-    assert records.groupBy("type").count().where("type = 'request'").first()["count"] == len(ROWS)
+    assert len(set(seen)) == 3 * len(ROWS)
+    kinds = {r.type: r["count"] for r in warc.read(manifest).groupBy("type").count().collect()}
+    assert kinds["request"] == kinds["metadata"] == kinds["response"] + kinds["revisit"] == len(ROWS) and kinds["warcinfo"] == manifest.count()
+
+
+def test_files_are_bounded_and_every_record_is_a_member(spark):
+    rng = random.Random(0)
+    rows = [(i, "http://a.example/", "".join(rng.choices("abcdefgh", k=3000 if i else 300_000))) for i in range(40)]
+    manifest = warc.write(frame(spark, rows).coalesce(1), file_mb=0.02).collect()
+    assert len(manifest) > 3 and sum(r.n_records for r in manifest) == 3 * 40 + len(manifest)
+    assert all(r.n_bytes <= 20_000 or r.n_records == 4 for r in manifest)
+    for r in manifest:
+        data, members = open(r.path.removeprefix("file://"), "rb").read(), 0
+        while data:
+            one = zlib.decompressobj(31)
+            text = one.decompress(data)
+            assert text.startswith(b"WARC/1.1\r\n") and text.endswith(b"\r\n\r\n") and len(list(warc.parsed(io.BytesIO(text)))) == 1
+            data, members = one.unused_data, members + 1
+        assert members == r.n_records
 
 
 def test_empty_and_broken(spark):
-    folder = warc.write(frame(spark, []))
-    assert warc.captures(spark, folder).count() == 0
-    with pytest.raises(ValueError):
-        list(warc.parsed(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nshort\r\n\r\n"))
-    with pytest.raises(ValueError):
-        list(warc.parsed(b"junk"))
+    manifest = warc.write(frame(spark, []))
+    assert warc.captures(manifest).count() == 0
+    for broken in (b"WARC/1.1\r\nContent-Length: 9\r\n\r\nshort\r\n\r\n", b"junk", b"WARC/1.1\r\nContent-Le"):
+        with pytest.raises(ValueError):
+            list(warc.parsed(io.BytesIO(broken)))

@@ -32,7 +32,7 @@ def capture_digests(captures: DataFrame) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return capture_digests(warc.captures(spark, warc.write(table(spark, sf_dir, "pages"))))
+    return capture_digests(warc.captures(warc.write(table(spark, sf_dir, "pages"))))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,16 @@
 """WARC archives: captures written as request, response or revisit, and metadata records, and assembled again.
 
-Writing stays in built-in functions: the payloads' SHA-1 digests are grouped to find the response of equal payloads,
-each capture's three records become one text, and Spark's text sink writes them with the record terminator as line
-separator, so any file system that Spark knows will do and lost tasks are repeated by Spark; a file is gzipped whole
-unless told otherwise. Reading takes whole files
-(bounded by ``FILE_MB``, or one capture), walks their records by Content-Length, and assembles transactions: records
-meet under the identifier that WARC-Concurrent-To names; revisits are joined to the response that they refer to.
+Payloads are digested, numbered and kept in the shared folder; grouping the digests finds the response of equal
+payloads. Each task then writes its captures as archives of at most ``FILE_MB`` (compressed; or one capture), a warcinfo
+record first, every record a gzip member of its own, so that usual readers may seek to any. Each attempt of a task
+writes files of its own, and the manifest names those of the attempts that counted. Reading streams the archives of a
+manifest record by record and assembles transactions: records meet under the identifier that WARC-Concurrent-To names;
+revisits are joined to the response that they refer to.
 
 Defined cases: a null html is an empty payload; a null url has no WARC-Target-URI; line ends in a url are
 percent-encoded; a null id refers to nothing and never is the one referred to; rows repeated with one id and payload
-are captures of their own, all of the same type; an empty table writes no records; other columns are ignored.
+are captures of their own, with records of their own, all of the same type; a very long payload is one record of a file
+of its own; an empty table writes no archives; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,122 +18,174 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import shared_dir, stored
+from .bitpack import _fs
 
 FILE_MB = 8
-END = "\r\n\r\n"
+END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "type string, record_id string, concurrent_to string, refers_to string, target_uri string, date string, digest string, fields map<string,string>, http_head string, payload_bytes long, payload_digest string, payload binary"
 
 
-def base32_sha1(col: Column) -> Column:
-    """SHA-1 of a binary column in upper-case base 32: five hex digits are four of base 32."""
-    h = F.sha1(col)
-    quads = [F.lpad(F.conv(F.substring(h, 5 * i + 1, 5), 16, 32), 4, "0") for i in range(8)]
-    return F.translate(F.concat(*quads), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+def base32_sha1(payload: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def urn(*parts: Column) -> Column:
-    m = F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(m, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
+def urn(place: int, digest: str, kind: str) -> str:
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(f'{place}|{digest}|{kind}'.encode()).digest())}>"
 
 
-def record(kind: Column | str, headers: list[tuple[str, Column]], content_type: str, block: Column) -> Column:
-    """One WARC record without its end; headers of null value are left out."""
-    lines = [F.concat(F.lit(f"\r\n{k}: "), v) for k, v in headers]
-    lines = [F.coalesce(x, F.lit("")) for x in lines]
-    kind = F.lit(kind) if isinstance(kind, str) else kind
-    return F.concat(F.lit("WARC/1.1\r\nWARC-Type: "), kind, *lines, F.lit(f"\r\nContent-Type: {content_type}\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit(END), block)
+def record(kind: str, headers: list[tuple[str, str | None]], content_type: str, block: bytes) -> bytes:
+    """One WARC record with its end; headers of null value are left out."""
+    lines = [f"WARC/1.1\r\nWARC-Type: {kind}", *(f"{k}: {v}" for k, v in headers if v is not None), f"Content-Type: {content_type}", f"Content-Length: {len(block)}"]
+    return b"".join(["\r\n".join(lines).encode(), END, block, END])
+
+
+def capture(place: int, id_, url: str | None, payload: bytes, digest: str, first_place: int | None, date: str) -> list[bytes]:
+    """The three records of one capture; a revisit names the place of its response."""
+    again = first_place is not None
+    url = None if url is None else url.replace("\r", "%0D").replace("\n", "%0A")
+    common = [("WARC-Target-URI", url), ("WARC-Date", date)]
+    own = urn(place, digest, "response")
+    rest = (url or "").partition("://")[2].partition("#")[0]
+    host, slash, path = rest.partition("/")
+    get = f"GET {slash + path or '/'} HTTP/1.1\r\nHost: {host}".encode() + END
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}".encode() + END
+    return [
+        record("request", [("WARC-Record-ID", urn(place, digest, "request")), ("WARC-Concurrent-To", own), *common], "application/http; msgtype=request", get),
+        record("revisit" if again else "response", [("WARC-Record-ID", own), *common, ("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Profile", PROFILE if again else None), ("WARC-Refers-To", urn(first_place, digest, "response") if again else None)], "application/http; msgtype=response", http + (b"" if again else payload)),
+        record("metadata", [("WARC-Record-ID", urn(place, digest, "metadata")), ("WARC-Concurrent-To", own), *common], "application/warc-fields", b"" if id_ is None else f"capture-id: {id_}\r\n".encode()),
+    ]
 
 
 def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
-    """(id, url, html, digest, refers_to): refers_to is the smallest id of an equal payload, null for responses."""
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", base32_sha1(F.col("html").cast("binary")))
-    first = rows.where(F.octet_length("html") >= least_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
-    first = stored(first.select("digest", "first"), "firsts")  # a plain scan, so that Spark may split the rows of a frequent payload
+    """(place, id, url, html, digest, bytes, refers_to, first_place): refers_to is the smallest id of an equal payload,
+    null for responses, first_place the place of a row of that id; place numbers the rows."""
+    kind = pages.schema[id_col].dataType.simpleString()
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("html"))
+
+    def number(batches):
+        from pyspark import TaskContext
+
+        place = TaskContext.get().partitionId() << 33
+        for b in batches:
+            html = b.column(2).to_pylist()
+            cols = [pa.array(range(place, place + len(html)), pa.int64()), *b.columns, pa.array(map(base32_sha1, html), pa.string()), pa.array(map(len, html), pa.int64())]
+            place += len(html)
+            yield pa.RecordBatch.from_arrays(cols, names=["place", "id", "url", "html", "digest", "bytes"])
+
+    rows = stored(rows.mapInArrow(number, f"place long, id {kind}, url string, html binary, digest string, bytes long"), "payloads")
+    first = rows.where(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "place"))).alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
+    first = stored(first.select("digest", F.col("first.id").alias("first"), F.col("first.place").alias("first_place")), "firsts")  # a plain scan, so that Spark may split the rows of a frequent payload
+    again = ~F.col("id").eqNullSafe(F.col("first"))
     joined = rows.join(first, "digest", "left")
-    return joined.select("id", "url", "html", "digest", F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+    return joined.select("place", "id", "url", "html", "digest", "bytes", F.when(again, F.col("first")).alias("refers_to"), F.when(again, F.col("first_place")).alias("first_place"))
 
 
-def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", file_mb: float = FILE_MB, compression: str = "gzip") -> str:
-    """Writes three records a page and returns the folder, by default one in spark.checkpoint.dir."""
+def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", file_mb: float = FILE_MB, compression: str = "gzip") -> DataFrame:
+    """Writes three records a page; returns the manifest (path, n_records, n_bytes). The folder must be one that executors
+    share; the default lies in spark.checkpoint.dir."""
     folder = folder or f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
-    size = pages.agg(F.avg(F.octet_length(html_col)).alias("mean")).first().mean or 0
-    rows = planned(pages, id_col, url_col, html_col, least_bytes)
-    url = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
-    own, other = urn(F.col("id"), F.col("digest"), F.lit("response")), urn(F.col("refers_to"), F.col("digest"), F.lit("response"))
-    again = F.col("refers_to").isNotNull()
-    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("html").cast("string"), F.lit(END), F.when(again, "").otherwise(F.col("html")))
-    common = [("WARC-Target-URI", url), ("WARC-Date", F.lit(date))]
-    of_digest = ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")))
-    response = record(F.when(again, "revisit").otherwise("response"), [("WARC-Record-ID", own), *common, of_digest, ("WARC-Profile", F.when(again, PROFILE)), ("WARC-Refers-To", F.when(again, other))], "application/http; msgtype=response", http)
-    get = F.concat(F.lit("GET "), F.coalesce(F.nullif(F.regexp_extract(url, "^[^:/]*://[^/]*(/[^#]*)", 1), F.lit("")), F.lit("/")), F.lit(" HTTP/1.1\r\nHost: "), F.coalesce(F.regexp_extract(url, "://([^/]*)", 1), F.lit("")), F.lit(END))
-    request = record("request", [("WARC-Record-ID", urn(F.col("id"), F.col("digest"), F.lit("request"))), ("WARC-Concurrent-To", own), *common], "application/http; msgtype=request", get)
-    metadata = record("metadata", [("WARC-Record-ID", urn(F.col("id"), F.col("digest"), F.lit("metadata"))), ("WARC-Concurrent-To", own), *common], "application/warc-fields", F.concat(F.lit("capture-id: "), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("\r\n")))
-    text = rows.select(F.concat(request, F.lit(END), response, F.lit(END), metadata).alias("value"))
-    text.write.option("lineSep", END).option("compression", compression).option("maxRecordsPerFile", max(1, int(file_mb * 1e6 / (size + 1500)))).text(folder)
-    return folder
-
-
-def parsed(data: bytes):
-    """(headers by lower-case name, block) of each record of an archive."""
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no WARC record at byte {at}")
-        lines = data[at:end].decode().split("\r\n")
-        head = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+    rows = planned(pages, id_col, url_col, html_col, least_bytes).select("place", "id", "url", "html", "digest", "first_place")
+    suffix = ".warc.gz" if compression == "gzip" else ".warc"
+    squeeze = (lambda r: gzip.compress(r, 3, mtime=0)) if compression == "gzip" else (lambda r: r)
+
+    def run(batches):
+        fs, base = _fs(folder)
+        fs.create_dir(base, recursive=True)
+        held, size = [], 0
+
+        def flush():
+            name = f"{uuid.uuid4().hex}{suffix}"
+            info = record("warcinfo", [("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", date), ("WARC-Filename", name)], "application/warc-fields", b"format: WARC File Format 1.1\r\n")
+            with fs.open_output_stream(f"{base}/{name}", compression=None) as f:
+                f.write(b"".join([squeeze(info), *held]))
+            out = pa.RecordBatch.from_pylist([{"path": f"{folder}/{name}", "n_records": len(held) + 1, "n_bytes": size}])
+            held.clear()
+            return out
+
+        for b in batches:
+            for place, id_, url, html, digest, first_place in zip(*(c.to_pylist() for c in b.columns)):
+                own = [squeeze(r) for r in capture(place, id_, url, html, digest, first_place, date)]
+                more = sum(map(len, own))
+                if held and size + more > file_mb * 1e6:
+                    yield flush()
+                    size = 0
+                held += own
+                size += more
+        if held:
+            yield flush()
+
+    return stored(rows.mapInArrow(run, "path string, n_records long, n_bytes long"), "manifest")
+
+
+def parsed(file):
+    """(headers by lower-case name, block) of each record of an archive, read in turn from a file."""
+    while line := file.readline():
+        if not line.startswith(b"WARC/"):
+            raise ValueError("no WARC record where one should begin")
+        head = {}
+        while (line := file.readline()) != b"\r\n":
+            if not line:
+                raise ValueError("a record's headers are cut short")
+            k, _, v = line.decode().partition(":")
+            head[k.lower()] = v.strip()
         n = int(head["content-length"])
-        block = data[end + 4 : end + 4 + n]
-        if len(block) < n or data[end + 4 + n : end + 8 + n] != b"\r\n\r\n":
-            raise ValueError(f"the record at byte {at} is cut short")
+        block = file.read(n)
+        if len(block) < n or file.read(4) != END:
+            raise ValueError("a record is cut short")
         yield head, block
-        at = end + 8 + n
 
 
-def read(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
-    """One row per record; http_head and payload for HTTP blocks, fields for metadata."""
+def read(manifest: DataFrame, with_payload: bool = True, at_a_time: int = 1 << 22) -> DataFrame:
+    """One row per record of the archives that a table's column path names, gzipped or not; http_head and payload for
+    HTTP blocks, fields for warcinfo and metadata."""
 
     def run(rows):
         for b in rows:
-            for data in b.column(0):
-                out = []
-                whole = data.as_py()
-                for head, block in parsed(gzip.decompress(whole) if whole[:2] == b"\x1f\x8b" else whole):
-                    r = {"type": head["warc-type"], "record_id": head["warc-record-id"], "concurrent_to": head.get("warc-concurrent-to"), "refers_to": head.get("warc-refers-to"), "target_uri": head.get("warc-target-uri"), "date": head.get("warc-date"), "digest": head.get("warc-payload-digest")}
-                    if head.get("content-type", "").startswith("application/http"):
-                        http, _, payload = block.partition(b"\r\n\r\n")
-                        r |= {"http_head": http.decode("utf-8", "replace"), "payload_bytes": len(payload), "payload_digest": base64.b32encode(hashlib.sha1(payload).digest()).decode(), "payload": payload if with_payload else None}
-                    elif head.get("content-type") == "application/warc-fields":
-                        r["fields"] = [(k, v.strip()) for k, _, v in (x.partition(":") for x in block.decode().splitlines()) if k]
-                    out.append(r)
+            for path in b.column(0).to_pylist():
+                fs, name = _fs(path)
+                out, size = [], 0
+                with fs.open_input_file(name) as raw:
+                    for head, block in parsed(gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else io.BufferedReader(raw)):
+                        r = {"type": head["warc-type"], "record_id": head["warc-record-id"], "concurrent_to": head.get("warc-concurrent-to"), "refers_to": head.get("warc-refers-to"), "target_uri": head.get("warc-target-uri"), "date": head.get("warc-date"), "digest": head.get("warc-payload-digest")}
+                        if head.get("content-type", "").startswith("application/http"):
+                            http, _, payload = block.partition(END)
+                            r |= {"http_head": http.decode("utf-8", "replace"), "payload_bytes": len(payload), "payload_digest": base32_sha1(payload), "payload": payload if with_payload else None}
+                        elif head.get("content-type") == "application/warc-fields":
+                            r["fields"] = [(k, v.strip()) for k, _, v in (x.partition(":") for x in block.decode().splitlines()) if k]
+                        out.append(r)
+                        size += len(block) * with_payload + 1000
+                        if size >= at_a_time:
+                            yield pa.RecordBatch.from_pylist(out, schema)
+                            out, size = [], 0
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema)
 
     schema = pa.schema([*((c, pa.string()) for c in ("type", "record_id", "concurrent_to", "refers_to", "target_uri", "date", "digest")), ("fields", pa.map_(pa.string(), pa.string())), ("http_head", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
-    return spark.read.format("binaryFile").load(folder).select("content").mapInArrow(run, RECORD)
+    files = max(1, manifest.count())
+    return manifest.select("path").repartitionByRange(files, "path").mapInArrow(run, RECORD)
 
 
 def transactions(records: DataFrame) -> DataFrame:
     """One nested row per capture: (capture, response, requests, metadata); response is a response or revisit record."""
     one = F.struct(*records.columns)
     kind = F.col("type")
-    met = records.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture")).agg(
+    met = records.where(kind.isin("response", "revisit", "request", "metadata")).groupBy(F.coalesce("concurrent_to", "record_id").alias("capture")).agg(
         F.collect_list(F.when(kind.isin("response", "revisit"), one)).alias("responses"), F.collect_list(F.when(kind == "request", one)).alias("requests"), F.collect_list(F.when(kind == "metadata", one)).alias("metadata")
     )
     return met.select("capture", F.explode("responses").alias("response"), "requests", "metadata")
 
 
-def captures(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFrame:
-    """Transactions with capture_id from their metadata, and of revisits the response that they refer to."""
-    done = transactions(read(spark, folder, with_payload)).withColumn("capture_id", F.nullif(F.element_at(F.col("metadata")[0]["fields"], "capture-id"), F.lit("")))
+def captures(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
+    """Of a manifest's archives, transactions with capture_id from their metadata, and of revisits the response that they refer to."""
+    done = transactions(read(manifest, with_payload)).withColumn("capture_id", F.nullif(F.element_at(F.col("metadata")[0]["fields"], "capture-id"), F.lit("")))
     done = done if with_payload else stored(done, "captures")  # small rows, so that archives are read once
     responses = done.where("response.type = 'response'").groupBy(F.col("capture").alias("r_capture")).agg(F.first("capture_id").alias("r_id"), F.first("response.payload_bytes").alias("r_bytes"), F.first("response.payload_digest").alias("r_digest"))
     responses = stored(responses, "responses")  # a plain scan: revisits of one response may be half of all rows
