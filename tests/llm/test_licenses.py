@@ -1,3 +1,6 @@
+import math
+import re
+
 from tilelake.llm import licenses
 
 
@@ -31,3 +34,76 @@ def test_native_plan_and_empty(spark):
     assert out.count() == 0
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+#: Wordings that no training notice has; the classifier and the templates must carry over to them.
+UNSEEN = {
+    "AGPL": ["This server is distributed under the terms of the GNU Affero General Public License v3.", "You may use this code under the AGPL, see COPYING."],
+    "Apache": ["The code in this folder is made available under the Apache License 2.0, see LICENSE.", "Distributed under the terms of the Apache License, Version 2.0, a copy of which is included."],
+    "BSD": ["This project is licensed under the BSD 3-Clause License - see the LICENSE file for details.", "/* Redistribution and use in source and binary forms,\n * with or without modification, are permitted\n * provided that these conditions hold: */"],
+    "CC-BY": ["Text and figures are available under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-NC": ["All photographs are shared under the Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "CC-BY-SA": ["Content on this site is available under the Creative Commons Attribution-ShareAlike 4.0 International License unless noted."],
+    "CC0": ["The author waived all copyright and related or neighboring rights to this work to the extent possible under law."],
+    "GPL": ["This plugin is distributed under the terms of the GNU General Public License, version 2.", "# you can redistribute it and/or modify it under the terms\n# of the GNU General Public License as published by\n# the Free Software Foundation; either version 2"],
+    "ISC": ["Permission to use, copy, modify, and distribute this software\nfor any purpose with or without fee is hereby granted."],
+    "LGPL": ["This module may be used under the GNU Lesser General Public License, version 2.1.", "// SPDX-License-Identifier: LGPL-2.1"],
+    "MIT": ["This project is licensed under the MIT License - see the LICENSE.md file for details.", "// Permission is hereby granted, free of charge, to any person\n// obtaining a copy of this software and associated\n// documentation files, to deal in the Software"],
+    "MPL": ["Subject to the terms of the Mozilla Public License, v. 2.0, you may share these files."],
+    "Unlicense": ["Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software for any purpose."],
+}
+CLEAN = [
+    "The software company released its results under the terms that the court had set.", "The general public may use the hall free of charge.", "Permission to build was granted by the council without any conditions.",
+    "You may obtain a copy of the map at the office; it is provided as is.", "This work is about the end of the war and its foundation myths.", "All rights to the land were sold, with or without the house.", "See the file for details of the project and the people in it.",
+]
+
+
+def test_held_out_wordings(spark):
+    seen = {" ".join(licenses._plain(t)) for _, t in licenses.notices()}
+    rows, want = [], []
+    for f, texts in UNSEEN.items():
+        for t in texts:
+            assert " ".join(licenses._plain(t)) not in seen
+            want.append(f)
+            rows.append((len(rows), "It rained all day and the road was closed.\n\n" + t + "\n\nThe fair is in May."))
+    rows += [(1000 + i, t) for i, t in enumerate(CLEAN)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = licenses.trained(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    got = {r.doc_id: r.families for r in licenses.scan(docs, model=model).collect()}
+    right = sum(got[i] == f for i, f in enumerate(want))
+    assert right >= 0.9 * len(want), [(f, got[i]) for i, f in enumerate(want) if got[i] != f]
+    assert not any(got[1000 + i] for i in range(len(CLEAN)))
+    # two licences on one line, and a text without line ends
+    both = "Dual licensed under the MIT License or the Apache License, Version 2.0, at your option."
+    long = "no line ends " * 300 + "Released under the MIT License. " + "more of it " * 300 + "Licensed under the Apache License, Version 2.0."
+    two = {r.doc_id: r.families for r in licenses.scan(spark.createDataFrame([(1, both), (2, long)], "doc_id long, text string"), model=model).collect()}
+    assert two == {1: "Apache,MIT", 2: "Apache,MIT"}
+
+
+def test_scores_against_brute_force(spark):
+    docs = spark.createDataFrame([(1, "a b\n\nLicensed under the MIT License, see the file.\n * " + "word " * 30 + "under the GNU General Public License as published\r\n\r\nx")], "doc_id long, text string")
+    weights, families, biases, temperature = model = licenses.trained(docs)
+    table = {r.gram: r.w for r in weights.collect()}
+    pairs = {}
+
+    def key(a, b):
+        if (a, b) not in pairs:
+            pairs[a, b] = spark.range(1).selectExpr(f"xxhash64('{a}', '{b}') as h").first().h
+        return pairs[a, b]
+
+    want = {}
+    for p, part in enumerate(re.split(r"\r?\n\s*\r?\n", docs.first().text)):
+        w = licenses._plain(part)
+        grams = [key(*g) for g in zip(w, w[1:])]
+        for wide in licenses.WINDOWS:
+            for lo in range(0, max(1, len(grams)), wide // 2):
+                hits = {g for g in grams[lo : lo + wide - 1] if g in table}
+                if len(hits) >= licenses.LEAST:
+                    z = [(b + sum(table[g][k] for g in hits)) / temperature for k, b in enumerate(biases)]
+                    e = [math.exp(v - max(z)) for v in z]
+                    for f, x in zip(families, e):
+                        if f != "unknown" and x / sum(e) >= licenses.CERTAIN:
+                            want.setdefault((p, f), []).append(x / sum(e))
+    got = {(r.paragraph, r.family): r for r in licenses.paragraphs(docs, model=model).collect()}
+    assert got.keys() == want.keys() and {f for _, f in got} >= {"MIT", "GPL"}
+    assert all(any(abs(r.score - s) < 1e-9 for s in want[k]) for k, r in got.items())

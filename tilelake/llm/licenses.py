@@ -1,17 +1,22 @@
 """Licence scans by a trained paragraph classifier, in built-in functions only.
 
-A paragraph is what stands between line ends. Its features are its word bigrams, hashed; a sparse multinomial logistic
-regression, fitted by Spark's own learner on the notices below, on spans of them, and on a bounded sample of corpus
-paragraphs as the unknown class, gives each licence family a probability. A temperature fitted on held-out spans
-calibrates it; what stays under ``CERTAIN`` or is most likely unknown is unknown. A prediction counts only if
-comparison with a template of that family confirms it: enough of the template's bigrams occur, or nearly all of the
-paragraph's are the template's.
-
-All paragraphs of all documents are scored: their bigrams are joined to the weights, a table bounded by the notices,
-and summed by paragraph. The sample has at most ``SAMPLE`` documents (those of least hash).
-
-Defined cases: null or empty texts have no paragraph; paragraphs of one word are unknown; repeated rows are judged row
-by row; an empty table gives no rows; other columns are ignored.
+A paragraph is what stands between blank lines, so that wrapped notices are read whole; marks of comments are no words.
+Features are word bigrams, hashed; a sparse multinomial logistic regression, fitted by Spark's own learner on the
+notices below, on spans of them, and on a bounded sample of corpus text as the unknown class, gives each licence family
+a probability. A temperature calibrates it, fitted on notices that a first fit has not seen; what has no family of
+``CERTAIN`` or more is unknown (a quarter, as two licences in one window share it). A prediction counts only if
+comparison with a template of that family confirms it: enough of the template's bigrams occur, or nearly all of the text's are the template's, and more of them
+than of any other family's template.
+
+What is scored are windows of 8, 16 and 64 words that overlap by half (``WINDOWS``), over the whole of each paragraph:
+long notices fill the wide ones, and where two licences are named close together the narrow ones tell them apart. All
+paragraphs of all documents are scored: their bigrams are joined to the weights, a table bounded by the notices, and
+those that have a weight are summed by window. The sample has at most ``SAMPLE`` distinct texts (those of least hash),
+and ``PIECES`` windows of each.
+
+Defined cases: null or empty texts have no paragraph; paragraphs of one word are unknown; a very long paragraph is
+scanned whole; of equally near templates the first counts; repeated rows are judged row by row; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,8 +27,27 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SAMPLE, CERTAIN, OF_TEMPLATE, OF_PARAGRAPH, LEAST = 300, 0.5, 0.6, 0.8, 3
+SAMPLE, PIECES, CERTAIN, OF_TEMPLATE, OF_PARAGRAPH, LEAST = 300, 16, 0.25, 0.6, 0.8, 3
+WINDOWS = (8, 16, 64)
 UNKNOWN = "unknown"
+BLANK = "\\r?\\n[^\\S\\n]*(?:\\r?\\n[^\\S\\n]*)+"
+
+#: How licences are named and their identifiers.
+NAMES: dict[str, tuple[list[str], list[str]]] = {
+    "AGPL": (["GNU Affero General Public License", "AGPL"], ["AGPL-3.0-or-later"]),
+    "Apache": (["Apache License 2.0", "Apache 2.0 license"], ["Apache-2.0"]),
+    "BSD": (["BSD License", "BSD 3-Clause License", "BSD 2-Clause License"], ["BSD-3-Clause", "BSD-2-Clause"]),
+    "CC-BY": (["Creative Commons Attribution 4.0 International License"], ["CC-BY-4.0"]),
+    "CC-BY-NC": (["Creative Commons Attribution-NonCommercial 4.0 International License"], ["CC-BY-NC-4.0"]),
+    "CC-BY-SA": (["Creative Commons Attribution-ShareAlike 4.0 International License"], ["CC-BY-SA-4.0"]),
+    "CC0": (["CC0 1.0 Universal"], ["CC0-1.0"]),
+    "GPL": (["GNU General Public License", "GPL"], ["GPL-3.0-or-later", "GPL-2.0-only"]),
+    "ISC": (["ISC License"], ["ISC"]),
+    "LGPL": (["GNU Lesser General Public License", "LGPL"], ["LGPL-2.1-or-later"]),
+    "MIT": (["MIT License"], ["MIT"]),
+    "MPL": (["Mozilla Public License 2.0", "MPL 2.0"], ["MPL-2.0"]),
+    "Unlicense": (["Unlicense"], ["Unlicense"]),
+}
 
 #: Notices by which licences are given, from their public texts.
 TEMPLATES: dict[str, list[str]] = {
@@ -40,6 +64,9 @@ TEMPLATES: dict[str, list[str]] = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed.",
         "Released under the BSD License.",
     ],
     "CC-BY": ["This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."],
@@ -51,7 +78,7 @@ TEMPLATES: dict[str, list[str]] = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
     ],
-    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "Released under the ISC License."],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "The software is provided \"as is\" and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness.", "Released under the ISC License."],
     "LGPL": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
         "Licensed under the GNU Lesser General Public License, version 3.",
@@ -60,12 +87,21 @@ TEMPLATES: dict[str, list[str]] = {
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.",
     ],
     "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
 }
 
 
+def notices() -> list[tuple[str, str]]:
+    """(family, text) of all notices: those above, and each name and identifier in its usual sentence."""
+    out = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
+    for f, (names, marks) in NAMES.items():
+        out += [(f, f"licensed under the {n}") for n in names] + [(f, f"SPDX-License-Identifier: {m}") for m in marks]
+    return out
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
 
@@ -76,39 +112,60 @@ def pairs(w: Column, of) -> Column:
     return F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), of)
 
 
+def spoken(w: Column) -> Column:
+    return pairs(w, lambda a, b: F.concat_ws(" ", a, b))
+
+
 def templates(spark: SparkSession) -> DataFrame:
     """(template, family, words) of the notices."""
-    rows = [F.struct(F.lit(i).alias("template"), F.lit(f).alias("family"), F.lit(t).alias("text")) for i, (f, t) in enumerate((f, t) for f, ts in TEMPLATES.items() for t in ts)]
+    rows = [F.struct(F.lit(i).alias("template"), F.lit(f).alias("family"), F.lit(t).alias("text")) for i, (f, t) in enumerate(notices())]
     return spark.range(1).select(F.inline(F.array(*rows))).select("template", "family", words(F.col("text")).alias("words"))
 
 
 def examples(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(family, grams, held): the notices, which are always trained on, and spans of them; the same backwards as unknown; paragraphs of the
-    corpus sample."""
-    own = templates(docs.sparkSession)
+    """(family, grams, held): whole notices many times, spans of them; the same backwards as unknown; windows of the
+    corpus sample in which few bigrams are a notice's. held: of a notice that the first fit does not see."""
+    own = templates(docs.sparkSession).withColumn("held", F.col("template") % 5 == 4)
     spans = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - 4), F.lit(3)), lambda i: F.slice(F.col("words"), i, F.lit(12)))
-    spans = own.select("family", F.explode(F.filter(spans, lambda s: F.size(s) >= 5)).alias("words"), F.lit(False).alias("whole"))
-    spans = own.select("family", F.explode(F.array_repeat(F.col("words"), 20)).alias("words"), F.lit(True).alias("whole")).union(spans)
-    backwards = spans.select(F.lit(UNKNOWN).alias("family"), F.reverse("words").alias("words"), "whole")
-    picked = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null").orderBy(F.xxhash64("text"), "text").limit(sample)
-    lines = picked.select(F.explode(F.split("text", "[\\r\\n]+")).alias("line")).select(words(F.col("line")).alias("words")).where("size(words) > 1")
-    known = own.agg(F.array_distinct(F.flatten(F.collect_list(pairs(F.col("words"), lambda a, b: F.concat_ws(" ", a, b))))).alias("known"))
-    lines = lines.select("words", pairs(F.col("words"), lambda a, b: F.concat_ws(" ", a, b)).alias("g")).join(F.broadcast(known))
-    lines = lines.where(F.size(F.array_intersect("g", "known")) < 0.4 * F.size("g")).select(F.lit(UNKNOWN).alias("family"), "words", F.lit(False).alias("whole"))
-    rows = spans.union(backwards).union(lines)
-    return rows.select("family", pairs(F.col("words"), lambda a, b: F.concat_ws(" ", a, b)).alias("grams"), (~F.col("whole") & (F.pmod(F.xxhash64("words"), F.lit(4)) == 0)).alias("held"))
+    spans = own.select("family", F.explode(F.filter(spans, lambda s: F.size(s) >= 5)).alias("words"), "held")
+    spans = own.select("family", F.explode(F.array_repeat(F.col("words"), 20)).alias("words"), "held").union(spans)
+    backwards = spans.select(F.lit(UNKNOWN).alias("family"), F.reverse("words").alias("words"), "held")
+    # about four times what is wanted passes by its hash, so that no task sends on more than a few texts
+    share = min(1.0, 4 * (sample + 50) / max(1, docs.count()))
+    rows = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null").withColumn("h", F.xxhash64("text"))
+    rows = rows.where(F.pmod("h", F.lit(1 << 40)) <= int(share * (1 << 40))).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(sample)
+    cut = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w")), F.lit(WINDOWS[-1])), lambda i: F.slice(F.col("w"), i, F.lit(WINDOWS[-1])))
+    lines = rows.select("h", words(F.col("text")).alias("w")).where("size(w) > 1").select("h", F.slice(cut, 1, PIECES).alias("c")).select("h", F.explode("c").alias("words")).where("size(words) > 1")
+    known = sorted({f"{a} {b}" for _, t in notices() for w in [_plain(t)] for a, b in zip(w, w[1:])})
+    lines = lines.withColumn("g", spoken(F.col("words"))).where(F.size(F.array_intersect("g", F.array(*map(F.lit, known)))) < 0.3 * F.size("g"))
+    lines = lines.select(F.lit(UNKNOWN).alias("family"), "words", (F.pmod("h", F.lit(5)) == 4).alias("held"))
+    return spans.union(backwards).union(lines).select("family", spoken(F.col("words")).alias("grams"), "held")
+
+
+def _plain(text: str) -> list[str]:
+    """The words of a notice; these hold ASCII only."""
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
 def trained(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[DataFrame, list[str], list[float], float]:
     """(weights by hashed bigram, families, biases, temperature)."""
+    from pyspark.ml.functions import vector_to_array
+
     spark = docs.sparkSession
     families = [*TEMPLATES, UNKNOWN]
     of = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
-    rows = examples(docs, text_col, sample).withColumn("label", of).cache()
-    grams = templates(spark).select(pairs(F.col("words"), lambda a, b: F.concat_ws(" ", a, b)).alias("grams"))
-    counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(grams)
+    rows = examples(docs, text_col, sample).withColumn("label", of).coalesce(2).cache()  # bounded by the notices and the sample
+    grams = templates(spark).select(spoken(F.col("words")).alias("grams"))
+    counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(grams.coalesce(1))
     learner = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-4, elasticNetParam=0.5, standardization=False)
-    model = learner.fit(counter.transform(rows.where("not held")))
+    seen = learner.fit(counter.transform(rows.where("not held")))
+    logits = seen.transform(counter.transform(rows.where("held"))).select("label", vector_to_array("rawPrediction").alias("z"))
+    grid = [0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0]
+    loss = [F.avg(F.log(F.aggregate(F.transform("z", lambda v: F.exp((v - F.element_at("z", F.col("label").cast("int") + 1)) / t)), F.lit(0.0), lambda a, b: a + b))).alias(str(i)) for i, t in enumerate(grid)]
+    losses = logits.agg(*loss).first()
+    temperature = min(zip((math.inf if x is None else x for x in losses), grid))[1]
+    model = learner.fit(counter.transform(rows))
+    rows.unpersist()
     margins = [float(b) for b in model.interceptVector]
     table = model.coefficientMatrix.toArray()
     terms = [F.struct(F.lit(t).alias("gram"), F.array(*[F.lit(float(x)) for x in table[:, i]]).alias("w")) for i, t in enumerate(counter.vocabulary)]
@@ -117,48 +174,52 @@ def trained(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tu
     for p in parts[1:]:
         weights = weights.union(p)
     weights = weights.select(F.xxhash64(F.split("gram", " ")[0], F.split("gram", " ")[1]).alias("gram"), "w")
-    raw = counter.transform(rows.where("held"))
-    raw = model.transform(raw).selectExpr("label", "rawPrediction")
-    from pyspark.ml.functions import vector_to_array
-
-    logits = raw.select("label", vector_to_array("rawPrediction").alias("z"))
-    grid = [0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0]
-    loss = [F.avg(F.log(F.aggregate(F.transform("z", lambda v: F.exp((v - F.element_at("z", F.col("label").cast("int") + 1)) / t)), F.lit(0.0), lambda a, b: a + b))).alias(str(i)) for i, t in enumerate(grid)]
-    losses = logits.agg(*loss).first()
-    rows.unpersist()
-    temperature = min(zip((math.inf if x is None else x for x in losses), grid))[1]
     return weights, families, margins, temperature
 
 
-def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(id, text_hash, paragraph, family, score, confirmed, template): paragraphs that the classifier takes for a licence."""
-    weights, families, biases, temperature = trained(docs, text_col, sample)
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode(F.split(F.col(text_col).cast("string"), "[\\r\\n]+")).alias("paragraph", "line"))
-    grams = rows.select("id", "text_hash", "paragraph", pairs(words(F.col("line")), lambda a, b: F.xxhash64(a, b)).alias("grams"))
-    grams = grams.select("id", "text_hash", "paragraph", F.size("grams").alias("n"), F.explode(F.array_distinct("grams")).alias("gram"))
+def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, model=None) -> DataFrame:
+    """(id, text_hash, paragraph, family, score, confirmed, template): the families that windows of a paragraph show."""
+    weights, families, biases, temperature = model or trained(docs, text_col, sample)
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode(F.split(F.col(text_col).cast("string"), BLANK)).alias("paragraph", "part"))
+    grams = rows.select("id", "text_hash", "paragraph", pairs(words(F.col("part")), lambda a, b: F.xxhash64(a, b)).alias("grams"))
+    grams = grams.select("id", "text_hash", "paragraph", F.size("grams").alias("n"), F.posexplode("grams").alias("place", "gram"))
     met = grams.join(F.broadcast(weights), "gram")
-    sums = met.groupBy("id", "text_hash", "paragraph", "n").agg(F.collect_set(F.struct("gram", "w")).alias("hits"))  # a set: rows may repeat
+    # a window of w words has w - 1 bigrams and begins every w / 2 words; the last ones of a paragraph are shorter
+    inside = [F.struct(F.lit(w).alias("wide"), (F.floor(F.col("place") / (w // 2)) - k).cast("int").alias("nth")) for w in WINDOWS for k in (0, 1)]
+    met = met.withColumn("at", F.explode(F.array(*inside))).where("at.nth >= 0 and place < at.nth * (at.wide div 2) + at.wide - 1")
+    met = met.withColumn("n", F.least(F.col("at.wide") - 1, F.col("n") - F.col("at.nth") * (F.col("at.wide") / 2)).cast("int"))
+    sums = met.groupBy("id", "text_hash", "paragraph", "at", "n").agg(F.collect_set(F.struct("gram", "w")).alias("hits")).where(F.size("hits") >= LEAST)  # a set: rows may repeat
     zero = F.array(*map(F.lit, biases))
     z = F.aggregate("hits", zero, lambda acc, h: F.zip_with(acc, h["w"], lambda a, b: a + b))
     sums = sums.withColumn("z", F.transform(z, lambda v: v / temperature)).withColumn("top", F.array_max("z"))
-    sums = sums.withColumn("score", 1 / F.aggregate(F.transform("z", lambda v: F.exp(v - F.col("top"))), F.lit(0.0), lambda a, b: a + b))
-    sums = sums.withColumn("family", F.element_at(F.array(*map(F.lit, families)), F.array_position("z", F.col("top")).cast("int")))
-    sums = sums.where((F.col("family") != UNKNOWN) & (F.col("score") >= CERTAIN)).withColumn("hits", F.transform("hits", lambda h: h["gram"]))
+    sums = sums.withColumn("z", F.transform("z", lambda v: F.exp(v - F.col("top")))).withColumn("all", F.aggregate("z", F.lit(0.0), lambda a, b: a + b))
+    each = F.zip_with(F.array(*map(F.lit, families)), "z", lambda f, v: F.struct(f.alias("family"), (v / F.col("all")).alias("score")))
+    likely = F.filter(each, lambda x: (x["score"] >= CERTAIN) & (x["family"] != UNKNOWN))
+    sums = sums.withColumn("hits", F.transform("hits", lambda h: h["gram"])).withColumn("likely", F.explode(likely)).select("*", "likely.family", "likely.score")
     own = templates(docs.sparkSession).select("template", F.col("family").alias("of"), F.array_distinct(pairs(F.col("words"), lambda a, b: F.xxhash64(a, b))).alias("t"))
-    both = sums.join(F.broadcast(own), F.col("family") == F.col("of"))
-    n = F.size(F.array_intersect("hits", "t"))
-    both = both.withColumn("near", n >= F.least(F.lit(LEAST), F.size("t"))).withColumn("share", F.greatest(n / F.size("t") / OF_TEMPLATE, n / F.col("n") / OF_PARAGRAPH))
-    best = F.max_by(F.struct("template", (F.col("near") & (F.col("share") >= 1)).alias("yes")), F.struct(F.col("near"), F.col("share"), -F.col("template")))
-    out = both.groupBy("id", "text_hash", "paragraph").agg(F.first("family").alias("family"), F.first("score").alias("score"), best.alias("best"))
-    return out.select("id", "text_hash", "paragraph", "family", "score", F.col("best.yes").alias("confirmed"), F.when(F.col("best.yes"), F.col("best.template")).alias("template"))
-
-
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """One row per document: id, n_paragraphs, n_licences, families (sorted, comma-joined), n_unconfirmed, score."""
-    found = paragraphs(docs, id_col, text_col, sample).groupBy(F.col("id").alias("f_id"), F.col("text_hash").alias("f_hash")).agg(
+    own = own.select("template", "of", F.size("t").alias("size"), F.explode("t").alias("gram"))
+    window = ["id", "text_hash", "paragraph", "at", "n", "family", "score"]
+    near = sums.select(*window, F.explode("hits").alias("gram")).join(F.broadcast(own), "gram").groupBy(*window, "template", "of", "size").agg(F.count("*").alias("m"))
+    share = F.greatest(F.col("m") / F.col("size") / OF_TEMPLATE, F.col("m") / F.col("n") / OF_PARAGRAPH)
+    near = near.withColumn("yes", (F.col("of") == F.col("family")) & (F.col("m") >= F.least(F.lit(LEAST), "size")) & (share >= 1)).withColumn("share", share)
+    of_own = F.col("of") == F.col("family")
+    best = F.max_by(F.struct("template", "yes"), F.when(of_own, F.struct("yes", "share", -F.col("template"))))
+    near = near.groupBy(*window).agg(best.alias("best"), F.max(F.when(of_own, F.col("m"))).alias("m"), F.max(F.when(~of_own, F.col("m"))).alias("other"))
+    # what another family's notices say as well shows neither
+    yes = F.coalesce(F.col("best.yes") & (F.col("m") > F.coalesce("other", F.lit(0))), F.lit(False))
+    best = F.max_by(F.struct(F.col("best.template").alias("template"), yes.alias("yes"), "score"), F.struct(yes, "score", -F.col("best.template")))
+    out = near.groupBy("id", "text_hash", "paragraph", "family").agg(best.alias("best"))
+    return out.select("id", "text_hash", "paragraph", "family", F.col("best.score").alias("score"), F.col("best.yes").alias("confirmed"), F.when(F.col("best.yes"), F.col("best.template")).alias("template"))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, model=None) -> DataFrame:
+    """One row per document: id, n_paragraphs, n_licences, families (sorted, comma-joined), n_unconfirmed, score.
+
+    n_licences counts the families of each paragraph; model: what ``trained`` returned, for many scans by one."""
+    found = paragraphs(docs, id_col, text_col, sample, model).groupBy(F.col("id").alias("f_id"), F.col("text_hash").alias("f_hash")).agg(
         F.count_if("confirmed").alias("n_licences"), F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"), F.count_if(~F.col("confirmed")).alias("n_unconfirmed"), F.max(F.when(F.col("confirmed"), F.col("score"))).alias("score")
     )
-    lines = F.coalesce(F.size(F.filter(F.split(F.col(text_col).cast("string"), "[\\r\\n]+"), lambda x: F.trim(x) != "")), F.lit(0)).cast("long")
+    lines = F.coalesce(F.size(F.filter(F.split(F.col(text_col).cast("string"), BLANK), lambda x: F.trim(x) != "")), F.lit(0)).cast("long")
     every = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), lines.alias("n_paragraphs"))
     out = every.join(found, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("text_hash") == F.col("f_hash")), "left")
     return out.select(F.col("id").alias(id_col), "n_paragraphs", F.coalesce("n_licences", F.lit(0)).alias("n_licences"), F.coalesce("families", F.lit("")).alias("families"), F.coalesce("n_unconfirmed", F.lit(0)).alias("n_unconfirmed"), F.coalesce("score", F.lit(0.0)).alias("score"))
