@@ -28,8 +28,8 @@ def brute(rows, threshold=0.98):
     return sorted((r[0], links[i], low[find(i)], r[0] == low[find(i)]) for i, r in enumerate(rows))
 
 
-@pytest.mark.parametrize("tile", [7, 512])
-def test_against_brute_force(spark, tile):
+@pytest.mark.parametrize("tile,kind", [(7, "float"), (512, "float"), (7, "double")])
+def test_against_brute_force(spark, tile, kind):
     rng = np.random.default_rng(tile)
     rows = []
     for label in (0, 1, None):
@@ -41,9 +41,9 @@ def test_against_brute_force(spark, tile):
     rows += [(1000, None, 0), (1001, [], 0), (1002, [0.0] * 20, 0), (1003, [1.0, None] + [0.0] * 18, 0), (1004, [float("nan")] * 20, 0), (1005, [float("inf")] * 20, 0)]
     rows += [(1006, [1.0, 0.0, 0.0], 0), (1007, [2.0, 0.0, 0.0], 0), (1008, [-1.0, 0.0, 0.0], 0), (1009, [1e-30, 1e-30, 0.0], 1), (1010, [3.0, 3.0, 0.0], 1)]
     rows.append((2000, rows[0][1], rows[0][2]))
-    df = spark.createDataFrame([(*r, 9) for r in rows], "vec_id long, embedding array<float>, label int, cid int")
+    df = spark.createDataFrame([(*r, 9) for r in rows], f"vec_id long, embedding array<{kind}>, label int, cid int")
     got = sorted(tuple(r) for r in e.near_duplicates(df, tile=tile).collect())
-    exact = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v], lab) for i, v, lab in rows]
+    exact = [(i, None if v is None else [None if x is None else float(np.float32(x)) if kind == "float" else x for x in v], lab) for i, v, lab in rows]
     assert got == brute(exact)
 
 

@@ -5,7 +5,8 @@ length, sorted along the leading axes and cut into tiles of at most ``TILE`` vec
 the boxes around their leading coordinates come within the reach that the threshold allows. In a pair of tiles the
 products of leading axes are summed first; what the other axes can add is bounded by the product of the two suffix
 norms, and a pair of vectors is dropped once its cosine cannot reach the threshold. What remains is decided in double
-precision on the vectors as given. A tile pair sends on link counts and a spanning forest, never its pairs.
+precision on the vectors as given. What travels to a pair of tiles are the vectors as given, in their own precision,
+and the pair turns them again. A tile pair sends on link counts and a spanning forest, never its pairs.
 
 Defined cases: rows with a null label or vector, a vector that is empty, zero, or holds a null or non-finite component
 link with nothing and are kept; only vectors of equal length are compared; a repeated row is one more vector, linked
@@ -60,10 +61,10 @@ def axes_of(classes: DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
-def tiles(classes: DataFrame, axes: dict[int, np.ndarray], tile: int = TILE, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per tile: tile, label, dim, lo and hi of its leading coordinates, and its classes and vectors as bytes."""
+def tiles(classes: DataFrame, shared, tile: int = TILE, threshold: float = THRESHOLD, single: bool = False) -> DataFrame:
+    """One row per tile: tile, label, dim, lo and hi of its leading coordinates, and its classes and vectors as bytes, of
+    single precision if the vectors came so. shared: the broadcast axes."""
     spark = classes.sparkSession
-    shared = spark.sparkContext.broadcast(axes)
     kind = classes.schema["label"].dataType.simpleString()
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) or 1e-6
 
@@ -95,7 +96,7 @@ def tiles(classes: DataFrame, axes: dict[int, np.ndarray], tile: int = TILE, thr
             made += 1
             return {
                 "tile": (part << 32) | made, "label": label, "dim": full.shape[1], "lo": lead_.min(axis=0).tolist(), "hi": lead_.max(axis=0).tolist(),
-                "classes": np.array([i[0] for i in items], np.int64).tobytes(), "sizes": np.array([i[3][0] for i in items], np.int64).tobytes(), "turned": full.tobytes(), "given": np.stack([i[3][1] for i in items]).tobytes(),
+                "classes": np.array([i[0] for i in items], np.int64).tobytes(), "sizes": np.array([i[3][0] for i in items], np.int64).tobytes(), "given": np.stack([i[3][1] for i in items]).astype(np.float32 if single else np.float64).tobytes(),
             }
 
         out = []
@@ -114,7 +115,7 @@ def tiles(classes: DataFrame, axes: dict[int, np.ndarray], tile: int = TILE, thr
         if out:
             yield from pa.Table.from_pylist(out, schema).to_batches()
 
-    text = f"tile long, label {kind}, dim int, lo array<double>, hi array<double>, classes binary, sizes binary, turned binary, given binary"
+    text = f"tile long, label {kind}, dim int, lo array<double>, hi array<double>, classes binary, sizes binary, given binary"
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = to_arrow_schema(spark.createDataFrame([], text).schema)
@@ -164,10 +165,13 @@ def linked(x: np.ndarray, y: np.ndarray, gx: np.ndarray, gy: np.ndarray, thresho
     return i[on], j[on]
 
 
-def compared(pair: pa.Table, threshold: float) -> pa.Table:
+def compared(pair: pa.Table, axes: dict[int, np.ndarray], threshold: float, single: bool = False) -> pa.Table:
     """(cid, links, root) for the classes of one or two tiles that have a link."""
-    rows = [{k: v for k, v in r.items()} for r in pair.to_pylist()]
-    x, *rest = [(np.frombuffer(r["classes"], np.int64), np.frombuffer(r["sizes"], np.int64), *(np.frombuffer(r[k], np.float64).reshape(-1, r["dim"]) for k in ("turned", "given"))) for r in rows]
+    sides = []
+    for r in pair.to_pylist():
+        given = np.frombuffer(r["given"], np.float32 if single else np.float64).reshape(-1, r["dim"]).astype(np.float64)
+        sides.append((np.frombuffer(r["classes"], np.int64), np.frombuffer(r["sizes"], np.int64), unit(given) @ axes[r["dim"]], given))
+    x, *rest = sides
     y = rest[0] if rest else x
     i, j = linked(x[2], y[2], x[3], y[3], threshold)
     if rest:
@@ -190,16 +194,17 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = rows.withColumn("good", F.coalesce(good, F.lit(False)))
     classes = rows.where("good").groupBy("label", "vector").agg(F.min("id").alias("least"), F.count("*").alias("n"))
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()).withColumn("dim", F.size("vector")), "classes")
-    axes = axes_of(classes)
-    cut = tiles(classes.select("cid", "label", "dim", "vector", "n"), axes, tile, threshold)
+    shared = vectors.sparkSession.sparkContext.broadcast(axes_of(classes))
+    single = "array<float>" == vectors.schema[vector_col].dataType.simpleString()
+    cut = tiles(classes.select("cid", "label", "dim", "vector", "n"), shared, tile, threshold, single)
     reach = 2 - 2 * threshold + 1e-6
     box = cut.select("tile", "label", "dim", "lo", "hi")
     a, b = box.alias("a"), box.alias("b")
     gap = " + ".join(f"pow(greatest(0D, a.lo[{k}] - b.hi[{k}], b.lo[{k}] - a.hi[{k}]), 2)" for k in range(BOX))
     pairs = a.join(b, F.expr(f"a.label = b.label and a.dim = b.dim and a.tile <= b.tile and {gap} <= {reach}")).select(F.col("a.tile").alias("p"), F.col("b.tile").alias("q"))
     sides = pairs.select("p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("tile"))
-    found = sides.join(cut.select("tile", "dim", "classes", "sizes", "turned", "given"), "tile")
-    found = stored(found.groupBy("p", "q").applyInArrow(lambda t: compared(t, threshold), "cid long, links long, root long"), "links")
+    found = sides.join(cut.select("tile", "dim", "classes", "sizes", "given"), "tile")
+    found = stored(found.groupBy("p", "q").applyInArrow(lambda t: compared(t, shared.value, threshold, single), "cid long, links long, root long"), "links")
     label = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     out = classes.join(links, "cid", "left").join(label.withColumnRenamed("node", "cid").withColumnRenamed("label", "root"), "cid", "left")
