@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilelake.llm import ctw, decontaminate, langid, minhash, packing
+from tilelake.llm import ctw, decontaminate, langid, packing, simhash
 from tilelake.llm.common import stored, table
 
 #: A document goes if it has no letters, or if its language is no likelier than so far from chance to certainty.
@@ -21,8 +21,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least id of each group of near copies: five-word shingles, similarity of 0.8 or more."""
-    return minhash.deduplicated(docs)
+    """Keeps the document of least id of each group of near copies: SimHash of five-word shingles, and what its index
+    cannot reach of a similarity of 0.8 or more."""
+    return simhash.deduplicated(docs)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("contamination", contamination), ("packing", pack)]
 
-#: SQL can express neither the field, nor MinHash, nor the tokeniser; tests hold the stages against brute force.
+#: SQL can express neither the field, nor fingerprints, nor the tokeniser; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

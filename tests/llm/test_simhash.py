@@ -76,3 +76,15 @@ def test_one_row_of_each_group_whatever_its_id(spark):
     assert got.columns == ["doc_id", "text"]
     got = sorted(((r.doc_id, r.text.lower()) for r in got.collect()), key=str)
     assert got == sorted([(None, texts[0]), (None, texts[1]), (3, texts[2]), (4, texts[3]), (9, texts[4])], key=str)
+
+
+def test_fingerprints_against_sql(spark):
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(["Öl", "the", "A", "b\x0b", "w1", "東京"]) for _ in range(rng.randrange(12))) for _ in range(60)] + [None, "", "x", "A\tb", "z " * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = "filter(split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\\\x09-\\\\x0d]+'), w -> w <> '')"
+    rows = df.selectExpr("doc_id", f"{words} as w").selectExpr("doc_id", "transform(case when size(w) = 0 then array() when size(w) < 3 then array(w) else transform(sequence(1, size(w) - 2), i -> slice(w, i, 3)) end, s -> xxhash64(array_join(s, ' '))) as h")
+    bit = [f"if(2 * size(filter(h, x -> shiftright(x, {b}) & 1 = 1)) > size(h), shiftleft(1L, {b}), 0L)" for b in range(64)]
+    want = {r.doc_id: r.f for r in rows.selectExpr("doc_id", f"lower(lpad(hex({' | '.join(bit)}), 16, '0')) as f").collect()}
+    got = {r.doc_id: r.fingerprint for r in simhash.near_duplicates(df).collect()}
+    assert got == want

@@ -2,7 +2,7 @@ import random
 
 import corpus_pipeline
 
-from tilelake.llm import minhash
+from tilelake.llm import simhash
 
 
 def shingles(text, k=5):
@@ -54,4 +54,4 @@ def test_stage_takes_near_copies_from_similarity_of_eight_tenths(spark):
     assert 901 not in want and 902 in want and 950 in want and 951 not in want
     got = corpus_pipeline.near_duplicates(spark, df, "")
     assert sorted(r.doc_id for r in got.collect()) == want
-    assert minhash.deduplicated(df.limit(0)).count() == 0
+    assert simhash.deduplicated(df.limit(0)).count() == 0
