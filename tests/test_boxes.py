@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilelake.functions import boxes, rings
-from tilelake.operators import filters, merge, regions, report, spatial, suppress, tiling
+from tilelake.operators import filters, graph, merge, regions, report, spatial, suppress, tiling
 from tilelake.schemas import DETECTIONS, MODELS, REGIONS, checked_models, rectangle
 
 SCHEMA = "det_id long, slide_id long, class_name string, x1 double, y1 double, x2 double, y2 double, conf double"
@@ -129,7 +129,7 @@ def test_rings(spark):
     df = spark.createDataFrame([(0, square), (1, fine), (2, [])], "id int, p array<struct<x:double,y:double>>")
     rows = df.select("id", rings.area(F.col("p")).alias("a"), rings.perimeter(F.col("p")).alias("l"), rings.key_points(F.col("p")).alias("k"), rings.metrics(F.col("p")).alias("m")).orderBy("id").collect()
     assert [(r.a, r.l) for r in rows[:2]] == [(100, 40)] * 2 and rows[2].a in (0, None)
-    assert [(p.x, p.y) for p in rows[1].k] == [(0, 0), (10, 0), (10, 10), (0, 10), (0, 1)]
+    assert [(p.x, p.y) for p in rows[1].k] == [(0, 0), (10, 0), (10, 10), (0, 10)]
     assert rows[0].m.is_simple and math.isclose(rows[0].m.compactness, math.pi / 4) and not rows[1].m.is_simple
 
 
@@ -214,3 +214,25 @@ def test_components(spark):
                 root[y] = x
     assert {r.det_id: r.component for r in merge.box_components(frame(spark, rows)).collect()} == {i: find(i) for i in root}
     assert frame(spark, rows).select(rectangle().alias("p")).first().p[2].x == rows[0][5]
+
+
+def test_components_with_hot_nodes(spark, monkeypatch):
+    monkeypatch.setattr(graph, "SMALL", 10)
+    rng = random.Random(2)
+    edges = [(0, i) for i in range(1, 3000, 3)] + [(5000, i) for i in range(2, 3000, 3)] + [(i, i) for i in range(6)] + [(rng.randrange(6000, 9000), rng.randrange(6000, 9000)) for _ in range(1500)]
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    got = graph.components(spark.createDataFrame(edges, "a long, b long"))
+    assert sorted(tuple(r) for r in got.collect()) == sorted((i, find(i)) for i in root)
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    kept = graph.stored(spark.range(3), "x")
+    assert kept.count() == 3 and "stored-" in kept.inputFiles()[0]

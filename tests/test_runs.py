@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tilelake.operators import inference, regions
+from tilelake.operators import inference, regions, report, tiling
 from tilelake.plans import pipeline
 from tilelake.schemas import DETECTIONS, MODELS, TILES
 from tilelake.streaming import detections as streaming
@@ -98,13 +98,46 @@ def test_entry_without_training_data_operators(tmp_path):
     subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, check=True, timeout=60)
 
 
-def test_kmeans_query_takes_the_best_of_ten_tries(spark, monkeypatch):
-    from pyspark.ml.clustering import KMeans
+def test_clusters_by_slide(spark):
+    spots = [(x * 300.0 + dx, y * 300.0 + dy) for x in range(3) for y in range(2) for dx, dy in ((0, 0), (9, 2), (3, 8))]
+    rows = [(s, i, x + 50 * s, y) for s in (0, 1) for i, (x, y) in enumerate(spots)] + [(2, i, 1.0 * i, 0.0) for i in range(5)]
+    df = spark.createDataFrame(rows, "slide_id long, component long, cx double, cy double")
+    got = regions.clustered(df, 6).collect()
+    assert len(got) == 36 and all(r.cluster == r.component // 3 for r in got)
+    same = spark.createDataFrame([(0, i, 1.0, 1.0) for i in range(8)], "slide_id long, component long, cx double, cy double")
+    assert regions.clustered(same, 6).count() == 8 and regions.clustered(df.limit(0), 6).count() == 0
 
-    from tilelake.plans import queries
 
-    seeds, fit = [], KMeans.fit
-    monkeypatch.setattr(KMeans, "fit", lambda self, *a: seeds.append(self.getSeed()) or fit(self, *a))
-    rows = queries.kmeans_regions(spark, "/root/testdata/sf0.001").collect()
-    assert len(set(seeds)) == 10 and len(rows) == 6
-    assert sum(r.n for r in rows) == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+def test_detectors_load_once_per_process(spark, tiles, models, tmp_path):
+    folder = str(tmp_path)
+
+    def load(path):
+        import os
+        import uuid
+
+        open(f"{folder}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return inference.dark_spots(path)
+
+    assert inference.detected(tiles.repartition(8), models, load).count() > 0
+    import os
+
+    pids = [f.split("-")[0] for f in os.listdir(folder)]
+    assert pids and len(pids) == len(set(pids))
+
+
+def test_tile_without_image_raises(spark, tiles):
+    broken = tiles.withColumn("image", F.when(F.col("patch_id") > 0, F.col("image")))
+    with pytest.raises(Exception, match="without an image"):
+        tiling.with_tissue(broken).collect()
+
+
+def test_reports(spark):
+    runs = spark.createDataFrame([("sequential", None, 100, 10, 50.0), ("batch_4", 4, 100, 10, 20.0), ("batch_8", 8, 100, 10, 10.0), ("threads", None, 100, 10, 5.0)], "method string, batch_size int, tiles long, predictions long, seconds double")
+    got = {r.method: r for r in report.run_comparison(runs).collect()}
+    assert [m for m, r in got.items() if r.best_batch] == ["batch_8"] and [m for m, r in got.items() if r.fastest] == ["threads"] and got["batch_4"].speed_up == 2.5
+    stages = report.stage_times(spark.createDataFrame([("load", 1.0), ("merge", 3.0)], "stage string, seconds double"), 40).collect()
+    assert {(r.stage, r.percent, r.tiles_per_s) for r in stages} == {("load", 25.0, 10.0), ("merge", 75.0, 10.0)}
+    rows = spark.createDataFrame([(0, 3, "lp", 0.0, 0.0, 1.0, 1.0, 0.5, None), (1, 3, "mild", 0.0, 0.0, 1.0, 1.0, 0.7, None), (2, 4, "lp", 0.0, 0.0, 1.0, 1.0, 0.9, None)], DETECTIONS)
+    lines = [r.line for r in report.summary_lines(rows).orderBy("part", "place").collect()]
+    assert lines == ["slides: 2, predictions: 3", "  lp: 2 (66.7%)", "  mild: 1 (33.3%)", "slide 3: 2 predictions, mean confidence 0.600, lp=1, mild=1", "slide 4: 1 predictions, mean confidence 0.900, lp=1"]
+    assert [r.line for r in report.summary_lines(rows.limit(0)).collect()] == ["slides: 0, predictions: 0"]

@@ -40,36 +40,39 @@ def translated(ring: Column, dx: Column, dy: Column) -> Column:
 
 
 def key_points(ring: Column, below: float = 165.0) -> Column:
-    """First and last vertex, and those between whose angle is under ``below`` degrees; a vertex equal to a neighbour has none."""
+    """The first vertex, where the closed ring begins and ends, and those whose angle is under ``below`` degrees; a vertex
+    equal to a neighbour has none."""
     n = F.size(ring)
 
     def sharp(p: Column, i: Column) -> Column:
-        a, b = F.get(ring, i - 1), F.get(ring, i + 1)
+        a, b = F.get(ring, i - 1), F.get(ring, (i + 1) % n)
         ux, uy, vx, vy = a["x"] - p["x"], a["y"] - p["y"], b["x"] - p["x"], b["y"] - p["y"]
         lengths = F.sqrt(ux * ux + uy * uy) * F.sqrt(vx * vx + vy * vy)
         cos = (ux * vx + uy * vy) / lengths
         angle = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cos))))
-        return F.when((i == 0) | (i == n - 1), True).when(lengths > 0, angle < below).otherwise(False)
+        return F.when(i == 0, True).when(lengths > 0, angle < below).otherwise(False)
 
     return F.filter(ring, sharp)
 
 
 def roughness(ring: Column) -> Column:
-    """Mean distance of the inner vertices from the chord between their neighbours, over the square root of the area."""
+    """Mean distance of the vertices but the first from the chord between their neighbours on the closed ring, where these
+    differ, over the square root of the area."""
     n = F.size(ring)
 
     def off(p: Column, i: Column) -> Column:
-        a, b = F.get(ring, i - 1), F.get(ring, i + 1)
+        a, b = F.get(ring, i - 1), F.get(ring, (i + 1) % n)
         chord = F.sqrt((b["x"] - a["x"]) * (b["x"] - a["x"]) + (b["y"] - a["y"]) * (b["y"] - a["y"]))
         cross = F.abs((b["x"] - a["x"]) * (a["y"] - p["y"]) - (a["x"] - p["x"]) * (b["y"] - a["y"]))
-        return F.when((i == 0) | (i == n - 1), F.lit(0.0)).when(chord > 0, cross / chord).otherwise(0.0)
+        return F.when((i > 0) & (chord > 0), cross / chord)
 
-    return F.when((n > 2) & (area(ring) > 0), _sum(F.transform(ring, off)) / (n - 2) / F.sqrt(area(ring))).otherwise(0.0)
+    far = F.filter(F.transform(ring, off), lambda v: v.isNotNull())
+    return F.when((n > 2) & (area(ring) > 0) & (F.size(far) > 0), _sum(far) / F.size(far) / F.sqrt(area(ring))).otherwise(0.0)
 
 
 def metrics(ring: Column) -> Column:
-    """Points, area, perimeter, compactness, complexity, roughness and the two flags of a ring, as one struct."""
-    a, p, n = area(ring), perimeter(ring), F.size(ring)
+    """Points (the closing one counts), area, perimeter, compactness, complexity, roughness and the two flags, as one struct."""
+    a, p, n = area(ring), perimeter(ring), F.size(ring) + 1
     return F.struct(
         n.alias("n_points"), a.alias("area"), p.alias("perimeter"), F.when(p > 0, 4 * math.pi * a / (p * p)).otherwise(0.0).alias("compactness"),
         F.when(a > 0, p / F.sqrt(a)).otherwise(0.0).alias("complexity"), roughness(ring).alias("roughness"), (n < 10).alias("is_simple"), (n > 100).alias("is_complex"),

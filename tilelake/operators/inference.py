@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,13 +20,25 @@ RAW = "slide_id bigint, patch_id bigint, tile_x bigint, tile_y bigint, model_pat
 Detector = Callable[[str], Callable[[list[np.ndarray]], list[list[tuple]]]]
 
 
+#: What this worker process has loaded, by run and model; a new run drops those of the one before.
+LOADED: dict[tuple[str, str], Callable] = {}
+
+
+def _detector(run_id: str, path: str, load: Detector) -> Callable:
+    if (run_id, path) not in LOADED:
+        for old in [k for k in LOADED if k[0] != run_id]:
+            del LOADED[old]
+        LOADED[run_id, path] = load(path)
+    return LOADED[run_id, path]
+
+
 def detected(tiles: DataFrame, models: DataFrame, load: Detector, batch: int = 8, permissive: bool = True) -> DataFrame:
     """Raw detections of every tile by every model of its size, boxes and polygons in slide pixels.
 
-    load(model_path) is called once per worker and model. permissive: a failing model or batch gives a row with its
+    load(model_path) is called once per worker process and model, whatever the number of tasks. permissive: a failing model or batch gives a row with its
     error instead of none; else it raises.
     """
-    loaded: dict = {}
+    run_id = uuid.uuid4().hex  # detectors of other runs, which may load in another way, are not this one's
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in frames:
@@ -34,9 +47,7 @@ def detected(tiles: DataFrame, models: DataFrame, load: Detector, batch: int = 8
                 for lo in range(0, len(rows), batch):
                     part = list(rows.iloc[lo : lo + batch].itertuples())
                     try:
-                        if path not in loaded:
-                            loaded[path] = load(path)
-                        found = loaded[path]([decoded(r.image, r.height, r.width, r.channels) for r in part])
+                        found = _detector(run_id, path, load)([decoded(r.image, r.height, r.width, r.channels) for r in part])
                     except Exception as e:
                         if not permissive:
                             raise

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .tiling import ELLIPSE, closed_opened, hue, saturation
 
@@ -34,9 +34,13 @@ def statistics(regions: DataFrame, step_x: int | None = None, step_y: int | None
     return out.withColumn("speed_up", F.col("n_regions")).withColumn("grid", grid)
 
 
-def recommendations(regions: DataFrame) -> DataFrame:
-    """What doing one region instead of all saves: speed-up and percent of time, to one decimal."""
-    return statistics(regions).select("slide_id", "n_regions", "speed_up", F.round(100 - F.lit(100.0) / F.col("n_regions"), 1).alias("time_reduction"))
+def recommendations(regions: DataFrame, step: int | None = None, cell: tuple[int, int] | None = None) -> DataFrame:
+    """What doing one region instead of all saves: speed-up and percent of time, to one decimal; the region of id 1 with
+    its name ("N/A" if there is none), and the grid's step and cell ("N/A" without one)."""
+    first = by_id(regions, 1).select("slide_id", F.col("name").alias("_name"))
+    out = statistics(regions).join(first, "slide_id", "left")
+    grid = F.lit(step if step is not None else "N/A").cast("string").alias("grid_step"), F.lit(f"{cell[0]}x{cell[1]}" if cell else "N/A").alias("cell_size")
+    return out.select("slide_id", "n_regions", "speed_up", F.round(100 - F.lit(100.0) / F.col("n_regions"), 1).alias("time_reduction"), F.lit(1).alias("recommended_id"), F.coalesce("_name", F.lit("N/A")).alias("recommended_name"), *grid)
 
 
 def grid_cell(x, y, step_x: int | None, step_y: int | None):
@@ -45,17 +49,19 @@ def grid_cell(x, y, step_x: int | None, step_y: int | None):
 
 
 def bounds(components: DataFrame, key: str = "cluster") -> DataFrame:
-    """Bounding box, area and number of components of each cluster."""
-    out = components.groupBy("slide_id", key).agg(F.min("x_min").alias("x_min"), F.min("y_min").alias("y_min"), F.max("x_max").alias("x_max"), F.max("y_max").alias("y_max"), F.sum("area").alias("area"), F.count("*").alias("component_count"))
-    return out.withColumns({"width": F.col("x_max") - F.col("x_min"), "height": F.col("y_max") - F.col("y_min")})
+    """Bounding box, id, name and number of components of each cluster; width, height and area are those of the box."""
+    out = components.groupBy("slide_id", key).agg(F.min("x_min").alias("x_min"), F.min("y_min").alias("y_min"), F.max("x_max").alias("x_max"), F.max("y_max").alias("y_max"), F.count("*").alias("component_count"))
+    out = out.withColumns({"id": (F.col(key) + 1).cast("int"), "width": F.col("x_max") - F.col("x_min"), "height": F.col("y_max") - F.col("y_min")})
+    return out.withColumns({"name": F.concat(F.lit("Биоптат "), F.col("id").cast("string")), "area": F.col("width") * F.col("height")})
 
 
 def scaled(regions: DataFrame, slides: DataFrame, side: int = 1024) -> DataFrame:
-    """Thumbnail pixels to slide pixels, cut towards zero, by each slide's own size."""
+    """Thumbnail pixels to slide pixels by each slide's own size; corners, width, height and area are each cut towards zero."""
     met = regions.join(slides.select("slide_id", F.col("width").alias("_w"), F.col("height").alias("_h")), "slide_id")
-    cut = {c: (F.col(c) * F.col(s) / side).cast("bigint") for c, s in (("x_min", "_w"), ("x_max", "_w"), ("y_min", "_h"), ("y_max", "_h"))}
-    out = met.withColumns(cut).drop("_w", "_h")
-    return out.withColumns({"width": F.col("x_max") - F.col("x_min"), "height": F.col("y_max") - F.col("y_min")})
+    sx, sy = F.col("_w") / side, F.col("_h") / side
+    w, h = F.col("x_max") - F.col("x_min"), F.col("y_max") - F.col("y_min")
+    cut = {"x_min": F.col("x_min") * sx, "y_min": F.col("y_min") * sy, "x_max": F.col("x_max") * sx, "y_max": F.col("y_max") * sy, "width": w * sx, "height": h * sy, "area": w * h * sx * sy}
+    return met.withColumns({c: v.cast("bigint") for c, v in cut.items()}).drop("_w", "_h")
 
 
 def mask_cells(regions: DataFrame, size: int = 512) -> DataFrame:
@@ -111,16 +117,42 @@ def tissue_components(thumbnails: DataFrame, least: int = 1000) -> DataFrame:
     return thumbnails.mapInPandas(run, "slide_id bigint, component int, area bigint, cx double, cy double, x_min bigint, y_min bigint, x_max bigint, y_max bigint")
 
 
-def clustered(components: DataFrame, k: int = 6, tries: int = 10, seed: int = 42) -> DataFrame:
-    """Components with the cluster of their centroid, the best of some k-means runs; no rows if there are fewer than k.
-
-    Labels are arbitrary. The components of a slide are a handful, and so are those of the slides clustered together.
+def _kmeans(at: np.ndarray, k: int, tries: int, seed: int) -> np.ndarray:
+    """Clusters of points, the best of some runs from spread-out starts; numbered by their first points."""
+    rng = np.random.default_rng(seed)
+    best, cost = np.zeros(len(at), np.int64), np.inf
+    for _ in range(tries):
+        centre = at[[rng.integers(len(at))]]
+        while len(centre) < k:
+            far = ((at[:, None] - centre[None]) ** 2).sum(axis=2).min(axis=1)
+            pick = rng.choice(len(at), p=far / far.sum()) if far.sum() > 0 else rng.integers(len(at))
+            centre = np.concatenate([centre, at[[pick]]])
+        for _ in range(300):
+            away = ((at[:, None] - centre[None]) ** 2).sum(axis=2)
+            label = away.argmin(axis=1)
+            new = np.stack([at[label == j].mean(axis=0) if (label == j).any() else centre[j] for j in range(k)])
+            if (new == centre).all():
+                break
+            centre = new
+        if (total := away[np.arange(len(at)), label].sum()) < cost:
+            best, cost = label, total
+    kinds, first = np.unique(best, return_index=True)
+    return np.argsort(np.argsort(first))[np.searchsorted(kinds, best)]
+
+
+def clustered(components: DataFrame, k: int = 6, tries: int = 10, seed: int = 42, order: str = "component") -> DataFrame:
+    """Components with the cluster of their centroid among those of their slide, the best of some k-means runs; none of
+    a slide with fewer than k. Clusters are numbered by their first component.
+
+    A slide's components come from a thumbnail of fixed size and are at most a thousand, so a slide is one pandas group.
     """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    rows = VectorAssembler(inputCols=["cx", "cy"], outputCol="_at").transform(components).cache()
-    if rows.count() < k:
-        return components.withColumn("cluster", F.lit(0)).limit(0)
-    models = [KMeans(k=k, seed=seed + i, featuresCol="_at", predictionCol="cluster").fit(rows) for i in range(tries)]
-    return min(models, key=lambda m: m.summary.trainingCost).transform(rows).drop("_at")
+    names = components.columns
+
+    def run(t: pd.DataFrame) -> pd.DataFrame:
+        if len(t) < k:
+            return t.iloc[:0].assign(cluster=pd.Series([], dtype="int32"))
+        t = t.sort_values(order, kind="stable")
+        return t.assign(cluster=_kmeans(t[["cx", "cy"]].to_numpy(np.float64), k, tries, seed).astype("int32"))[[*names, "cluster"]]
+
+    schema = T.StructType([*components.schema.fields, T.StructField("cluster", T.IntegerType())])
+    return components.groupBy("slide_id").applyInPandas(run, schema)

@@ -8,7 +8,7 @@ from ..functions.boxes import area, cell, shifted
 from .filters import CELL, in_window, not_class
 
 #: Colours of report classes.
-COLOURS = {"Crypts": "#FF0000", "Muscularis mucosae": "#00FF00", "Surface epithelium": "#0000FF", "moderate_segmentation": "#FFFF00", "Mild": "#FF00FF", "excl": "#00FFFF"}
+COLOURS = {"Crypts": "#FF6B6B", "Muscularis mucosae": "#4ECDC4", "Surface epithelium": "#45B7D1", "moderate_segmentation": "#96CEB4", "Mild": "#FFEAA7", "excl": "#DDA0DD"}
 
 
 def class_statistics(detections: DataFrame, keys: tuple[str, ...] = ("slide_id",)) -> DataFrame:
@@ -104,11 +104,35 @@ def stem(path: str = "path") -> Column:
 
 
 def run_comparison(runs: DataFrame, base: str = "sequential") -> DataFrame:
-    """Throughput of runs (method, batch_size, tiles, predictions, seconds) and speed-up over the base method; flags the fastest."""
+    """Throughput of runs (method, batch_size, tiles, predictions, seconds) and speed-up over the base method; flags the
+    fastest, and of the runs in batches (batch_size not null), if the column is there, the one with the largest speed-up."""
     per = runs.select("*", (F.col("tiles") / F.col("seconds")).alias("tiles_per_s"), (F.col("predictions") / F.col("seconds")).alias("predictions_per_s"))
     every = Window.partitionBy(F.lit(1))
     slow = F.max(F.when(F.col("method") == base, F.col("seconds"))).over(every)
-    return per.withColumn("speed_up", slow / F.col("seconds")).withColumn("fastest", F.col("seconds") == F.min("seconds").over(every))
+    out = per.withColumn("speed_up", slow / F.col("seconds")).withColumn("fastest", F.col("seconds") == F.min("seconds").over(every))
+    if "batch_size" not in runs.columns:
+        return out
+    best = F.max(F.when(F.col("batch_size").isNotNull() & (F.col("method") != base), F.struct("speed_up", -F.col("batch_size")))).over(every)
+    return out.withColumn("_b", best).withColumn("best_batch", F.coalesce(F.struct("speed_up", -F.col("batch_size")) == F.col("_b"), F.lit(False))).drop("_b")
+
+
+def model_info(models: DataFrame, classes: DataFrame) -> DataFrame:
+    """What is known of each model: (model_path, window_size, min_conf, class_names by id, num_classes)."""
+    names = classes.groupBy("model_path").agg(F.transform(F.sort_array(F.collect_list(F.struct("class_id", "class_name"))), lambda c: c["class_name"]).alias("class_names"))
+    out = models.select("model_path", "window_size", "min_conf").join(names, "model_path", "left")
+    return out.withColumn("class_names", F.coalesce("class_names", F.array().cast("array<string>"))).withColumn("num_classes", F.size("class_names"))
+
+
+def summary_lines(detections: DataFrame, n: int = 10) -> DataFrame:
+    """The text report of all slides as (ord, line): totals, the n most frequent labels with their share, and each slide."""
+    by = detections.groupBy("slide_id", "class_name").agg(F.count("*").alias("n"), F.sum("conf").alias("c"))
+    every = by.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_distinct("slide_id").alias("s"))
+    head = every.select(F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("place"), F.concat(F.lit("slides: "), "s", F.lit(", predictions: "), "n").alias("line"))
+    label = by.groupBy("class_name").agg(F.sum("n").alias("k")).crossJoin(F.broadcast(every.select(F.col("n").alias("all"))))  # one row
+    label = label.orderBy(F.desc("k"), "class_name").limit(n).select(F.lit(1).alias("part"), (-F.col("k")).alias("place"), F.format_string("  %s: %d (%.1f%%)", "class_name", "k", 100.0 * F.col("k") / F.col("all")).alias("line"))
+    slide = by.groupBy("slide_id").agg(F.sum("n").alias("k"), (F.sum("c") / F.sum("n")).alias("m"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("class_name", "n"))), lambda x: F.concat(x["class_name"], F.lit("="), x["n"].cast("string"))), ", ").alias("of"))
+    slide = slide.select(F.lit(2).alias("part"), F.col("slide_id").cast("bigint").alias("place"), F.format_string("slide %s: %d predictions, mean confidence %.3f, %s", F.col("slide_id").cast("string"), "k", "m", "of").alias("line"))
+    return head.union(label).union(slide)
 
 
 def stage_times(stages: DataFrame, tiles: int) -> DataFrame:

@@ -24,9 +24,9 @@ def improved(tiles: DataFrame, models: DataFrame, load: inference.Detector, clas
     kept = tiling.numbered(tiling.with_tissue(tiles, "saturation").drop("patch_id"))
     raw = stored(inference.detected(kept, models, load), "detected")
     found = inference.decided(raw, models, iou=0.7, conf=0.7, band=True)
-    out = merge.merged(found.select(*merge.COLUMNS), improved=True, classes=classes, most=None)
+    out = merge.merged(found.select(*merge.COLUMNS), improved=True, classes=classes)
     simple = out.withColumn("_s", merge.adaptively_simplified("polygon"))
-    metrics = F.when(F.coalesce(F.size("polygon"), F.lit(0)) > 3, F.struct("_s.original_points", "_s.simplified_points", "_s.area_preserved", "_s.method"))
+    metrics = F.when(F.coalesce(F.size("polygon"), F.lit(0)) > 3, F.struct(*[f"_s.{c}" for c in ("original_points", "simplified_points", "area_preserved", "perimeter_preserved", "complexity", "method", "tolerance_used", "iterations")]))
     return simple.withColumn("simplification_metrics", metrics).withColumn("polygon", F.coalesce("_s.polygon", "polygon")).drop("_s")
 
 

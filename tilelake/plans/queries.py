@@ -30,7 +30,7 @@ TIGHT = f"""{BASE}, det as (select event_id as det_id, g%20 as slide_id, {NAME},
  0.3+value/1000 as conf from b)"""
 SLIDES = "slides as (select s_suppkey as slide_id, 1000 + (s_suppkey*7919)%9000 as width, 400 + (s_suppkey*10007)%6000 as height from supplier)"
 REGIONS = """regions as (select c_custkey%20 as slide_id, cast(c_custkey as int) as region_ord, cast(c_custkey as int) as id, c_name as name, (c_custkey*7919)%14000 as x_min, (c_custkey*10007)%14000 as y_min,
- (c_custkey*7919)%14000 + 500 + c_custkey%700 as x_max, (c_custkey*10007)%14000 + 500 + c_custkey%900 as y_max, 500 + c_custkey%700 as width, 500 + c_custkey%900 as height from customer where c_custkey%7 = 0)"""
+ (c_custkey*7919)%14000 + 500 + c_custkey%700 as x_max, (c_custkey*10007)%14000 + 500 + c_custkey%900 as y_max, 500 + c_custkey%700 as width, 500 + c_custkey%900 as height from customer)"""
 INTER = "greatest(0, least(a.x2,b.x2)-greatest(a.x1,b.x1))*greatest(0, least(a.y2,b.y2)-greatest(a.y1,b.y1))"
 IOU = f"({INTER})/((a.x2-a.x1)*(a.y2-a.y1)+(b.x2-b.x1)*(b.y2-b.y1)-({INTER}))"
 
@@ -47,7 +47,7 @@ def slides(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     x, y, w, h = k * 7919 % 14000, k * 10007 % 14000, 500 + k % 700, 500 + k % 900
-    return table(spark, sf_dir, "customer").where(k % 7 == 0).select((k % 20).alias("slide_id"), k.cast("int").alias("region_ord"), k.cast("int").alias("id"), F.col("c_name").alias("name"), x.alias("x_min"), y.alias("y_min"), (x + w).alias("x_max"), (y + h).alias("y_max"), w.alias("width"), h.alias("height"))
+    return table(spark, sf_dir, "customer").select((k % 20).alias("slide_id"), k.cast("int").alias("region_ord"), k.cast("int").alias("id"), F.col("c_name").alias("name"), x.alias("x_min"), y.alias("y_min"), (x + w).alias("x_max"), (y + h).alias("y_max"), w.alias("width"), h.alias("height"))
 
 
 def query(sql: str | None = None):
@@ -121,10 +121,9 @@ def tile_count(s, d):
     return slides(s, d).select("slide_id", tiling.tile_count(512, 0.5).alias("n_tiles"))
 
 
-@query(f"with {SLIDES}, t as (select slide_id, cast(x as bigint) as x, cast(y as bigint) as y from slides, lateral (select unnest(range(0, height-511, 512)) as y), lateral (select unnest(range(0, width-511, 512)) as x) where width >= 512 and height >= 512) select slide_id, x, y, row_number() over (partition by slide_id order by y, x)-1 as patch_id from t where (x//512 + y//512 + slide_id)%3 > 0")
+@query(f"with {SLIDES}, t as (select slide_id, cast(x as bigint) as x, cast(y as bigint) as y from slides, lateral (select unnest(range(0, height-511, 512)) as y), lateral (select unnest(range(0, width-511, 512)) as x) where width >= 512 and height >= 512) select slide_id, x, y, row_number() over (partition by slide_id order by y, x)-1 as patch_id from t")
 def tile_number(s, d):
-    kept = tiling.grid(slides(s, d), 512).where((F.floor(F.col("x") / 512) + F.floor(F.col("y") / 512) + F.col("slide_id")) % 3 > 0)
-    return tiling.numbered(kept).select("slide_id", "x", "y", "patch_id")
+    return tiling.numbered(tiling.grid(slides(s, d), 512)).select("slide_id", "x", "y", "patch_id")
 
 
 @query(f"with {SLIDES}, {REGIONS}, t as (select slide_id, cast(x as bigint) as x, cast(y as bigint) as y from slides, lateral (select unnest(range(0, height-255, 128)) as y), lateral (select unnest(range(0, width-255, 128)) as x) where width >= 256 and height >= 256) select distinct t.slide_id, x, y, 256 as size from t join regions r on t.slide_id = r.slide_id and x >= x_min and y >= y_min and x <= x_max-256 and y <= y_max-256")
@@ -167,7 +166,14 @@ def nms_070(s, d):
     return suppress.suppressed(det(s, d, True), 0.7).select("det_id")
 
 
-@query()
+HIT = "greatest(0, least(k.x2,x[1].x2)-greatest(k.x1,x[1].x1))*greatest(0, least(k.y2,x[1].y2)-greatest(k.y1,x[1].y1))"
+FIRST = f"list_position(list_transform(acc, lambda k: ({HIT}) > 0.5*((k.x2-k.x1)*(k.y2-k.y1)+(x[1].x2-x[1].x1)*(x[1].y2-x[1].y1)-({HIT}))), true)"
+GROWN = "struct_pack(det_id := k.det_id, x1 := least(k.x1,x[1].x1), y1 := least(k.y1,x[1].y1), x2 := greatest(k.x2,x[1].x2), y2 := greatest(k.y2,x[1].y2), conf := greatest(k.conf,x[1].conf), n := k.n+1)"
+
+
+@query(f"""with {TIGHT}, g as (select slide_id, class_name, list([struct_pack(det_id := det_id, x1 := x1, y1 := y1, x2 := x2, y2 := y2, conf := conf, n := cast(1 as bigint))] order by conf desc, det_id) as l from det group by 1, 2),
+ r as (select slide_id, class_name, unnest(list_reduce(l, lambda acc, x: case when coalesce({FIRST}, 0) = 0 then list_concat(acc, x) else list_transform(acc, lambda k, i: case when i = {FIRST.replace('lambda k:', 'lambda m:').replace('k.', 'm.')} then {GROWN} else k end) end)) as m from g)
+ select slide_id, class_name, m.det_id as det_id, m.x1 as x1, m.y1 as y1, m.x2 as x2, m.y2 as y2, m.conf as conf, m.n as n_merged from r""")
 def box_merge(s, d):
     return suppress.merged_boxes(det(s, d, True), 0.5)
 
@@ -241,9 +247,19 @@ def tile_relative(s, d):
     return report.tile_relative(det(s, d)).select("det_id", "i", "j", "x1", "y1", "x2", "y2")
 
 
-@query(f"with {DET} select det_id, case class_name when 'excl' then '#00FFFF' else '#000000' end as colour, 'slide' || slide_id || '_' || cast(floor(x1/512) as bigint) || '_' || cast(floor(y1/512) as bigint) || '.png' as tile from det")
+REPORT = "list_value('Crypts','Muscularis mucosae','Surface epithelium','moderate_segmentation','Mild','excl','other')[cast(det_id%7 as int)+1]"
+COLOUR = "case class_name when 'Crypts' then '#FF6B6B' when 'Muscularis mucosae' then '#4ECDC4' when 'Surface epithelium' then '#45B7D1' when 'moderate_segmentation' then '#96CEB4' when 'Mild' then '#FFEAA7' when 'excl' then '#DDA0DD' else '#000000' end"
+
+
+def report_classes(rows: DataFrame) -> DataFrame:
+    """Detections under the names of the report's classes, and one that it does not know."""
+    names = F.array(*map(F.lit, (*report.COLOURS, "other")))
+    return rows.withColumn("class_name", F.get(names, (F.col("det_id") % 7).cast("int")))
+
+
+@query(f"with {DET}, c as (select * replace ({REPORT} as class_name) from det) select det_id, {COLOUR} as colour, 'slide' || slide_id || '_' || cast(floor(x1/512) as bigint) || '_' || cast(floor(y1/512) as bigint) || '.png' as tile from c")
 def class_colour(s, d):
-    rows = report.coloured(det(s, d)).withColumns({"path": F.concat(F.lit("/data/slide"), F.col("slide_id").cast("string"), F.lit(".tiff")), "i": boxes.cell("x1", 512), "j": boxes.cell("y1", 512)})
+    rows = report.coloured(report_classes(det(s, d))).withColumns({"path": F.concat(F.lit("/data/slide"), F.col("slide_id").cast("string"), F.lit(".tiff")), "i": boxes.cell("x1", 512), "j": boxes.cell("y1", 512)})
     return rows.select("det_id", "colour", report.tile_name().alias("tile"))
 
 
@@ -274,21 +290,22 @@ def region_stats(s, d):
     return regions.statistics(region_table(s, d), 512, 512).withColumns({"mean_width": F.round("mean_width", 6), "mean_height": F.round("mean_height", 6)})
 
 
-@query(f"with {REGIONS} select slide_id, count(*) as n_regions, count(*) as speed_up, round(100-100.0/count(*),1) as time_reduction from regions group by 1")
+@query(f"with {REGIONS} select slide_id, count(*) as n_regions, count(*) as speed_up, round(100-100.0/count(*),1) as time_reduction, 1 as recommended_id, coalesce(max(name) filter (where id = 1), 'N/A') as recommended_name, '700' as grid_step, '700x900' as cell_size from regions group by 1")
 def region_recommendations(s, d):
-    return regions.recommendations(region_table(s, d))
+    return regions.recommendations(region_table(s, d), 700, (700, 900))
 
 
-@query(f"with {DET} select slide_id, cast(det_id%5 as bigint) as cluster, min(x1) as x_min, min(y1) as y_min, max(x2) as x_max, max(y2) as y_max, sum((x2-x1)*(y2-y1)) as area, count(*) as component_count, max(x2)-min(x1) as width, max(y2)-min(y1) as height from det group by 1,2")
+@query(f"with {DET} select slide_id, cast(det_id%5 as bigint) as cluster, cast(det_id%5+1 as int) as id, 'Биоптат ' || (det_id%5+1) as name, min(x1) as x_min, min(y1) as y_min, max(x2) as x_max, max(y2) as y_max, (max(x2)-min(x1))*(max(y2)-min(y1)) as area, count(*) as component_count, max(x2)-min(x1) as width, max(y2)-min(y1) as height from det group by 1, 2, 3, 4")
 def region_bounds(s, d):
-    rows = det(s, d).select("slide_id", (F.col("det_id") % 5).alias("cluster"), F.col("x1").alias("x_min"), F.col("y1").alias("y_min"), F.col("x2").alias("x_max"), F.col("y2").alias("y_max"), boxes.area().alias("area"))
+    rows = det(s, d).select("slide_id", (F.col("det_id") % 5).alias("cluster"), F.col("x1").alias("x_min"), F.col("y1").alias("y_min"), F.col("x2").alias("x_max"), F.col("y2").alias("y_max"))
     return regions.bounds(rows)
 
 
-@query(f"with {REGIONS}, {SLIDES} select r.slide_id, id, cast(trunc(x_min%1024*s.width/1024.0) as bigint) as x_min, cast(trunc(y_min%1024*s.height/1024.0) as bigint) as y_min from regions r join slides s on r.slide_id = s.slide_id")
+@query(f"with {REGIONS}, {SLIDES}, m as (select r.slide_id, id, x_min%1024 as x, y_min%1024 as y, r.width as w, r.height as h, s.width/1024.0 as sx, s.height/1024.0 as sy from regions r join slides s on r.slide_id = s.slide_id) select slide_id, id, cast(trunc(x*sx) as bigint) as x_min, cast(trunc(y*sy) as bigint) as y_min, cast(trunc((x+w)*sx) as bigint) as x_max, cast(trunc((y+h)*sy) as bigint) as y_max, cast(trunc(w*sx) as bigint) as width, cast(trunc(h*sy) as bigint) as height, cast(trunc(cast(w*h as double)*sx*sy) as bigint) as area from m")
 def region_scaled(s, d):
-    rows = region_table(s, d).withColumns({"x_min": F.col("x_min") % 1024, "y_min": F.col("y_min") % 1024})
-    return regions.scaled(rows, slides(s, d)).select("slide_id", "id", "x_min", "y_min")
+    x, y = F.col("x_min") % 1024, F.col("y_min") % 1024
+    rows = region_table(s, d).withColumns({"x_min": x, "y_min": y, "x_max": x + F.col("width"), "y_max": y + F.col("height")})
+    return regions.scaled(rows, slides(s, d)).select("slide_id", "id", "x_min", "y_min", "x_max", "y_max", "width", "height", "area")
 
 
 @query(f"with {REGIONS} select slide_id, id, cast(i as bigint) as i, cast(j as bigint) as j from regions, lateral (select unnest(range(cast(floor(x_min/512) as bigint), cast(floor((x_max-1)/512) as bigint)+1)) as i), lateral (select unnest(range(cast(floor(y_min/512) as bigint), cast(floor((y_max-1)/512) as bigint)+1)) as j)")
@@ -308,18 +325,26 @@ def polygon_area_perimeter(s, d):
     return rows.select("det_id", F.round(rings.area(ring), 6).alias("area"), F.round(rings.perimeter(ring), 6).alias("perimeter"), *rings.bounds(ring))
 
 
-@query(f"with {DET}, m as (select det_id, x2-x1 as w, y2-y1 as h from det) select det_id, 4 as n_points, round(4*pi()*w*h/(4*(w+h)*(w+h)),9) as compactness, round(2*(w+h)/sqrt(w*h),9) as complexity, round(2*(w*h/sqrt(w*w+h*h))/2/sqrt(w*h),9) as roughness, true as is_simple, false as is_complex from m")
+HEXAGON = f"""{DET}, p as (select det_id, i, x, y from det, lateral (values (0, x1, y1), (2, (x1+x2)/2, y1-det_id%5), (4, x2, y1), (6, x2+det_id%7, (y1+y2)/2), (8, x2, y2), (10, x1, y2), (12, x1, y1)) t(i, x, y)),
+ m as (select det_id, i+1 as i, (x+lead(x) over w)/2 as x, (y+lead(y) over w)/2 as y from p window w as (partition by det_id order by i)),
+ h as (select * from p union all select * from m where i < 12 and det_id%3 = 2),
+ e as (select *, lag(x) over w as px, lag(y) over w as py, lead(x) over w as nx, lead(y) over w as ny from h window w as (partition by det_id order by i))"""
+
+
+@query(f"""with {HEXAGON}, f as (select d.det_id, count(*) as n_points, abs(sum((px-d.x1)*(y-d.y1)-(x-d.x1)*(py-d.y1)))/2 as a, sum(sqrt((x-px)*(x-px)+(y-py)*(y-py))) as p,
+ avg(case when px is not null and nx is not null and sqrt((nx-px)*(nx-px)+(ny-py)*(ny-py)) > 0 then abs((nx-px)*(py-y)-(px-x)*(ny-py))/sqrt((nx-px)*(nx-px)+(ny-py)*(ny-py)) end) as far from e join det d on d.det_id = e.det_id group by 1)
+ select det_id, n_points, round(4*pi()*a/(p*p),7) as compactness, round(p/sqrt(a),7) as complexity, round(far/sqrt(a),7) as roughness, n_points < 10 as is_simple, n_points > 100 as is_complex from f""")
 def polygon_shape_metrics(s, d):
-    rows = det(s, d).withColumn("polygon", rectangle()).select("det_id", rings.metrics(F.col("polygon")).alias("m"))
-    return rows.select("det_id", "m.n_points", *[F.round(f"m.{c}", 9).alias(c) for c in ("compactness", "complexity", "roughness")], "m.is_simple", "m.is_complex")
+    rows = det(s, d).withColumn("polygon", _hexagon()).select("det_id", rings.metrics(F.col("polygon")).alias("m"))
+    return rows.select("det_id", F.col("m.n_points").cast("long").alias("n_points"), *[F.round(f"m.{c}", 7).alias(c) for c in ("compactness", "complexity", "roughness")], "m.is_simple", "m.is_complex")
 
 
-@query(f"with {DET} select det_id, 5 as n_key from det")
+@query(f"with {HEXAGON} select det_id, count(*) as n_key, round(sum(x),6) as x, round(sum(y),6) as y from e where px is null or nx is null or degrees(acos(greatest(-1, least(1, ((px-x)*(nx-x)+(py-y)*(ny-y))/(sqrt((px-x)*(px-x)+(py-y)*(py-y))*sqrt((nx-x)*(nx-x)+(ny-y)*(ny-y))))))) < 165 group by 1")
 def polygon_key_points(s, d):
-    p = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    x1, y1, x2, y2 = boxes.corners()
-    ring = F.array(p(x1, y1), p((x1 + x2) / 2, y1), p(x2, y1), p(x2, y2), p((x1 + x2) / 2, y2), p(x1, y2), p(x1, (y1 + y2) / 2))
-    return det(s, d).select("det_id", F.size(rings.key_points(ring)).alias("n_key"))
+    key = F.col("key")
+    total = lambda c: F.round(F.aggregate(key, F.lit(0.0), lambda a, v: a + v[c]) + key[0][c], 6).alias(c)
+    # the closed ring ends with its first vertex again
+    return det(s, d).withColumn("polygon", _hexagon()).select("det_id", rings.key_points(F.col("polygon")).alias("key")).select("det_id", (F.size(key) + 1).cast("long").alias("n_key"), total("x"), total("y"))
 
 
 @query(f"with {DET}, v as (select unnest([struct_pack(dx := x2-x1, dy := 0.0), struct_pack(dx := 0.0, dy := y2-y1), struct_pack(dx := x1-x2, dy := 0.0)]) as s from det), c as (select s.dx as dx, s.dy as dy, count(*) as n from v group by 1,2) select dx, dy, n, dx in (-1,0,1) and dy in (-1,0,1) as unit from c order by n desc, dx, dy limit 5")
@@ -351,7 +376,12 @@ def polygon_union(s, d):
     return merge.united(det(s, d).withColumn("polygon", rectangle()))
 
 
-@query()
+HELD = "(greatest(0, least(k.x2,x[1].x2)-greatest(k.x1,x[1].x1))*greatest(0, least(k.y2,x[1].y2)-greatest(k.y1,x[1].y1)))/((x[1].x2-x[1].x1)*(x[1].y2-x[1].y1))"
+
+
+@query(f"""with {TIGHT}, g as (select list([struct_pack(det_id := det_id, x1 := x1, y1 := y1, x2 := x2, y2 := y2)] order by (x2-x1)*(y2-y1) desc, det_id) as l from det where class_name = 'lp' group by slide_id),
+ r as (select unnest(list_reduce(l, lambda acc, x: case when len(list_filter(acc, lambda k: {HELD} > 0.8)) > 0 then acc else list_concat(acc, x) end)).det_id as det_id from g)
+ select {BOXES}, conf from det where class_name <> 'lp' or det_id in (select det_id from r)""")
 def nested_filter(s, d):
     return merge.without_nested(det(s, d, True).withColumn("polygon", rectangle())).drop("polygon")
 
@@ -366,9 +396,11 @@ def adaptive_simplify(s, d):
     return _waves(det(s, d)).select("det_id", merge.adaptively_simplified("polygon").alias("s")).select("det_id", "s.*")
 
 
-@query(f"with {DET} select det_id, true as valid from det")
+@query(f"with {DET} select det_id, det_id%4 > 1 as valid from det")
 def polygon_valid(s, d):
-    return det(s, d).select("det_id", merge.is_valid(rectangle()).alias("valid"))
+    k = F.col("det_id") % 4
+    ring = F.when(k == 0, _bow()).when(k == 1, F.slice(_bow(), 1, 2)).when(k == 2, _hexagon()).otherwise(rectangle())
+    return det(s, d).select("det_id", merge.is_valid(ring).alias("valid"))
 
 
 @query(f"with {DET} select det_id, class_name, x1, y1, x2, y2 from det")
@@ -382,29 +414,86 @@ def json_roundtrip(s, d):
 PIXELS = "t as (select p_partkey as patch_id, (p_partkey*7919)%256 as a, (p_partkey*10007)%256 as b from part)"
 
 
-@query(f"with {PIXELS} select patch_id from t where not (a > 240 and b > 240) and (a+b)/2.0 < 240 and abs(a-b)/2.0 > 10")
-def tissue_filter(s, d):
+def pixels(s: SparkSession, d: str) -> DataFrame:
+    """A tile of 8 x 8 pixels of two levels for each part: (a, b, a) and (b, a, b) in turn."""
     k = F.col("p_partkey")
     level = lambda v: F.lpad(F.hex(v), 2, "0")
     image = F.unhex(F.repeat(F.concat(level(k * 7919 % 256), level(k * 10007 % 256)), F.lit(96)))
-    tiles = table(s, d, "part").select(k.alias("patch_id"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(3).alias("channels"), image.alias("image"))
-    return tiling.with_tissue(tiles, "spread").select("patch_id")
+    return table(s, d, "part").select(k.alias("patch_id"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(3).alias("channels"), image.alias("image"))
+
+
+@query(f"with {PIXELS} select patch_id from t where not (a > 240 and b > 240) and (a+b)/2.0 < 240 and abs(a-b)/2.0 > 10")
+def tissue_filter(s, d):
+    return tiling.with_tissue(pixels(s, d), "spread").select("patch_id")
+
 
+@query(f"with {PIXELS} select patch_id from t where (a+b)/2.0 < 240")
+def tissue_mean(s, d):
+    return tiling.with_tissue(pixels(s, d), "mean").select("patch_id")
 
-@query(f"with {DET}, c as (select slide_id, floor(x1/512) as i, floor(y1/512) as j, count(*) as n from det where class_name <> 'excl' group by all order by n desc, min(det_id) limit 20) select det_id, det.x1-c.i*512 as x1, det.y1-c.j*512 as y1, case class_name when 'excl' then '#00FFFF' else '#000000' end as colour, c.n as n_in_cell from det join c on det.slide_id = c.slide_id and floor(x1/512) = c.i and floor(y1/512) = c.j where class_name <> 'excl'")
+
+@query(f"with {PIXELS} select patch_id from t where (a+b)/2.0 < 0.999*255")
+def tissue_sum(s, d):
+    return tiling.with_tissue(pixels(s, d), "sum").select("patch_id")
+
+
+@query(f"with {PIXELS} select patch_id from t where greatest(a,b) > 0 and 255*abs(a-b)/greatest(a,b) > 30.5")
+def tissue_saturation(s, d):
+    return tiling.with_tissue(pixels(s, d), "saturation").select("patch_id")
+
+
+@query(f"with {PIXELS} select patch_id from t where not (0.413*a+0.587*b > 200 and 0.587*a+0.413*b > 200)")
+def tissue_gray(s, d):
+    return tiling.with_tissue(pixels(s, d), "gray").select("patch_id")
+
+
+@query(f"with {DET}, l as (select class_name, count(*) as k from det group by 1), a as (select count(*) as n, count(distinct slide_id) as s from det) select 0 as part, cast(0 as bigint) as place, 'slides: ' || s || ', predictions: ' || n as line from a union all select 1, -k, printf('  %s: %d (%.1f%%)', class_name, k, 100.0*k/n) from l, a")
+def text_report(s, d):
+    return report.summary_lines(det(s, d)).where("part < 2")
+
+
+@query("with m as (select * from (values ('lp', 512, 0.5, 2), ('mild', 512, 0.6, 1), ('bare', 1024, 0.7, 0)) t(model_path, window_size, min_conf, n)) select model_path, window_size, min_conf, array_to_string(list_transform(range(0, n), lambda i: model_path || i), ',') as class_names, n as num_classes from m")
+def model_info(s, d):
+    models = s.range(1).select(F.inline(F.array(*[F.struct(F.lit(p).alias("model_path"), F.lit(w).alias("window_size"), F.lit(c).alias("min_conf")) for p, w, c in (("lp", 512, 0.5), ("mild", 512, 0.6), ("bare", 1024, 0.7))])))
+    classes = s.range(1).select(F.inline(F.array(*[F.struct(F.lit(p).alias("model_path"), F.lit(i).alias("class_id"), F.lit(f"{p}{i}").alias("class_name")) for p, i in (("lp", 1), ("lp", 0), ("mild", 0))])))
+    return report.model_info(models, classes).withColumn("class_names", F.array_join("class_names", ","))
+
+
+@query(f"with {DET}, r as (select * replace ({REPORT} as class_name) from det), c as (select slide_id, floor(x1/512) as i, floor(y1/512) as j, count(*) as n from r where class_name <> 'excl' group by all order by n desc, min(det_id) limit 20) select det_id, r.x1-c.i*512 as x1, r.y1-c.j*512 as y1, {COLOUR} as colour, c.n as n_in_cell from r join c on r.slide_id = c.slide_id and floor(x1/512) = c.i and floor(y1/512) = c.j where class_name <> 'excl'")
 def tile_annotations(s, d):
-    return pipeline.annotations(det(s, d), 20).select("det_id", "x1", "y1", "colour", "n_in_cell")
+    return pipeline.annotations(report_classes(det(s, d)), 20).select("det_id", "x1", "y1", "colour", "n_in_cell")
 
 
-@query(f"with {DET} select det_id, x1, y1, x2, y2 from det")
+@query(f"with {DET} select det_id, x1, y1-det_id%5 as y1, x2+det_id%7 as x2, y2 from det where det_id%4 > 0")
 def rewritten_boxes(s, d):
-    return pipeline.rewritten(det(s, d).withColumn("polygon", rectangle()).withColumns({"x1": F.lit(0.0), "y2": F.lit(0.0)})).select("det_id", "x1", "y1", "x2", "y2")
+    rows = det(s, d).withColumn("polygon", F.when(F.col("det_id") % 4 == 0, _bow()).otherwise(_hexagon()))
+    return pipeline.rewritten(rows.withColumns({"x1": F.lit(0.0), "y2": F.lit(0.0)})).select("det_id", "x1", "y1", "x2", "y2")
 
 
-@query()
+@query("with c as (select event_id as component, event_id//64 as slide_id, event_id%6 as k, count(*) over (partition by event_id//64) as n from events) select slide_id, min(component) as first, count(*) as n, max(component) as last from c where n >= 6 group by slide_id, k")
 def kmeans_regions(s, d):
-    rows = det(s, d).select("slide_id", "det_id", ((F.col("x1") + F.col("x2")) / 2).alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"))
-    return regions.clustered(rows, 6).groupBy("cluster").agg(F.count("*").alias("n"))
+    k = F.col("event_id")
+    rows = table(s, d, "events").select(F.floor(k / 64).alias("slide_id"), k.alias("component"), (k % 6 * 100 + k * 7 % 13).cast("double").alias("cx"), (k % 6 % 4 * 150 + k * 5 % 11).cast("double").alias("cy"))
+    return regions.clustered(rows, 6).groupBy("slide_id", "cluster").agg(F.min("component").alias("first"), F.count("*").alias("n"), F.max("component").alias("last")).drop("cluster")
+
+
+def _point(x, y):
+    return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+
+def _bow():
+    """A ring that crosses itself."""
+    x1, y1, x2, y2 = boxes.corners()
+    return F.array(_point(x1, y1), _point(x2, y2), _point(x2, y1), _point(x1, y2))
+
+
+def _hexagon():
+    """An irregular ring around a box; every third has the middles of its edges too."""
+    x1, y1, x2, y2 = boxes.corners()
+    k = F.col("det_id")
+    p = [((x1), y1), ((x1 + x2) / 2, y1 - k % 5), (x2, y1), (x2 + k % 7, (y1 + y2) / 2), (x2, y2), (x1, y2)]
+    every = [_point(*v) for (ax, ay), (bx, by) in zip(p, p[1:] + p[:1]) for v in ((ax, ay), ((ax + bx) / 2, (ay + by) / 2))]
+    return F.filter(F.array(*every), lambda v, i: (i % 2 == 0) | (k % 3 == 2))
 
 
 def _waves(rows: DataFrame) -> DataFrame:
