@@ -10,11 +10,12 @@ Equal fingerprints are one class: the index holds classes, never their copies.
 ``similar`` groups by the Jaccard similarity of five-word shingles, ``LEAST`` or more, exactly compared. The fingerprints
 of such texts may differ in some 10 of 64 bits, beyond any distance that positional bytes can guarantee to find; an
 index of sampled bits would need some n^0.24 keys a row for n rows. So the links that the index finds come first, and
-what is left between them is met by the sets' own minima: ``BANDS`` hashes of ``ROWS`` minima each; two sets of
-similarity s share none with a probability of (1 - s^5)^32, 3e-6 at 0.8. No pair is compared whose ends are known to be
-connected: texts of equal or linked fingerprints are compared with the least text of their class and members of a band
-with its least member; then only members of different components meet. A large group whose members are like its least
-costs its size; one of texts that share bands below the least similarity still costs pairs by its square.
+what it cannot reach is found in the sets themselves. Texts that may have a partner at all are those that share one of
+``BANDS`` hashes of ``ROWS`` minima with another (of similarity s two share none with a probability of (1 - s^5)^32, 3e-6
+at 0.8). Among their shingles, rarest first, two sets of the least similarity must share one in the first n - 0.8 n + 1
+of each: so a text meets others under these few shingles only, and one whose own are unique meets none. No pair is
+compared whose ends are known to be connected: texts of equal or linked fingerprints are compared with the least text of
+their class and texts under a shingle with its least one; then only members of different components meet.
 
 Defined cases: a null or word-less text has fingerprint zero and links like any other; rows may repeat; a null doc_id
 is a row of its own and never a component's id unless the whole component has none; an empty table gives no rows;
@@ -169,6 +170,16 @@ def alike(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
     return near.where(both >= least * (F.col("nx") + F.col("ny") - both)).select("a", "b")
 
 
+def rarest(sets: DataFrame, least: float = LEAST) -> DataFrame:
+    """(key, node, n): the shingles under which a set must meet any other of the least similarity, and its size n."""
+    each = sets.select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    common = each.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    own = each.join(common, "gram").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("of"))
+    # the set's unique shingles come before these
+    first = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1 - (F.col("n") - F.size("of"))
+    return own.where(first > 0).select(F.explode(F.slice("of", F.lit(1), first.cast("int"))).alias("k"), "node", "n").select(F.col("k.gram").alias("key"), "node", "n")
+
+
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
     """(id, text_hash, node, label): one row per row of docs; label is the same for all rows of a group."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -192,10 +203,9 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     near = met.join(first.toDF("x", "n1"), "x").join(first.toDF("y", "n2"), "y").where("n1 <> n2").select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b"))
     nodes = own.groupBy("node").agg(F.first("bands").alias("bands"))
     keyed = nodes.select("node", F.posexplode("bands").alias("k", "v")).select("node", F.xxhash64("k", "v").alias("key"))
-    lead = keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    shared = stored(keyed.join(lead, "key"), "bands")
-    pairs = stored(same.union(near).union(shared.where("node <> a").select("a", F.col("node").alias("b"))).distinct(), "pairs")
-    used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(shared.select("node")).distinct()
+    lead = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
+    simhash_pairs = same.union(near)
+    used = keyed.join(lead, "key").select("node").union(simhash_pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
     texts = own.join(used, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
     picked = rows.join(texts, "text_hash").dropDuplicates(["node"]).select("node", "text")
 
@@ -207,13 +217,17 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
                 yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], values], names=["node", "grams"])
 
     sets = stored(picked.mapInArrow(expand, "node long, grams array<long>"), "grams")
-    found = stored(alike(pairs, sets, least), "links")
+    shared = stored(rarest(sets, least), "rarest")
+    lead = shared.groupBy("key").agg(F.min(F.struct("node", "n")).alias("l"), F.count("*").alias("c")).where("c > 1").select("key", F.col("l.node").alias("a"), F.col("l.n").alias("m"))
+    size = F.least("m", "n") >= least * F.greatest("m", "n")
+    hubs = shared.join(lead, "key").where((F.col("node") != F.col("a")) & size).select("a", F.col("node").alias("b"))
+    found = stored(alike(simhash_pairs.union(hubs).distinct(), sets, least), "links")
     label = components(found)
-    named = shared.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    named = shared.join(label, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
     split = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    named = stored(named.join(split, "key"), "bands")
-    y = named.select("key", F.col("node").alias("b"), F.col("label").alias("other"))
-    more = named.withColumnRenamed("node", "a").join(y, "key").where("label < other").select("a", "b").distinct()
+    named = stored(named.join(split, "key"), "split")
+    y = named.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
+    more = named.withColumnRenamed("node", "a").join(y, "key").where((F.col("label") < F.col("other")) & size).select("a", "b").distinct()
     label = components(found.union(alike(more, sets, least)))
     label = nodes.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     return own.select("id", "text_hash", "node").join(label, "node")
