@@ -20,8 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import shared_dir, stored, text_mb
-from .tokens import encoder, groups, tokenizer_path
+from .common import shared_dir, slices, stored, text_mb
+from .tokens import GROUP, encoder, tokenizer_path
 
 MAGIC, HEAD, NULL = b"TLBITS01", "<8sIIQQQ", np.iinfo(np.int64).min
 BLOCK = 1 << 16
@@ -133,9 +133,9 @@ def write(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id", te
         encode = encoder(path)
         out = Writer(width_of(encode.vocab))
         for b in rows:
-            doc_ids, texts = b.column(0).fill_null(int(NULL)).to_numpy(), b.column(1).to_pylist()
-            for lo, hi in groups(texts):
-                out.add(doc_ids[lo:hi], *encode(texts[lo:hi]))
+            doc_ids = b.column(0).fill_null(int(NULL)).to_numpy()
+            for lo, hi in slices(b.column(1), GROUP):
+                out.add(doc_ids[lo:hi], *encode(b.column(1).slice(lo, hi - lo).to_pylist()))
         if out.docs:
             data, n_docs, n_ids = out.finish()
             shard, (fs, base) = TaskContext.get().partitionId(), _fs(folder)

@@ -288,7 +288,7 @@ def _summary(model: Model, col: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and score of each row of a text column."""
     names, scores = [], []
     letter = pc.fill_null(pc.match_substring_regex(col, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-    for lo, hi in slices(col, 1 << 20):
+    for lo, hi in slices(col, 1 << 18):
         if not model.labels:
             names += [UND] * (hi - lo)
             scores.append(np.zeros(hi - lo))

@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import stored
-from .tokens import encoder, groups, tokenizer_path
+from .common import slices, stored
+from .tokens import GROUP, encoder, tokenizer_path
 
 CAPACITY, SHARD = 2048, 50_000
 
@@ -67,9 +67,8 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     def run(rows):
         encode = encoder(path)
         for b in rows:
-            texts = b.column(1).to_pylist()
-            for lo, hi in groups(texts):
-                ids, off = encode(texts[lo:hi])
+            for lo, hi in slices(b.column(1), GROUP):
+                ids, off = encode(b.column(1).slice(lo, hi - lo).to_pylist())
                 data = ids.astype("<u4").tobytes()
                 rows_, out = [], []
                 for r, (a, z) in enumerate(zip(off[:-1], off[1:])):

@@ -24,8 +24,8 @@ CLASS = np.full(256, OTHER, np.uint8)
 CLASS[[9, 10, 11, 12, 13, 32, 0x85, 0xA0]] = SPACE
 CLASS[[i for i in range(256) if chr(i).isalpha()]] = LETTER
 CLASS[[i for i in range(256) if chr(i).isnumeric()]] = NUMBER
-#: Pre-tokens a worker keeps, and pre-tokens gathered at a time.
-KEEP, AT_A_TIME = 1 << 19, 1 << 17
+#: Pre-tokens a worker keeps, pre-tokens gathered at a time, and characters of texts encoded together; they bound a worker's memory.
+KEEP, AT_A_TIME, GROUP = 1 << 18, 1 << 17, 1 << 18
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -233,7 +233,7 @@ def same_pieces(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[
     return codes, np.concatenate([np.flatnonzero(short)[one_short], one_odd])
 
 
-def groups(texts: list, most: int = 1_000_000):
+def groups(texts: list, most: int = GROUP):
     """Slices of a list of texts of about ``most`` characters or one text."""
     at, size = 0, 0
     for i, t in enumerate(texts):
