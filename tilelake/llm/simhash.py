@@ -13,9 +13,10 @@ index of sampled bits would need some n^0.24 keys a row for n rows. So the links
 what it cannot reach is found in the sets themselves. Texts that may have a partner at all are those that share one of
 ``BANDS`` hashes of ``ROWS`` minima with another (of similarity s two share none with a probability of (1 - s^5)^32, 3e-6
 at 0.8). Among their shingles, rarest first, two sets of the least similarity must share one in the first n - 0.8 n + 1
-of each: so a text meets others under these few shingles only, and one whose own are unique meets none. No pair is
-compared whose ends are known to be connected: texts of equal or linked fingerprints are compared with the least text of
-their class and texts under a shingle with its least one; then only members of different components meet.
+of each: so a text meets others under these few shingles only, and one whose own are unique meets none. A pair goes on if
+enough shingles follow the one under which it meets and if its sketches of 1,024 parities do not differ in more bits
+than the sets may in shingles; both bounds lose no pair. No pair is compared whose ends are known to be connected: texts
+of equal or linked fingerprints are compared with the least text of their class and texts under a shingle with its least one; then only members of different components meet.
 
 Defined cases: a null or word-less text has fingerprint zero and links like any other; rows may repeat; a null doc_id
 is a row of its own and never a component's id unless the whole component has none; an empty table gives no rows;
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import components, gram_hashes, lower_table, mixed, slices, split_words, stored, string_bytes, word_hashes
 
 BITS = 3
-SHINGLE, LEAST, BANDS, ROWS = 5, 0.8, 32, 5
+SHINGLE, LEAST, BANDS, ROWS, SKETCH = 5, 0.8, 32, 5, 16
 #: Beyond so many distinct fingerprints, keys of 40 bits instead of 24: more rows in the index, fewer chance meetings.
 WIDE_FROM = 1 << 23
 WORD = np.ones(256, bool)
@@ -161,6 +162,13 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return node.view(np.int64), bands.view(np.int64)
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """``SKETCH`` longs of each set: a bit is the parity of the shingles that fall to it, so that two sets differ in at
+    least as many shingles as their sketches do in bits."""
+    odd = np.stack([np.bincount((s.view(np.uint64) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1 for s in sets]).astype(np.uint8)
+    return np.packbits(odd, axis=1).view(np.int64)
+
+
 def alike(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
     """Of pairs (a, b) of nodes, those whose sets are similar enough."""
     x, y = sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), sets.select(F.col("node").alias("b"), F.col("grams").alias("y"))
@@ -171,13 +179,15 @@ def alike(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
 
 
 def rarest(sets: DataFrame, least: float = LEAST) -> DataFrame:
-    """(key, node, n): the shingles under which a set must meet any other of the least similarity, and its size n."""
+    """(key, node, n, place): the shingles under which a set must meet any other of the least similarity, its size n, and
+    how many of its shingles are rarer."""
     each = sets.select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     common = each.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
     own = each.join(common, "gram").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("of"))
     # the set's unique shingles come before these
     first = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1 - (F.col("n") - F.size("of"))
-    return own.where(first > 0).select(F.explode(F.slice("of", F.lit(1), first.cast("int"))).alias("k"), "node", "n").select(F.col("k.gram").alias("key"), "node", "n")
+    found = own.where(first > 0).select(F.posexplode(F.slice("of", F.lit(1), first.cast("int"))).alias("i", "k"), "node", "n", (F.col("n") - F.size("of")).alias("unique"))
+    return found.select(F.col("k.gram").alias("key"), "node", "n", (F.col("i") + F.col("unique")).alias("place"))
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
@@ -214,20 +224,26 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
             for lo, hi in slices(b.column(1), 1 << 20):
                 sets = [s.view(np.int64) for s in shingles(b.column(1)[lo:hi], shingle)]
                 values = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], values], names=["node", "grams"])
+                sketch = sketches(sets)
+                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], values, *(pa.array(sketch[:, i].copy()) for i in range(SKETCH))], names=["node", "grams", *marks])
 
-    sets = stored(picked.mapInArrow(expand, "node long, grams array<long>"), "grams")
+    marks = [f"s{i}" for i in range(SKETCH)]
+    sets = stored(picked.mapInArrow(expand, "node long, grams array<long>, " + ", ".join(f"{m} long" for m in marks)), "grams")
     shared = stored(rarest(sets, least), "rarest")
     lead = shared.groupBy("key").agg(F.min(F.struct("node", "n")).alias("l"), F.count("*").alias("c")).where("c > 1").select("key", F.col("l.node").alias("a"), F.col("l.n").alias("m"))
     size = F.least("m", "n") >= least * F.greatest("m", "n")
     hubs = shared.join(lead, "key").where((F.col("node") != F.col("a")) & size).select("a", F.col("node").alias("b"))
     found = stored(alike(simhash_pairs.union(hubs).distinct(), sets, least), "links")
     label = components(found)
-    named = shared.join(label, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
+    named = shared.join(label, "node", "left").select("key", "node", "n", "place", F.coalesce("label", "node").alias("label"))
     split = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    named = stored(named.join(split, "key"), "split")
-    y = named.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-    more = named.withColumnRenamed("node", "a").join(y, "key").where((F.col("label") < F.col("other")) & size).select("a", "b").distinct()
+    named = stored(named.join(split, "key").join(sets.select("node", *marks), "node"), "split")
+    y = named.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("other_place"), F.col("label").alias("other"), *[F.col(c).alias(f"o{c}") for c in marks])
+    # of two sets so similar at most this share of their shingles differ
+    apart = F.expr(" + ".join(f"bit_count({c} ^ o{c})" for c in marks)) <= (F.col("n") + F.col("m")) * ((1 - least) / (1 + least)) + 1e-9
+    # from the rarest shingle in both on, enough must be left for all that they share
+    left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("other_place")) >= (F.col("n") + F.col("m")) * (least / (1 + least)) - 1e-9
+    more = named.withColumnRenamed("node", "a").join(y, "key").where((F.col("label") < F.col("other")) & size & left & apart).select("a", "b").distinct()
     label = components(found.union(alike(more, sets, least)))
     label = nodes.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     return own.select("id", "text_hash", "node").join(label, "node")
