@@ -34,3 +34,44 @@ EMBEDDINGS = """with recursive v as (select vec_id, label, cast(embedding as dou
  select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept from embeddings join m on n = vec_id left join k on a = vec_id"""
 
 ORACLE_SQL = {"op3_decontaminate": DECONTAMINATE, "op4_warc": WARC, "op7_embeddings": EMBEDDINGS}
+
+_FIELDS = lambda text: " || ".join(f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in ("doc_id", "source", "lang", "n_chars", text))
+#: CRC-32 of a text of ASCII letters: a step for each bit, a mark of -1 stands for one.
+_CRC = "xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384 * (a & 1)) end), 4294967295)"
+#: Levels that are enough for eight to their power rows.
+_LEVELS = 10
+
+
+def _tree(first: str, key: str, p: str) -> str:
+    """CTEs {p}0.. of the levels of each group: digest, what stands left and right in its run, and whether it goes up."""
+    runs = f"partition by {key}, pos // 8 order by pos rows between"
+    seen = f"coalesce(string_agg(digest, '') over ({runs} unbounded preceding and 1 preceding), '') as l, coalesce(string_agg(digest, '') over ({runs} 1 following and unbounded following), '') as r, count(*) over (partition by {key}) > 1 as up"
+    out = [f"{p}0 as (select {key}, pos, digest, {seen} from {first})"]
+    for k in range(1, _LEVELS + 1):
+        out.append(f"{p}{k} as (select {key}, pos, digest, {seen} from (select {key}, case when up then pos // 8 else pos end as pos, case when up then sha256(string_agg(digest, '' order by pos)) else min(digest) end as digest from {p}{k - 1} group by {key}, up, 2))")
+    return ",\n ".join(out)
+
+
+def _climb(p: str, key: str, source: str, name: str) -> str:
+    """CTE of source (row, {key}, pos, proof, fold) with the path of its node added to both."""
+    out, last = [], source
+    for k in range(_LEVELS):
+        out.append(f"{name}{k} as (select s.row, s.{key}, case when t.up then s.pos // 8 else s.pos end as pos, case when t.up then proof || t.l || t.r else proof end as proof, case when t.up then sha256(t.l || fold || t.r) else fold end as fold from {last} s join {p}{k} t on s.{key} = t.{key} and s.pos = t.pos)")
+        last = f"{name}{k}"
+    return ",\n ".join(out)
+
+
+#: Levels of eight, one CTE each, first of languages and then of their subroots.
+MERKLE = f"""with d as (select row_number() over () as row, *, coalesce('=' || lang, '') as g, sha256({_FIELDS('text')}) as leaf,
+  sha256({_FIELDS(f"translate(text, '{UPPER}', '{LOWER}')")}) as other, doc_id is not null and {_CRC} % 3 = 0 as hit from documents),
+ n as (select row, g, row_number() over (partition by g order by doc_id nulls first, leaf, row) - 1 as pos, leaf as digest, case when hit then other else leaf end as fold, '' as proof from d),
+ {_tree('n', 'g', 'a')},
+ sub as (select g, digest from a{_LEVELS}), m as (select 0 as k, g, row_number() over (order by g) - 1 as pos, digest from sub),
+ {_tree('m', 'k', 'b')},
+ {_climb('a', 'g', 'n', 'c')},
+ up as (select row, 0 as k, m.pos as pos, proof, fold from c{_LEVELS - 1} c join m using (g)),
+ {_climb('b', 'k', 'up', 'e')}
+ select doc_id, leaf, sub.digest as subroot, b.digest as root, sha256(e.proof) as proof_sha256, e.fold as folded_root, e.fold = b.digest as verified
+ from d join sub using (g) join e{_LEVELS - 1} e using (row) cross join b{_LEVELS} b"""
+
+ORACLE_SQL["op12_merkle"] = MERKLE

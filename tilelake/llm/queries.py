@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitpack, ctw, decontaminate, embeddings, html, langid, licenses, packing, simhash, warc
+from . import bitpack, counts, ctw, decontaminate, embeddings, html, langid, licenses, merkle, packing, simhash, warc, whitening
 from .common import table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -62,6 +62,18 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.counted(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_ctw": op1_ctw,
     "op2_packing": op2_packing,
@@ -73,4 +85,7 @@ QUERIES = {
     "op8_bitpack": op8_bitpack,
     "op9_licenses": op9_licenses,
     "op10_html": op10_html,
+    "op11_token_counts": op11_token_counts,
+    "op12_merkle": op12_merkle,
+    "op13_whitening": op13_whitening,
 }
