@@ -6,7 +6,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 SMALL = 100_000
 
@@ -91,22 +91,21 @@ def _with_least(rows: DataFrame, least: DataFrame, many: int | None) -> DataFram
     return cold.union(met.where("hu is not null").select("v", "u", F.col("hm").alias("m")))
 
 
-def by_component(parted: DataFrame, f, schema: str, rows: int = 4_000) -> DataFrame:
-    """Applies f, from pandas frame to pandas frame, to each component (_part) of a stored or cheap table.
+def by_component(parted: DataFrame, f, schema: str, rows: int = 4_000, keys: tuple[str, ...] = ("_part",), carry: tuple[str, ...] = ()) -> DataFrame:
+    """Applies f, from pandas frame to pandas frame, to each component (_part, or equal keys) of a stored or cheap table.
 
     Components are dealt by a hash into groups of about ``rows`` rows, since a Spark group for each of millions of small
-    components would cost more than f.
+    components would cost more than f. Columns to carry are the same in all rows of a component and put beside f's.
     """
     import pandas as pd
 
-    names = [c.split()[0] for c in schema.replace("array<struct<x:double,y:double>>", "array").split(", ")]
+    names = [f.name for f in T._parse_datatype_string(schema).fields]
     groups = max(1, -(-parted.count() // rows))
 
     def run(t: pd.DataFrame) -> pd.DataFrame:
-        out = [f(x) for _, x in t.groupby("_part", sort=False)]
+        out = [f(x).assign(**{c: x[c].iloc[0] for c in carry}) for _, x in t.groupby(list(keys), sort=False, dropna=False)]
         return pd.concat(out, ignore_index=True)[names] if out else pd.DataFrame(columns=names)
 
     # by number, since partitions small in bytes would be put together, though f is slow
-    parts = min(groups, int(parted.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = parted.withColumn("_group", F.pmod(F.xxhash64("_part"), F.lit(groups))).repartition(parts, "_group")
-    return dealt.groupBy("_group").applyInPandas(run, schema)
+    dealt = parted.withColumn("_group", F.pmod(F.xxhash64(*keys), F.lit(groups)))
+    return dealt.repartition(min(groups, 100_000), "_group").groupBy("_group").applyInPandas(run, schema)

@@ -371,9 +371,18 @@ def tiles_models(s, d):
     return filters.of_models(tiles, models).select("slide_id", "size", "model_path")
 
 
-@query()
+TOUCH = "least(a.x2,b.x2) >= greatest(a.x1,b.x1) and least(a.y2,b.y2) >= greatest(a.y1,b.y1) and (least(a.x2,b.x2) > greatest(a.x1,b.x1) or least(a.y2,b.y2) > greatest(a.y1,b.y1))"
+
+
+@query(f"""with recursive {DET}, e as (select a.det_id as u, b.det_id as v from det a join det b on a.slide_id = b.slide_id and a.class_name = b.class_name and a.det_id <> b.det_id where {TOUCH}),
+ c(det_id, root) as (select det_id, det_id from det union select e.v, c.root from c join e on e.u = c.det_id where c.root < e.v),
+ m as (select det.*, root from det join (select det_id, min(root) as root from c group by 1) using (det_id)), n as (select slide_id, class_name, count(*) as n from det group by all),
+ xs as (select root, x, lead(x) over (partition by root order by x) as nx from (select root, x1 as x from m union select root, x2 from m)), ys as (select root, y, lead(y) over (partition by root order by y) as ny from (select root, y1 as y from m union select root, y2 from m)),
+ f as (select distinct xs.root, x, nx, y, ny from xs join ys on xs.root = ys.root join m on m.root = xs.root and x1 <= x and nx <= x2 and y1 <= y and ny <= y2), s as (select root, sum((nx-x)*(ny-y)) as area from f group by 1)
+ select root as det_id, slide_id, class_name, min(x1) as x1, min(y1) as y1, max(x2) as x2, max(y2) as y2, case when any_value(n) = 1 then round(max(conf),6) else 0.8 end as conf, round(any_value(area),6) as area from m join s using (root) join n using (slide_id, class_name) group by 1, 2, 3""")
 def polygon_union(s, d):
-    return merge.united(det(s, d).withColumn("polygon", rectangle()))
+    found = merge.united(det(s, d).withColumn("polygon", rectangle()))
+    return found.select(*BOXES.split(", "), F.round("conf", 6).alias("conf"), F.round("area", 6).alias("area"))
 
 
 HELD = "(greatest(0, least(k.x2,x[1].x2)-greatest(k.x1,x[1].x1))*greatest(0, least(k.y2,x[1].y2)-greatest(k.y1,x[1].y1)))/((x[1].x2-x[1].x1)*(x[1].y2-x[1].y1))"
