@@ -395,6 +395,22 @@ def nested_filter(s, d):
     return merge.without_nested(det(s, d, True).withColumn("polygon", rectangle())).drop("polygon")
 
 
+def _arms(p: str) -> list[tuple[str, str, str, str]]:
+    """The two rectangles of the ring that ``_angle`` lays into a box."""
+    mx, my = f"({p}x1+{p}x2)/2", f"({p}y1+{p}y2)/2"
+    return [(f"{p}x1", f"{p}y1", f"{p}x2", my), (f"{p}x1", my, mx, f"{p}y2")]
+
+
+ANGLES = "+".join(f"greatest(0, least({a[2]},{b[2]})-greatest({a[0]},{b[0]}))*greatest(0, least({a[3]},{b[3]})-greatest({a[1]},{b[1]}))" for a in _arms("k.") for b in _arms("x[1]."))
+
+
+@query(f"""with {TIGHT}, g as (select list([struct_pack(det_id := det_id, x1 := x1, y1 := y1, x2 := x2, y2 := y2)] order by (x2-x1)*(y2-y1) desc, det_id) as l from det where class_name in ('lp', 'mild') group by slide_id, class_name),
+ r as (select unnest(list_reduce(l, lambda acc, x: case when len(list_filter(acc, lambda k: ({ANGLES})/(0.75*(x[1].x2-x[1].x1)*(x[1].y2-x[1].y1)) > 0.73)) > 0 then acc else list_concat(acc, x) end)).det_id as det_id from g)
+ select {BOXES} from det where class_name not in ('lp', 'mild') or det_id in (select det_id from r)""")
+def nested_rings(s, d):
+    return merge.without_nested(det(s, d, True).withColumn("polygon", _angle()), ("lp", "mild"), 0.73).select(*BOXES.split(", "))
+
+
 @query()
 def smart_simplify(s, d):
     return _waves(det(s, d)).select("det_id", merge.smart_simplified("polygon", 40).alias("polygon"))
@@ -496,6 +512,13 @@ def _bow():
     return F.array(_point(x1, y1), _point(x2, y2), _point(x2, y1), _point(x1, y2))
 
 
+def _angle():
+    """A box without the quarter of its lower right."""
+    x1, y1, x2, y2 = boxes.corners()
+    mx, my = (x1 + x2) / 2, (y1 + y2) / 2
+    return F.array(_point(x1, y1), _point(x2, y1), _point(x2, my), _point(mx, my), _point(mx, y2), _point(x1, y2))
+
+
 def _hexagon():
     """An irregular ring around a box; every third has the middles of its edges too."""
     x1, y1, x2, y2 = boxes.corners()
