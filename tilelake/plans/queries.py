@@ -5,13 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import boxes, rings
-from ..operators import filters, merge, regions, report, spatial, suppress, tiling
+from ..operators import filters, merge, pixels as px, regions, report, spatial, suppress, tiling
 from ..operators.graph import shared_dir
 from ..schemas import rectangle
-from ..sources import documents
+from ..sources import documents, tiff
 from ..sources.views import detections, table
 from . import pipeline
 
@@ -472,6 +474,120 @@ def tissue_gray(s, d):
     return tiling.with_tissue(pixels(s, d), "gray").select("patch_id")
 
 
+SLIDE_PIXELS = """s as (select distinct p_partkey//16 as slide from part), px as (select slide, x, y, slide*16 + y//16*4 + x//16 as k, x%16 as u, y%16 as v from s, lateral (select unnest(range(64)) as x), lateral (select unnest(range(64)) as y)),
+ v as (select slide, x, y, case when p_partkey is null then '000000' else printf('%02X%02X%02X', (k*7919+u)%256, (k*10007+v)%256, (u*v+k)%256) end as h from px left join part on p_partkey = k)"""
+
+
+def _drawn(s: SparkSession, d: str) -> str:
+    """A folder of slides of 64 x 64 pixels, each of sixteen parts that give a stored tile of 16 x 16."""
+    folder = f"{shared_dir(s)}/slides-{uuid.uuid4().hex}"
+
+    def run(t: pd.DataFrame) -> pd.DataFrame:
+        done = []
+        for slide, rows in t.groupby("slide"):
+            image = np.zeros((64, 64, 3), np.uint8)
+            v, u = np.mgrid[:16, :16]
+            for k in rows.k.tolist():
+                i, j = k % 4, k % 16 // 4
+                image[16 * j : 16 * j + 16, 16 * i : 16 * i + 16] = np.stack([k * 7919 + u, k * 10007 + v, u * v + k], axis=-1) % 256
+            done.append(tiff.saved(tiff.encoded([image, image[::2, ::2]], 16, deflate=slide % 2 == 0, difference=slide % 3 == 0, big=slide % 5 == 0, mpp=0.25), folder, f"{slide}.tiff"))
+        return pd.DataFrame({"path": done})
+
+    k = F.col("p_partkey")
+    parts = table(s, d, "part").select(k.alias("k"), F.floor(k / 16).alias("slide"))
+    groups = parts.withColumn("g", F.pmod(F.xxhash64("slide"), F.lit(64)))
+    groups.groupBy("g").applyInPandas(run, "path string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+@query(f"with {SLIDE_PIXELS}, t as (select unnest([0, 16, 32]) as x), o as (select a.x as x, b.x as y from t a, t b) select v.slide as slide, cast(o.x as bigint) as x, cast(o.y as bigint) as y, sha256(unhex(string_agg(h, '' order by v.y, v.x))) as pixels from v join o on v.x >= o.x and v.x < o.x+32 and v.y >= o.y and v.y < o.y+32 group by 1, 2, 3")
+def slide_read(s, d):
+    rows = tiff.tiles(s, _drawn(s, d), 32, 0.5, band=32)
+    return rows.select(F.regexp_extract("path", "([0-9]+)[.]tiff$", 1).cast("bigint").alias("slide"), "x", "y", F.sha2("image", 256).alias("pixels"))
+
+
+@query("select distinct p_partkey//16 as slide, 64 as width, 64 as height, 2 as levels, 2.0 as downsample, 0.25 as mpp from part")
+def slide_metadata(s, d):
+    rows = tiff.metadata(s, _drawn(s, d), permissive=False)
+    return rows.select(F.regexp_extract("path", "([0-9]+)[.]tiff$", 1).cast("bigint").alias("slide"), "width", "height", "levels", F.element_at("level_downsamples", -1).alias("downsample"), F.round("mpp", 6).alias("mpp"))
+
+
+DRAWN = """s as (select distinct p_partkey//16 as slide from part), px as (select slide, x, y, slide*16 + y//16*4 + x//16 as k, x%16 as u, y%16 as v from s, lateral (select unnest(range(64)) as x), lateral (select unnest(range(64)) as y)),
+ l0 as (select slide, x, y, (k*7919+u)%256 as r, (k*10007+v)%256 as g, (u*v+k)%256 as b from px)"""
+
+
+def _drawn_tiles(s: SparkSession, d: str, side: int = 4) -> DataFrame:
+    """Slides of side x side tiles of 16 x 16 pixels, one for every sixteen parts."""
+    slides = table(s, d, "part").select(F.floor(F.col("p_partkey") / 16).alias("slide_id")).distinct()
+    n = F.explode(F.sequence(F.lit(0), F.lit(side * side - 1)))
+    tiles = slides.withColumn("n", n).select("slide_id", (F.col("slide_id") * 16 + F.col("n")).alias("k"), (F.col("n") % side * 16).cast("bigint").alias("x"), (F.floor(F.col("n") / side) * 16).alias("y"))
+
+    @F.pandas_udf("binary")
+    def image(k: pd.Series) -> pd.Series:
+        v, u = np.mgrid[:16, :16]
+        return pd.Series([(np.stack([i * 7919 + u, i * 10007 + v, u * v + i], axis=-1) % 256).astype(np.uint8).tobytes() for i in k.tolist()])
+
+    return tiles.select("slide_id", "x", "y", F.lit(16).alias("height"), F.lit(16).alias("width"), F.lit(3).alias("channels"), image("k").alias("image"))
+
+
+LEVEL = "select slide, x//2 as x, y//2 as y, (sum(r)+2)//4 as r, (sum(g)+2)//4 as g, (sum(b)+2)//4 as b from {0} group by 1, 2, 3"
+
+
+@query(f"with {DRAWN}, l1 as ({LEVEL.format('l0')}), l2 as ({LEVEL.format('l1')}), a as (select 0 as level, * from l0 union all select 1, * from l1 union all select 2, * from l2) select slide as slide_id, level, cast(x//16*16 as bigint) as x, cast(y//16*16 as bigint) as y, sha256(unhex(string_agg(printf('%02X%02X%02X', cast(r as bigint), cast(g as bigint), cast(b as bigint)), '' order by a.y, a.x))) as pixels from a group by slide, level, x//16*16, y//16*16")
+def slide_levels(s, d):
+    return px.pyramid(_drawn_tiles(s, d), 16, 3).select("slide_id", "level", "x", "y", F.sha2("image", 256).alias("pixels"))
+
+
+@query(f"with {DRAWN}, t as (select slide, x*48//64 as x, y*48//64 as y, count(*) as n, sum(r) as r, sum(g) as g, sum(b) as b from l0 group by 1, 2, 3) select slide as slide_id, sha256(unhex(string_agg(printf('%02X%02X%02X', cast((2*r+n)//(2*n) as bigint), cast((2*g+n)//(2*n) as bigint), cast((2*b+n)//(2*n) as bigint)), '' order by y, x))) as pixels from t group by 1")
+def slide_thumbnail(s, d):
+    tiles = _drawn_tiles(s, d)
+    slides = tiles.select("slide_id").distinct().select("slide_id", F.lit(64).alias("width"), F.lit(64).alias("height"))
+    return px.thumbnails(tiles, slides, 48).select("slide_id", F.sha2("image", 256).alias("pixels"))
+
+
+@query(f"""with {PIXELS}, v as (select patch_id % 20 as slide_id, case when greatest(a,b) > 0 then cast(round_even(255.0*abs(a-b)/greatest(a,b), 0) as int) else 0 end as value, 64 as n from t), h as (select slide_id, value, cast(sum(n) as bigint) as n from v group by 1, 2),
+ w as (select slide_id, value, sum(n) over u as below, sum(n*value) over u as under, sum(n) over (partition by slide_id) as total, sum(n*value) over (partition by slide_id) as mass from h window u as (partition by slide_id order by value)),
+ b as (select *, case when total > below then cast(under*total-mass*below as double)/cast(below as double)*cast(under*total-mass*below as double)/cast(total-below as double) else -1 end as between_ from w),
+ o as (select *, row_number() over (partition by slide_id order by between_ desc, value) as rn, count(*) over (partition by slide_id) as k from b) select slide_id, case when k > 1 then value else 0 end as level from o where rn = 1""")
+def otsu_by_slide(s, d):
+    tiles = pixels(s, d).withColumn("slide_id", F.col("patch_id") % 20)
+    return px.otsu_levels(px.histograms(tiles))
+
+
+MASK = "(x*x*31 + y*y*17 + x*y*13 + slide*101) % 97 < 30"
+
+
+@query(f"""with recursive s as (select distinct p_partkey//16 as slide from part), m as (select slide, x, y, y*4294967296+x as i from s, lateral (select unnest(range(32)) as x), lateral (select unnest(range(32)) as y) where {MASK}),
+ e as (select a.slide, a.i as u, b.i as v from m a join m b on a.slide = b.slide and abs(a.x-b.x) <= 1 and abs(a.y-b.y) <= 1 and a.i <> b.i),
+ c(slide, i, root) as (select slide, i, i from m union select e.slide, e.v, c.root from c join e on e.slide = c.slide and e.u = c.i where c.root < e.v), r as (select slide, i, min(root) as root from c group by 1, 2)
+ select slide as slide_id, root as component, count(*) as area, round(avg(x),9) as cx, round(avg(y),9) as cy, min(x) as x_min, min(y) as y_min, max(x)+1 as x_max, max(y)+1 as y_max from r join m using (slide, i) group by 1, 2""")
+def mask_components(s, d):
+    return px.mask_components(_masks(s, d)).withColumns({"cx": F.round("cx", 9), "cy": F.round("cy", 9)})
+
+
+def _masks(s: SparkSession, d: str) -> DataFrame:
+    """Masks by rule on four tiles of each slide."""
+
+    @F.pandas_udf("binary")
+    def mask(slide: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        v, u = np.mgrid[:16, :16]
+        on = [((a + u) ** 2 * 31 + (b + v) ** 2 * 17 + (a + u) * (b + v) * 13 + i * 101) % 97 < 30 for i, a, b in zip(slide.tolist(), x.tolist(), y.tolist())]
+        return pd.Series([o.astype(np.uint8).tobytes() for o in on])
+
+    return _drawn_tiles(s, d, 2).withColumns({"image": mask("slide_id", "x", "y"), "channels": F.lit(1)})
+
+
+CODES = "case a+2*b+4*c+8*d when 0 then 0 when 15 then 8 when 3 then 4 when 6 then 4 when 12 then 4 when 9 then 4 when 5 then 2 when 10 then 2 when 1 then 1 when 2 then 1 when 4 then 1 when 8 then 1 else 7 end"
+
+
+@query(f"""with s as (select distinct p_partkey//16 as slide from part), g as (select slide, x, y, case when x between 0 and 31 and y between 0 and 31 and {MASK} then 1 else 0 end as v from s, lateral (select unnest(range(-1, 33)) as x), lateral (select unnest(range(-1, 33)) as y)),
+ q as (select a.slide, a.v as a, b.v as b, c.v as c, d.v as d from g a join g b on a.slide = b.slide and b.x = a.x+1 and b.y = a.y join g c on a.slide = c.slide and c.x = a.x+1 and c.y = a.y+1 join g d on a.slide = d.slide and d.x = a.x and d.y = a.y+1)
+ select slide as slide_id, round(sum({CODES})/8.0, 6) as area from q group by 1 having sum({CODES}) > 0""")
+def mask_contours(s, d):
+    found = px.contour_rings(_masks(s, d), 16)
+    return found.groupBy("slide_id").agg(F.round(F.sum("area"), 6).alias("area"))
+
+
 @query(f"with {DET}, l as (select class_name, count(*) as k from det group by 1), a as (select count(*) as n, count(distinct slide_id) as s from det) select 0 as part, cast(0 as bigint) as place, 'slides: ' || s || ', predictions: ' || n as line from a union all select 1, -k, printf('  %s: %d (%.1f%%)', class_name, k, 100.0*k/n) from l, a")
 def text_report(s, d):
     return report.summary_lines(det(s, d)).where("part < 2")
