@@ -46,6 +46,36 @@ def test_improved_run(spark, tiles, models):
     assert len(out) == 2 + 0 and all(r.simplification_metrics is None or r.simplification_metrics.area_preserved > 0.9 for r in out)
 
 
+def test_measured_runs(spark, tiles, models):
+    for run, test, stages in ((pipeline.standard, "spread", ["inference", "filter", "merge"]), (pipeline.improved, "saturation", ["inference", "filter", "merge", "simplify"])):
+        measured = report.Measured()
+        out = run(tiles, models, inference.dark_spots, measured=measured)
+        rows = {r.stage: r for r in measured.table(spark).collect()}
+        assert list(rows) == stages and rows[stages[-1]].rows == out.count() and abs(sum(r.percent for r in rows.values()) - 100) < 1e-6
+        assert measured.tiles.get["n"] == tiling.with_tissue(tiles, test).count()
+
+
+def test_batches_of_a_model_are_whole(spark, tiles, models):
+    sizes = spark.sparkContext.accumulator(0)
+
+    def load(path):
+        def run(images):
+            sizes.add(10 ** (3 * len(images)))
+            return [[] for _ in images]
+
+        return run
+
+    many = tiles.select("slide_id", *[c for c in tiles.columns if c != "slide_id"]).crossJoin(spark.range(5).drop("id")).coalesce(1)
+    two = models.where("window_size = 64").union(spark.createDataFrame([("/m/x.pt", 64, 0.5)], MODELS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        inference.detected(many, two, load, batch=8, permissive=False).count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    n = many.count()
+    assert sizes.value == 2 * ((n // 8) * 10**24 + (10 ** (3 * (n % 8)) if n % 8 else 0))
+
+
 def test_failing_model(spark, tiles, models):
     def broken(path):
         raise OSError("no weights")

@@ -71,12 +71,35 @@ def roughness(ring: Column) -> Column:
 
 
 def metrics(ring: Column) -> Column:
-    """Points (the closing one counts), area, perimeter, compactness, complexity, roughness and the two flags, as one struct."""
-    a, p, n = area(ring), perimeter(ring), F.size(ring) + 1
-    return F.struct(
-        n.alias("n_points"), a.alias("area"), p.alias("perimeter"), F.when(p > 0, 4 * math.pi * a / (p * p)).otherwise(0.0).alias("compactness"),
-        F.when(a > 0, p / F.sqrt(a)).otherwise(0.0).alias("complexity"), roughness(ring).alias("roughness"), (n < 10).alias("is_simple"), (n > 100).alias("is_complex"),
-    )
+    """Points (the closing one counts), area, perimeter, compactness, complexity, roughness and the two flags, as one struct.
+
+    One fold over the vertices adds up the shoelace terms, the lengths, and for the roughness the distances from the
+    chords with their number.
+    """
+    n = F.size(ring)
+    zero = F.struct(F.lit(0.0).alias("twice"), F.lit(0.0).alias("length"), F.lit(0.0).alias("far"), F.lit(0).alias("chords"))
+
+    def step(acc: Column, i: Column) -> Column:
+        o, p, q, b = F.get(ring, F.lit(0)), F.get(ring, i), F.get(ring, (i + 1) % n), F.get(ring, i - 1)
+        dx, dy = q["x"] - p["x"], q["y"] - p["y"]
+        cx, cy = q["x"] - b["x"], q["y"] - b["y"]
+        chord = F.sqrt(cx * cx + cy * cy)
+        counts = (i > 0) & (chord > 0)
+        away = F.abs(cx * (b["y"] - p["y"]) - (b["x"] - p["x"]) * cy) / chord
+        return F.struct(
+            (acc["twice"] + (p["x"] - o["x"]) * (q["y"] - o["y"]) - (q["x"] - o["x"]) * (p["y"] - o["y"])).alias("twice"), (acc["length"] + F.sqrt(dx * dx + dy * dy)).alias("length"),
+            (acc["far"] + F.when(counts, away).otherwise(0.0)).alias("far"), (acc["chords"] + F.when(counts, 1).otherwise(0)).alias("chords"),
+        )
+
+    def finish(acc: Column) -> Column:
+        a, p = F.abs(acc["twice"]) / 2, acc["length"]
+        rough = F.when((n > 2) & (a > 0) & (acc["chords"] > 0), acc["far"] / acc["chords"] / F.sqrt(a)).otherwise(0.0)
+        return F.struct(
+            (n + 1).alias("n_points"), a.alias("area"), p.alias("perimeter"), F.when(p > 0, 4 * math.pi * a / (p * p)).otherwise(0.0).alias("compactness"),
+            F.when(a > 0, p / F.sqrt(a)).otherwise(0.0).alias("complexity"), rough.alias("roughness"), (n + 1 < 10).alias("is_simple"), (n + 1 > 100).alias("is_complex"),
+        )
+
+    return F.aggregate(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), zero, step, finish)
 
 
 def vertex_steps(ring: Column) -> Column:

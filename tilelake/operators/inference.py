@@ -35,29 +35,41 @@ def _detector(run_id: str, path: str, load: Detector) -> Callable:
 def detected(tiles: DataFrame, models: DataFrame, load: Detector, batch: int = 8, permissive: bool = True) -> DataFrame:
     """Raw detections of every tile by every model of its size, boxes and polygons in slide pixels.
 
-    load(model_path) is called once per worker process and model, whatever the number of tasks. permissive: a failing model or batch gives a row with its
+    load(model_path) is called once per worker process and model, whatever the number of tasks. Tiles of a model are
+    gathered over the frames of a task until they make a batch, so all batches but a task's last are whole; at most a
+    batch for each model waits. permissive: a failing model or batch gives a row with its
     error instead of none; else it raises.
     """
     run_id = uuid.uuid4().hex  # detectors of other runs, which may load in another way, are not this one's
 
+    names = [c.split()[0] for c in RAW.split(", ")]
+
+    def hits(path: str, part: list) -> list[tuple]:
+        try:
+            found = _detector(run_id, path, load)([decoded(r.image, r.height, r.width, r.channels) for r in part])
+        except Exception as e:
+            if not permissive:
+                raise
+            return [(r.slide_id, r.patch_id, r.x, r.y, path, *[None] * 8, f"{type(e).__name__}: {e}") for r in part]
+        out = []
+        for r, own in zip(part, found):
+            for class_id, name, (x1, y1, x2, y2), conf, mask in own:
+                ring = g.mask_ring(mask, r.x, r.y) if mask is not None else None
+                out.append((r.slide_id, r.patch_id, r.x, r.y, path, class_id, name or f"class_{class_id}", x1 + r.x, y1 + r.y, x2 + r.x, y2 + r.y, conf, None if ring is None else points_of(ring), None))
+        return out
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: dict[str, list] = {}  # tiles of each model until they make a whole batch
         for t in frames:
             out: list[tuple] = []
-            for path, rows in t.groupby("model_path", sort=True):
-                for lo in range(0, len(rows), batch):
-                    part = list(rows.iloc[lo : lo + batch].itertuples())
-                    try:
-                        found = _detector(run_id, path, load)([decoded(r.image, r.height, r.width, r.channels) for r in part])
-                    except Exception as e:
-                        if not permissive:
-                            raise
-                        out += [(r.slide_id, r.patch_id, r.x, r.y, path, *[None] * 8, f"{type(e).__name__}: {e}") for r in part]
-                        continue
-                    for r, hits in zip(part, found):
-                        for class_id, name, (x1, y1, x2, y2), conf, mask in hits:
-                            ring = g.mask_ring(mask, r.x, r.y) if mask is not None else None
-                            out.append((r.slide_id, r.patch_id, r.x, r.y, path, class_id, name or f"class_{class_id}", x1 + r.x, y1 + r.y, x2 + r.x, y2 + r.y, conf, None if ring is None else points_of(ring), None))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in RAW.split(", ")])
+            for r in t.itertuples():
+                held = waiting.setdefault(r.model_path, [])
+                held.append(r)
+                if len(held) == batch:
+                    out += hits(r.model_path, waiting.pop(r.model_path))
+            yield pd.DataFrame(out, columns=names)
+        for path in sorted(waiting):
+            yield pd.DataFrame(hits(path, waiting[path]), columns=names)
 
     cols = ["slide_id", "patch_id", "x", "y", "height", "width", "channels", "image", "model_path"]
     return of_models(tiles, models).select(*cols).mapInPandas(run, RAW)

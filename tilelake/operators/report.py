@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import time
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from ..functions.boxes import area, cell, shifted
 from .filters import CELL, in_window, not_class
+from .graph import stored
 
 #: Colours of report classes.
 COLOURS = {"Crypts": "#FF6B6B", "Muscularis mucosae": "#4ECDC4", "Surface epithelium": "#45B7D1", "moderate_segmentation": "#96CEB4", "Mild": "#FFEAA7", "excl": "#DDA0DD"}
@@ -141,6 +144,46 @@ def stage_times(stages: DataFrame, tiles: int) -> DataFrame:
     return stages.withColumn("percent", 100 * F.col("seconds") / total).withColumn("tiles_per_s", F.lit(tiles) / total)
 
 
+class Measured:
+    """Stages of a run as they are computed: seconds and rows of each, and the tiles that came to the detectors.
+
+    A stage ends where its rows are stored; what Spark computes in one go is one stage.
+    """
+
+    def __init__(self):
+        self.stages: list[tuple[str, float, int]] = []
+        self.tiles = Observation("tiles")
+
+    def seen(self, tiles: DataFrame) -> DataFrame:
+        """The tiles, counted as they pass."""
+        return tiles.observe(self.tiles, F.count(F.lit(1)).alias("n"))
+
+    def stored(self, rows: DataFrame, stage: str) -> DataFrame:
+        counted, began = Observation(stage), time.monotonic()
+        out = stored(rows.observe(counted, F.count(F.lit(1)).alias("n")), stage)
+        self.stages.append((stage, time.monotonic() - began, counted.get["n"]))
+        return out
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(stage, seconds, rows, percent, tiles_per_s)."""
+        return stage_times(spark.createDataFrame(self.stages, "stage string, seconds double, rows bigint"), self.tiles.get["n"])
+
+
+def slide_details(detections: DataFrame, slides: DataFrame) -> DataFrame:
+    """The report of each slide as (slide_id, part, place, line): its file and size, totals, labels in their order, and every
+    detection in the order of det_id with its box and the points of its polygon."""
+    own = slides.select("slide_id", F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("place"), F.format_string("file: %s, %s x %s", F.coalesce("path", F.lit("-")), F.col("width").cast("string"), F.col("height").cast("string")).alias("line"))
+    by = detections.groupBy("slide_id", "class_name").agg(F.count("*").alias("n"), F.sum("conf").alias("c"))
+    total = by.groupBy("slide_id").agg(F.sum("n").alias("n"), (F.sum("c") / F.sum("n")).alias("m"))
+    total = slides.select("slide_id").join(total, "slide_id", "left").select("slide_id", F.lit(1).alias("part"), F.lit(0).cast("bigint").alias("place"), F.when(F.col("n").isNull(), F.lit("predictions: 0")).otherwise(F.format_string("predictions: %d, mean confidence %.3f", "n", "m")).alias("line"))
+    place = F.row_number().over(Window.partitionBy("slide_id").orderBy("class_name")).cast("bigint")
+    label = by.select("slide_id", F.lit(2).alias("part"), place.alias("place"), F.format_string("  %s: %d", "class_name", "n").alias("line"))
+    points = F.coalesce(F.size("polygon"), F.lit(0)) if "polygon" in detections.columns else F.lit(0)
+    one = F.format_string("%s (%.3f): (%.1f, %.1f) - (%.1f, %.1f)", "class_name", "conf", "x1", "y1", "x2", "y2")
+    each = detections.select("slide_id", F.lit(3).alias("part"), F.col("det_id").cast("bigint").alias("place"), F.when(points > 0, F.concat(one, F.lit(", "), points.cast("string"), F.lit(" points"))).otherwise(one).alias("line"))
+    return own.union(total).union(label).union(each)
+
+
 def vertex_step_counts(detections: DataFrame, n: int = 5) -> DataFrame:
     """The n most frequent differences between neighbouring vertices, with a flag for unit steps; a top-n report."""
     from ..functions.rings import vertex_steps

@@ -10,24 +10,27 @@ from ..operators.graph import stored
 from ..schemas import BOX
 
 
-def standard(tiles: DataFrame, models: DataFrame, load: inference.Detector, tissue: str = "spread", most_tiles: int | None = None) -> DataFrame:
-    """Tissue filter, detection by every model, size and cell filters, union by class."""
+def standard(tiles: DataFrame, models: DataFrame, load: inference.Detector, tissue: str = "spread", most_tiles: int | None = None, measured: report.Measured | None = None) -> DataFrame:
+    """Tissue filter, detection by every model, size and cell filters, union by class; measured gets the times of the stages."""
+    run = measured or report.Measured()
     kept = tiling.with_tissue(tiles, tissue)
     kept = tiling.numbered(kept.drop("patch_id")) if most_tiles is None else tiling.first_tiles(kept.drop("patch_id"), most_tiles)
-    raw = stored(inference.detected(kept, models, load), "detected")
-    found = inference.decided(raw, models)
-    return merge.united(filters.cells_beyond(found.select(*merge.COLUMNS)))
+    raw = run.stored(inference.detected(run.seen(kept), models, load), "inference")
+    found = run.stored(filters.cells_beyond(inference.decided(raw, models).select(*merge.COLUMNS)), "filter")
+    return run.stored(merge.united(found), "merge")
 
 
-def improved(tiles: DataFrame, models: DataFrame, load: inference.Detector, classes: tuple[str, ...] = ("lp",)) -> DataFrame:
-    """Saturation filter, fixed confidence and overlap of 0.7, area band, improved merging, adaptive simplification."""
+def improved(tiles: DataFrame, models: DataFrame, load: inference.Detector, classes: tuple[str, ...] = ("lp",), measured: report.Measured | None = None) -> DataFrame:
+    """Saturation filter, fixed confidence and overlap of 0.7, area band, improved merging, adaptive simplification; measured
+    gets the times of the stages."""
+    run = measured or report.Measured()
     kept = tiling.numbered(tiling.with_tissue(tiles, "saturation").drop("patch_id"))
-    raw = stored(inference.detected(kept, models, load), "detected")
-    found = inference.decided(raw, models, iou=0.7, conf=0.7, band=True)
-    out = merge.merged(found.select(*merge.COLUMNS), improved=True, classes=classes)
+    raw = run.stored(inference.detected(run.seen(kept), models, load), "inference")
+    found = run.stored(inference.decided(raw, models, iou=0.7, conf=0.7, band=True).select(*merge.COLUMNS), "filter")
+    out = run.stored(merge.merged(found, improved=True, classes=classes), "merge")
     simple = out.withColumn("_s", merge.adaptively_simplified("polygon"))
     metrics = F.when(F.coalesce(F.size("polygon"), F.lit(0)) > 3, F.struct(*[f"_s.{c}" for c in ("original_points", "simplified_points", "area_preserved", "perimeter_preserved", "complexity", "method", "tolerance_used", "iterations")]))
-    return simple.withColumn("simplification_metrics", metrics).withColumn("polygon", F.coalesce("_s.polygon", "polygon")).drop("_s")
+    return run.stored(simple.withColumn("simplification_metrics", metrics).withColumn("polygon", F.coalesce("_s.polygon", "polygon")).drop("_s"), "simplify")
 
 
 def region_workflow(thumbnails: DataFrame, slides: DataFrame, k: int = 6, least: int = 1000) -> DataFrame:

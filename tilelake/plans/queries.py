@@ -588,15 +588,16 @@ def mask_contours(s, d):
     return found.groupBy("slide_id").agg(F.round(F.sum("area"), 6).alias("area"))
 
 
-@query(f"with {DET}, l as (select class_name, count(*) as k from det group by 1), a as (select count(*) as n, count(distinct slide_id) as s from det) select 0 as part, cast(0 as bigint) as place, 'slides: ' || s || ', predictions: ' || n as line from a union all select 1, -k, printf('  %s: %d (%.1f%%)', class_name, k, 100.0*k/n) from l, a")
+@query(f"with {DET}, l as (select class_name, count(*) as k from det group by 1), a as (select count(*) as n, count(distinct slide_id) as s from det) select 0 as part, cast(0 as bigint) as place, 'slides: ' || s || ', predictions: ' || n as line from a union all select 1, -k, printf('  %s: %d (%.1f%%)', class_name, k, 100.0*k/n) from l, a union all select 2, slide_id, printf('slide %d: %d predictions, mean confidence %.3f, %s', slide_id, cast(sum(k) as bigint), sum(c)/sum(k), string_agg(class_name || '=' || k, ', ' order by class_name)) from (select slide_id, class_name, count(*) as k, sum(conf) as c from det group by all) group by slide_id")
 def text_report(s, d):
-    return report.summary_lines(det(s, d)).where("part < 2")
+    return report.summary_lines(det(s, d))
 
 
-@query("with m as (select * from (values ('lp', 512, 0.5, 2), ('mild', 512, 0.6, 1), ('bare', 1024, 0.7, 0)) t(model_path, window_size, min_conf, n)) select model_path, window_size, min_conf, array_to_string(list_transform(range(0, n), lambda i: model_path || i), ',') as class_names, n as num_classes from m")
+@query("with c as (select p_brand, p_size, min(p_type) as name from part group by 1, 2) select p_brand as model_path, 512 as window_size, 0.5 as min_conf, string_agg(name, ',' order by p_size) as class_names, count(*) as num_classes from c group by 1")
 def model_info(s, d):
-    models = s.range(1).select(F.inline(F.array(*[F.struct(F.lit(p).alias("model_path"), F.lit(w).alias("window_size"), F.lit(c).alias("min_conf")) for p, w, c in (("lp", 512, 0.5), ("mild", 512, 0.6), ("bare", 1024, 0.7))])))
-    classes = s.range(1).select(F.inline(F.array(*[F.struct(F.lit(p).alias("model_path"), F.lit(i).alias("class_id"), F.lit(f"{p}{i}").alias("class_name")) for p, i in (("lp", 1), ("lp", 0), ("mild", 0))])))
+    parts = table(s, d, "part")
+    models = parts.select(F.col("p_brand").alias("model_path"), F.lit(512).alias("window_size"), documents.least_confidence(F.col("p_brand")).alias("min_conf")).distinct()
+    classes = parts.groupBy(F.col("p_brand").alias("model_path"), F.col("p_size").alias("class_id")).agg(F.min("p_type").alias("class_name"))
     return report.model_info(models, classes).withColumn("class_names", F.array_join("class_names", ","))
 
 
@@ -644,9 +645,60 @@ def _hexagon():
     return F.filter(F.array(*every), lambda v, i: (i % 2 == 0) | (k % 3 == 2))
 
 
+#: Points of the ring that each detection gets for the simplifiers: from 5 to 400.
+POINTS = "5 + (det_id*37)%396"
+
+
 def _waves(rows: DataFrame) -> DataFrame:
-    """A wavy ring of 120 points around each box, for the simplifiers."""
+    """A ring of 5 to 400 points around each box for the simplifiers: smooth, wavy, or with a short tooth at every second point."""
     cx, cy = boxes.center()
-    turn = lambda i: i * (6.283185307179586 / 120)
-    ring = F.transform(F.sequence(F.lit(0), F.lit(119)), lambda i: F.struct((cx + (20 + F.sin(turn(i) * 12) * 0.4) * F.cos(turn(i))).alias("x"), (cy + (20 + F.sin(turn(i) * 12) * 0.4) * F.sin(turn(i))).alias("y")))
+    n, k = F.expr(f"cast({POINTS} as int)"), F.col("det_id") % 3
+    turn = lambda i: i * (6.283185307179586 / n)
+    size = lambda i: F.lit(20.0) + F.when(k == 1, F.sin(turn(i) * 12) * 0.4).when(k == 2, (i % 2) * 0.3).otherwise(0.0)
+    ring = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct((cx + size(i) * F.cos(turn(i))).alias("x"), (cy + size(i) * F.sin(turn(i))).alias("y")))
     return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).withColumn("polygon", ring)  # the kernels after it are slow and the rows few
+
+
+@query(f"with {DET} select det_id, {POINTS} as points, {POINTS} + 1 <= 40 as as_it_was, true as few, true as like, true as valid from det")
+def smart_simplify_kept(s, d):
+    rows = _waves(det(s, d)).withColumn("s", merge.smart_simplified("polygon", 40))
+    n, m = F.size("polygon"), F.size("s")
+    share = rings.area(F.col("s")) / rings.area(F.col("polygon"))
+    return rows.select("det_id", n.cast("bigint").alias("points"), (F.col("s") == F.col("polygon")).alias("as_it_was"), (m + 1 <= 40).alias("few"), share.between(0.9, 1.1).alias("like"), merge.is_valid("s").alias("valid"))
+
+
+@query(f"""with {DET}, k as (select det_id, {POINTS} + 1 as n from det), t as (select *, case when n < 20 then 'simple' when n > 200 then 'complex' else 'medium' end as complexity, case when n < 20 then 15 when n > 200 then 80 else 60 end as target from k), l as (select unnest([false, true]) as legacy)
+ select det_id, legacy, n as original_points, complexity, n <= target as untouched, true as few, true as kept, true as valid from t, l""")
+def adaptive_simplify_kept(s, d):
+    rows = _waves(det(s, d))
+    found = rows.select("det_id", F.lit(False).alias("legacy"), merge.adaptively_simplified("polygon").alias("s")).union(rows.select("det_id", F.lit(True), merge.adaptively_simplified("polygon", legacy=True)))
+    kind, n = F.col("s.complexity"), F.col("s.simplified_points")
+    target = F.when(kind == "simple", 15).when(kind == "complex", 80).otherwise(60)
+    least = F.when(kind == "simple", 0.95).when(kind == "complex", 0.98).otherwise(0.97)
+    kept = (F.col("s.method") != "douglas_peucker") | (F.col("s.area_preserved") >= least)
+    return found.select("det_id", "legacy", F.col("s.original_points").cast("bigint").alias("original_points"), kind.alias("complexity"), (F.col("s.method") == "no_simplification_needed").alias("untouched"), (n <= 1.5 * target).alias("few"), kept.alias("kept"), merge.is_valid("s.polygon").alias("valid"))
+
+
+NEXT = "+".join(f"greatest(0, least({a[2]},{b[2]})-greatest({a[0]},{b[0]}))*greatest(0, least({a[3]},{b[3]})-greatest({a[1]},{b[1]}))" for a in _arms("a.") for b in _arms("b."))
+
+
+@query(f"with {TIGHT} select a.det_id, round({NEXT}, 6) as shared from det a join det b on b.det_id = a.det_id+1 and a.slide_id = b.slide_id")
+def ring_shared_area(s, d):
+    rows = det(s, d, True).withColumn("polygon", _angle())
+    a, b = rows.select("det_id", "slide_id", F.col("polygon").alias("p")), rows.select((F.col("det_id") - 1).alias("det_id"), "slide_id", F.col("polygon").alias("q"))
+    return a.join(b, ["det_id", "slide_id"]).select("det_id", F.round(merge.shared_area("p", "q"), 6).alias("shared"))
+
+
+@query(f"with {DET} select det_id, x1+slide_id as x1, y1+2-det_id%5 as y1, x2+slide_id+det_id%7 as x2, y2+2 as y2 from det")
+def ring_translate(s, d):
+    moved = rings.translated(F.col("polygon"), F.col("slide_id"), F.lit(2))
+    rows = det(s, d).withColumn("polygon", _hexagon()).withColumn("polygon", moved)
+    return rows.select("det_id", *rings.bounds(F.col("polygon")))
+
+
+@query(f"""with {DET}, {SLIDES}, k as (select slide_id, class_name, count(*) as n, sum(conf) as c from det group by all), t as (select slide_id, sum(n) as n, sum(c)/sum(n) as m from k group by 1)
+ select slide_id, 0 as part, cast(0 as bigint) as place, 'file: /s/' || slide_id || '.tiff, ' || width || ' x ' || height as line from slides union all select slide_id, 1, 0, case when n is null then 'predictions: 0' else printf('predictions: %d, mean confidence %.3f', cast(n as bigint), m) end from slides left join t using (slide_id)
+ union all select slide_id, 2, row_number() over (partition by slide_id order by class_name), printf('  %s: %d', class_name, n) from k union all select slide_id, 3, det_id, printf('%s (%.3f): (%.1f, %.1f) - (%.1f, %.1f), 4 points', class_name, cast(round(cast(conf as decimal(38,17)), 3) as double), x1, y1, x2, y2) from det""")
+def slide_details(s, d):
+    files = slides(s, d).withColumn("path", F.concat(F.lit("/s/"), F.col("slide_id").cast("string"), F.lit(".tiff")))
+    return report.slide_details(det(s, d).withColumn("polygon", rectangle()), files)
