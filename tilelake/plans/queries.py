@@ -10,10 +10,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import boxes, rings
-from ..operators import filters, merge, pixels as px, regions, report, spatial, suppress, tiling
+from ..operators import drawing, filters, merge, pixels as px, regions, report, spatial, suppress, tiling
 from ..operators.graph import shared_dir
 from ..schemas import rectangle
-from ..sources import documents, tiff
+from ..sources import documents, files, tiff
 from ..sources.views import detections, table
 from . import pipeline
 
@@ -698,7 +698,23 @@ def ring_translate(s, d):
 
 @query(f"""with {DET}, {SLIDES}, k as (select slide_id, class_name, count(*) as n, sum(conf) as c from det group by all), t as (select slide_id, sum(n) as n, sum(c)/sum(n) as m from k group by 1)
  select slide_id, 0 as part, cast(0 as bigint) as place, 'file: /s/' || slide_id || '.tiff, ' || width || ' x ' || height as line from slides union all select slide_id, 1, 0, case when n is null then 'predictions: 0' else printf('predictions: %d, mean confidence %.3f', cast(n as bigint), m) end from slides left join t using (slide_id)
- union all select slide_id, 2, row_number() over (partition by slide_id order by class_name), printf('  %s: %d', class_name, n) from k union all select slide_id, 3, det_id, printf('%s (%.3f): (%.1f, %.1f) - (%.1f, %.1f), 4 points', class_name, cast(round(cast(conf as decimal(38,17)), 3) as double), x1, y1, x2, y2) from det""")
+ union all select slide_id, 2, row_number() over (partition by slide_id order by class_name), printf('  %s: %d', class_name, n) from k union all select slide_id, 3, det_id, printf('%s (%.3f): (%.1f, %.1f) - (%.1f, %.1f), 4 points', class_name, cast(round(cast(cast(conf as varchar) as decimal(38,18)), 3) as double), x1, y1, x2, y2) from det""")
 def slide_details(s, d):
     files = slides(s, d).withColumn("path", F.concat(F.lit("/s/"), F.col("slide_id").cast("string"), F.lit(".tiff")))
     return report.slide_details(det(s, d).withColumn("polygon", rectangle()), files)
+
+
+@query(f"with {DRAWN} select slide || '_' || (x//16) || '_' || (y//16) || '.png' as name, sha256(unhex(string_agg(printf('%02X%02X%02X', r, g, b), '' order by l0.y, l0.x))) as pixels from l0 group by slide, x//16, y//16")
+def tile_files(s, d):
+    folder = f"{shared_dir(s)}/tiles-{uuid.uuid4().hex}"
+    files.write(_drawn_tiles(s, d).withColumn("name", files.tile_file("slide_id", F.floor(F.col("x") / 16), F.floor(F.col("y") / 16))), folder)
+    return files.read(s, folder).select("name", F.sha2("image", 256).alias("pixels"))
+
+
+@query(f"""with {DET}, w as (select det_id, slide_id, {REPORT} as class_name, cast(x1 % 480 as bigint) as x1, cast(y1 % 480 as bigint) as y1, cast(floor((x2-x1)/6) as bigint) as wide, cast(floor((y2-y1)/6) as bigint) as high from det),
+ px as (select slide_id, det_id, class_name, x, y from w, lateral (select unnest(range(x1, x1+wide)) as x), lateral (select unnest(range(y1, y1+high)) as y)),
+ t as (select slide_id, x, y, arg_max(class_name, det_id) as class_name from px group by 1, 2, 3) select slide_id, {COLOUR} as colour, count(*) as n from t group by 1, 2""")
+def drawn_pixels(s, d):
+    x, y = F.col("x1") % 480, F.col("y1") % 480
+    rows = report_classes(det(s, d)).withColumns({"x1": x, "y1": y, "x2": x + F.floor((F.col("x2") - F.col("x1")) / 6), "y2": y + F.floor((F.col("y2") - F.col("y1")) / 6)})
+    return drawing.pixel_counts(drawing.layers(report.coloured(rows).withColumn("polygon", rectangle()), 128, fill=True), 128)
