@@ -81,3 +81,31 @@ def test_hashes_do_not_depend_on_place():
     h, at = d.words(pa.array(["foo Bar", None, "bar", "", "x foo", "foobar"]))
     assert at.tolist() == [0, 2, 2, 3, 3, 5, 6]
     assert h[0] == h[4] and h[1] == h[2] and len(set(h.tolist())) == 4
+
+
+def test_one_word_repeated_without_end():
+    import time
+    import tracemalloc
+
+    block = d.Benchmark(["x", "y"], ["lorem " * 100, "other words of an item that is long enough to be looked for here"])
+    h, at = d.words(pa.array(["lorem " * 180_000, "lorem " * 12 + "end"], pa.string()))
+    tracemalloc.start()
+    began = time.time()
+    doc, item, first, end = block.hits(h, at)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6 and time.time() - began < 60
+    assert set(item.tolist()) == {0} and d.covered(180_000, first[doc == 0], end[doc == 0]) == 180_000
+    assert d.covered(13, first[doc == 1] - at[1], end[doc == 1] - at[1]) == 12
+
+
+def test_pairs_in_small_parts(monkeypatch):
+    monkeypatch.setattr(d, "PAIRS", 7)
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(60)))) for i in range(30)]
+    items = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(1, 30)))) for i in range(12)]
+    block = d.Benchmark([i for i, _ in items], [t for _, t in items])
+    h, at = d.words(pa.array([t for _, t in docs], pa.string()))
+    small = set(zip(*(x.tolist() for x in block.hits(h, at))))
+    monkeypatch.setattr(d, "PAIRS", 1 << 18)
+    assert small == set(zip(*(x.tolist() for x in block.hits(h, at)))) and small

@@ -88,3 +88,11 @@ def test_fingerprints_against_sql(spark):
     want = {r.doc_id: r.f for r in rows.selectExpr("doc_id", f"lower(lpad(hex({' | '.join(bit)}), 16, '0')) as f").collect()}
     got = {r.doc_id: r.fingerprint for r in simhash.near_duplicates(df).collect()}
     assert got == want
+
+
+def test_survivors_whatever_the_columns_are_called(spark):
+    names = ["_label", "_id", "_hash", "label", "id", "text.x", "doc_id", "text"]
+    rows = [(*[i] * 6, i, t) for i, t in [(3, "a b"), (1, "a b"), (2, "c"), (None, "c"), (None, "d")]]
+    docs = spark.createDataFrame(rows, "a int, b int, c int, d int, e int, f int, doc_id long, text string").toDF(*names)
+    kept = simhash.deduplicated(docs)
+    assert kept.columns == names and sorted((r[0] or -1, r["doc_id"] or -1, r["text"]) for r in kept.collect()) == [(-1, -1, "d"), (1, 1, "a b"), (2, 2, "c")]

@@ -7,7 +7,12 @@ looked up whole, under their own length.
 
 The benchmark is the bounded side: its size is measured, and it is broadcast in blocks of at most ``BLOCK_MB`` of
 text. One block, the usual case, takes one pass over the documents without a shuffle; a larger benchmark takes a pass
-a block, whose hits are merged by document. Nothing else is capped: fingerprints and hits of all documents count.
+a block, stored before the next block is broadcast, and its hits are merged by document. Nothing else is capped:
+fingerprints and hits of all documents count.
+
+A text is worked through whole, by the megabyte or by itself if longer. Equal hashes within the words that choose a
+fingerprint (ties) are all kept. A word that a text repeats without end meets a repeated one of an item on as many
+diagonals as they have words together; each diagonal is followed once, and pairs are held ``PAIRS`` at a time.
 
 Defined cases: null or word-less texts have no words and hit nothing; null item ids hit words but are not listed;
 repeated rows are judged row by row; an empty benchmark leaves all documents clean; other columns are ignored.
@@ -21,9 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import gram_hashes, lower_table, slices, split_words, string_bytes, text_mb, word_hashes
+from .common import dropped, gram_hashes, lower_table, slices, split_words, stored, string_bytes, text_mb, word_hashes
 
 K, WINDOW, BLOCK_MB = 5, 10, 32
+#: Pairs of equal fingerprints that are held at a time.
+PAIRS = 1 << 18
 IS_WORD = np.zeros(256, bool)
 for _a, _z in ((48, 58), (65, 91), (97, 123), (128, 256)):
     IS_WORD[_a:_z] = True
@@ -96,12 +103,9 @@ class Benchmark:
     def hits(self, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(document, item, first word, end) of every run of equal words that holds a window, places in h."""
         found = []
-        p, q = self._met(self.seeds, *winnowed(h, at, self.k, self.window)[::-1])
-        if len(p):
-            doc, item = np.searchsorted(at, p, "right") - 1, np.searchsorted(self.at, q, "right") - 1
-            keys = np.unique(np.stack([doc, item, p - q]), axis=1)
-            for part in np.array_split(keys, max(1, keys.shape[1] // 20_000), axis=1):
-                found.append(self._extended(h, at, *part))
+        keys = self._diagonals(h, at)
+        for part in np.array_split(keys, max(1, keys.shape[1] // 20_000), axis=1) if keys.shape[1] else ():
+            found.append(self._extended(h, at, *part))
         for size, table in self.short.items():
             g = gram_hashes(h, size)
             p, q = self._met(table, g, np.arange(len(g)))
@@ -112,6 +116,31 @@ class Benchmark:
             found.append((doc[same], item[same], p[same], p[same] + size))
         return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 4
 
+    def _diagonals(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Distinct (document, item, diagonal) of equal fingerprints, rows of an array. One that occurs often on both sides
+        meets in very many pairs on few diagonals, so pairs are made ``PAIRS`` at a time."""
+        places, g = winnowed(h, at, self.k, self.window)
+        keys, first, own = self.seeds
+        if not len(keys) or not len(g):
+            return np.zeros((3, 0), np.int64)
+        i = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
+        hit = keys[i] == g
+        i, places = i[hit], places[hit]
+        n = first[i + 1] - first[i]
+        ends = np.cumsum(n)
+        items, span = len(self.at), len(h) + len(self.h)
+        codes, lo = [np.zeros(0, np.int64)], 0
+        while lo < len(i):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PAIRS, "right")))
+            m = n[lo:hi]
+            p = np.repeat(places[lo:hi], m)
+            q = own[np.arange(len(p)) + np.repeat(first[i[lo:hi]] - (np.cumsum(m) - m), m)]
+            doc, item = np.searchsorted(at, p, "right") - 1, np.searchsorted(self.at, q, "right") - 1
+            codes.append(np.unique((doc * items + item) * span + (p - q + len(self.h))))
+            lo = hi
+        codes = np.unique(np.concatenate(codes))
+        return np.stack([codes // span // items, codes // span % items, codes % span - len(self.h)])
+
     def _extended(self, h, at, doc, item, diagonal):
         """Runs of window or more equal words on diagonals; place in the documents = place in the items + diagonal."""
         lo = np.maximum(self.at[item], at[doc] - diagonal)
@@ -180,11 +209,14 @@ def find(docs: DataFrame, block, id_col: str = "doc_id", text_col: str = "text")
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_mb: float = BLOCK_MB) -> DataFrame:
     """(id, n_words, first, end, items): each document's runs of words (from first to before end) and items hit."""
-    parts, n = [], 1
+    parts = []
     for n, block in blocks(benchmark, item_col, item_text, block_mb):
-        parts.append(find(docs, docs.sparkSession.sparkContext.broadcast(block), id_col, text_col))
-    if n == 1:
-        return parts[0].drop("text_hash")
+        held = docs.sparkSession.sparkContext.broadcast(block)
+        part = find(docs, held, id_col, text_col)
+        if n == 1:
+            return part.drop("text_hash")
+        parts.append(stored(part, "hits"))  # one block at a time is in the executors' memory
+        held.unpersist()
     found = parts[0].select("id", "text_hash", "n_words")
     every = parts[0]
     for p in parts[1:]:
@@ -226,7 +258,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
 
         return run
 
-    schema = docs.schema
-    for _, block in blocks(benchmark, item_col, item_text, block_mb):
-        docs = docs.mapInArrow(against(docs.sparkSession.sparkContext.broadcast(block)), schema)
+    schema, before = docs.schema, None
+    for n, block in blocks(benchmark, item_col, item_text, block_mb):
+        held = docs.sparkSession.sparkContext.broadcast(block)
+        docs = docs.mapInArrow(against(held), schema)
+        if n > 1:  # one block at a time is in the executors' memory
+            docs = stored(docs, "clean")
+            held.unpersist()
+            if before is not None:
+                dropped(before)
+            before = docs
     return docs

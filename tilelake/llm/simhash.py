@@ -261,5 +261,7 @@ def survivors(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_c
     first = groups.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("r"))
     first = first.select(F.col("label").alias("_label"), F.col("r.id").alias("_id"), F.col("r.text_hash").alias("_hash"))
     repeated = groups.groupBy("id", "text_hash").count().where("count > 1").limit(1).count()
-    kept = docs.join(first, docs[id_col].eqNullSafe(F.col("_id")) & (text_hash(docs[text_col]) == F.col("_hash")))
-    return (kept.dropDuplicates(["_label"]) if repeated else kept).select(*[kept[f"`{c}`"] for c in docs.columns])
+    names = [f"c{i}" for i in range(len(docs.columns))]  # the columns of docs may have any names
+    own, key, text = docs.toDF(*names), names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+    kept = own.join(first, F.col(key).eqNullSafe(F.col("_id")) & (text_hash(F.col(text)) == F.col("_hash")))
+    return (kept.dropDuplicates(["_label"]) if repeated else kept).select(*names).toDF(*docs.columns)
