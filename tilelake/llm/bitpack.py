@@ -6,7 +6,9 @@ block offsets in bytes from the data's begin and its size (u64); the data. Each
 bit first, into ``width`` bits each, and is filled to a whole byte.
 
 Defined cases: a null or empty text is its end id alone; doc ids ascend over shards and in them, null first, and
-repeated ids stay as often as they come; an empty table writes no shard; other columns are ignored.
+repeated ids stay as often as they come, those of one id by a hash of their text; an empty table writes no shard; other
+columns are ignored. Ids must be integers or strings of digits, others raise. A shard is written from one task's memory,
+so a very long text is one large shard of its own.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ shards of about ``SHARD`` pieces, each packed by one task from the longest down,
 input; a shard leaves a few open sequences, out of tens of thousands.
 
 Defined cases: a null or empty text is one piece with the end id alone; repeated rows are packed as often as they
-come; an empty table gives no rows; other columns are ignored. A null doc_id is kept as null.
+come; an empty table gives no rows; other columns are ignored. A null doc_id is kept as null. A very long text is
+encoded whole, by parts that end at white space, and only its pieces' ids are kept. Pieces of equal length are placed in
+the order of their shard; which of them lies where is not defined, how many sequences there are does not depend on it.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ revisits are joined to the response that they refer to.
 Defined cases: a null html is an empty payload; a null url has no WARC-Target-URI; line ends in a url are
 percent-encoded; a null id refers to nothing and never is the one referred to; rows repeated with one id and payload
 are captures of their own, with records of their own, all of the same type; a very long payload is one record of a file
-of its own; an empty table writes no archives; other columns are ignored.
+of its own; an empty table writes no archives; other columns are ignored. Ids of any type are written; the query
+``op4_warc`` reads them back as integers, so there other strings raise.
 """
 
 from __future__ import annotations
