@@ -225,7 +225,8 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, text_hash, paragraph, family, score, confirmed, template): the families that windows of a paragraph show."""
     weights, families, biases, temperature = model or trained(docs, text_col, sample)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode(F.split(F.col(text_col).cast("string"), BLANK)).alias("paragraph", "part"))
-    grams = rows.select("id", "text_hash", "paragraph", pairs(words(F.col("part")), lambda a, b: F.xxhash64(a, b)).alias("grams"))
+    grams = rows.select("id", "text_hash", "paragraph", words(F.col("part")).alias("words"))  # a column, so that it is made once
+    grams = grams.select("id", "text_hash", "paragraph", pairs(F.col("words"), lambda a, b: F.xxhash64(a, b)).alias("grams"))
     grams = grams.select("id", "text_hash", "paragraph", F.size("grams").alias("n"), F.posexplode("grams").alias("place", "gram"))
     met = grams.join(F.broadcast(weights), "gram")
     # a window of w words has w - 1 bigrams and begins every w / 2 words; the last ones of a paragraph are shorter
