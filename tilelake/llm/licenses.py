@@ -226,9 +226,13 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     weights, families, biases, temperature = model or trained(docs, text_col, sample)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode(F.split(F.col(text_col).cast("string"), BLANK)).alias("paragraph", "part"))
     grams = rows.select("id", "text_hash", "paragraph", words(F.col("part")).alias("words"))  # a column, so that it is made once
-    grams = grams.select("id", "text_hash", "paragraph", pairs(F.col("words"), lambda a, b: F.xxhash64(a, b)).alias("grams"))
-    grams = grams.select("id", "text_hash", "paragraph", F.size("grams").alias("n"), F.posexplode("grams").alias("place", "gram"))
-    met = grams.join(F.broadcast(weights), "gram")
+    grams = grams.select("id", "text_hash", "paragraph", "words", F.greatest(F.size("words") - 1, F.lit(0)).alias("n"))
+    # what has no weight goes within the array, so that no row is made of it; the array stands inside of explode, as a
+    # column of its own would be made once more for the filter on empty arrays that Spark infers
+    known = [r.gram for r in weights.select("gram").distinct().collect()]  # bounded by the notices
+    hits = F.transform(pairs(F.col("words"), lambda a, b: F.xxhash64(a, b)), lambda g, i: F.when(g.isin(known), F.struct(i.alias("place"), g.alias("gram"))))
+    grams = grams.select("id", "text_hash", "paragraph", "n", F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("hit"))
+    met = grams.select("id", "text_hash", "paragraph", "n", "hit.place", "hit.gram").join(F.broadcast(weights), "gram")
     # a window of w words has w - 1 bigrams and begins every w / 2 words; the last ones of a paragraph are shorter
     inside = [F.struct(F.lit(w).alias("wide"), (F.floor(F.col("place") / (w // 2)) - k).cast("int").alias("nth")) for w in WINDOWS for k in (0, 1)]
     met = met.withColumn("at", F.explode(F.array(*inside))).where("at.nth >= 0 and place < at.nth * (at.wide div 2) + at.wide - 1")
