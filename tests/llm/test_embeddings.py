@@ -58,3 +58,14 @@ def test_bounds_never_lose_a_pair():
     i, j = e.linked(x @ turn, x @ turn, x, x, 0.98)
     c = (x @ x.T) >= 0.98
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*(v.tolist() for v in np.nonzero(c)))) and 240 < len(i) < 57600
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.9, 0.98, 1.0])
+def test_tiles_meet_once_and_as_all_pairs_say(spark, threshold):
+    rng = np.random.default_rng(5)
+    at = np.round(rng.uniform(-1, 1, (60, e.BOX)), 2)
+    wide = rng.choice([0, 0.01, 0.1, 0.6], (60, e.BOX))
+    rows = [(k << 32, k % 2, 20, at[k].tolist(), np.minimum(1, at[k] + wide[k]).tolist()) for k in range(60)]
+    got = sorted(tuple(r) for r in e.meeting(spark.createDataFrame(rows, "tile long, label int, dim int, lo array<double>, hi array<double>"), threshold).collect())
+    gap = lambda a, b: sum(max(0, p - s, r - q) ** 2 for p, q, r, s in zip(a[3], a[4], b[3], b[4]))
+    assert got == sorted((a[0], b[0]) for a in rows for b in rows if a[0] <= b[0] and a[1] == b[1] and gap(a, b) <= 2 - 2 * threshold + 1e-6)

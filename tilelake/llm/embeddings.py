@@ -2,11 +2,12 @@
 
 Equal vectors of a label are one class. Classes are turned onto the principal axes of all of them, scaled to unit
 length, sorted along the leading axes and cut into tiles of at most ``TILE`` vectors. Two tiles are compared only if
-the boxes around their leading coordinates come within the reach that the threshold allows. In a pair of tiles the
+they meet in a cell of the leading axes and the boxes around their leading coordinates come within the reach that the
+threshold allows. In a pair of tiles the
 products of leading axes are summed first; what the other axes can add is bounded by the product of the two suffix
 norms, and a pair of vectors is dropped once its cosine cannot reach the threshold. What remains is decided in double
-precision on the vectors as given. What travels to a pair of tiles are the vectors as given, in their own precision,
-and the pair turns them again. A tile pair sends on link counts and a spanning forest, never its pairs.
+precision on the vectors as given. What travels are the vectors as given, in their own precision, a tile once to each run of up
+to eight neighbouring partners, where they are turned again. A tile pair sends on link counts and a spanning forest, never its pairs.
 
 Defined cases: rows with a null label or vector, a vector that is empty, zero, or holds a null or non-finite component
 link with nothing and are kept; only vectors of equal length are compared; a repeated row is one more vector, linked
@@ -23,6 +24,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import components, stored
 
 THRESHOLD, TILE, BOX, CLOSE = 0.98, 512, 8, 1e-9
+#: Tiles meet in cells of so many leading axes, of this width at least; a run is up to 2 ** RUN neighbouring tiles.
+AXES, CELL, RUN = 3, 0.25, 3
 
 
 def matrix(col: pa.Array, dim: int) -> np.ndarray:
@@ -165,24 +168,58 @@ def linked(x: np.ndarray, y: np.ndarray, gx: np.ndarray, gy: np.ndarray, thresho
     return i[on], j[on]
 
 
-def compared(pair: pa.Table, axes: dict[int, np.ndarray], threshold: float, single: bool = False) -> pa.Table:
-    """(cid, links, root) for the classes of one or two tiles that have a link."""
-    sides = []
-    for r in pair.to_pylist():
+def compared(group: pa.Table, axes: dict[int, np.ndarray], threshold: float, single: bool = False) -> pa.Table:
+    """(cid, links, root) for the classes that have a link between the group's tile p and another tile of the group, or
+    within p where the group says so; root by pair of tiles."""
+
+    def side(r):
         given = np.frombuffer(r["given"], np.float32 if single else np.float64).reshape(-1, r["dim"]).astype(np.float64)
-        sides.append((np.frombuffer(r["classes"], np.int64), np.frombuffer(r["sizes"], np.int64), unit(given) @ axes[r["dim"]], given))
-    x, *rest = sides
-    y = rest[0] if rest else x
-    i, j = linked(x[2], y[2], x[3], y[3], threshold)
-    if rest:
-        ids, j_at = np.concatenate([x[0], y[0]]), j + len(x[0])
-    else:
-        i, j = i[i < j], j[i < j]
-        ids, j_at = x[0], j
-    links = np.bincount(i, y[1][j], len(ids)) + np.bincount(j_at, x[1][i], len(ids))
-    root = forest(i, j_at, len(ids))
-    on = np.flatnonzero(links)
-    return pa.table({"cid": ids[on], "links": links[on].astype(np.int64), "root": ids[root[on]]})
+        return np.frombuffer(r["classes"], np.int64), np.frombuffer(r["sizes"], np.int64), unit(given) @ axes[r["dim"]], given
+
+    def pair(x, y):
+        i, j = linked(x[2], y[2], x[3], y[3], threshold)
+        if y is x:
+            i, j = i[i < j], j[i < j]
+            ids, j_at = x[0], j
+        else:
+            ids, j_at = np.concatenate([x[0], y[0]]), j + len(x[0])
+        links = np.bincount(i, y[1][j], len(ids)) + np.bincount(j_at, x[1][i], len(ids))
+        root = forest(i, j_at, len(ids))
+        on = np.flatnonzero(links)
+        return pa.table({"cid": ids[on], "links": links[on].astype(np.int64), "root": ids[root[on]]})
+
+    own = group.column("p")[0].as_py()
+    place = group.column("tile").to_pylist().index(own)
+    x = side(group.slice(place, 1).to_pylist()[0])
+    made = [pair(x, x)] if group.column("itself")[0].as_py() else []
+    for k in range(group.num_rows):  # one partner's vectors in memory at a time
+        if k != place:
+            made.append(pair(x, side(group.slice(k, 1).to_pylist()[0])))
+    return pa.concat_tables(made)
+
+
+def meeting(boxes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(p, q): tiles of a label, p = q or p < q, whose boxes of leading coordinates come within the reach of threshold.
+
+    They meet in cells of the first ``AXES`` coordinates, p in all that its box with that reach touches, q in all that
+    its box touches, and count in the first cell they share. Coordinates lie in -1 to 1, so a tile is in at most
+    (2 / ``CELL`` + 2) cells an axis, and a small tile in one or a few."""
+    square = 2 - 2 * threshold + 1e-6
+    reach = float(np.sqrt(square))
+    cell = max(CELL, reach)
+
+    def celled(by: float) -> DataFrame:
+        out = boxes
+        for k in range(AXES):
+            first, last = F.floor((F.col("lo")[k] - by) / cell), F.floor((F.col("hi")[k] + by) / cell)
+            out = out.withColumn(f"f{k}", first).withColumn(f"c{k}", F.explode(F.sequence(first, last)))
+        return out
+
+    same = [f"a.{c} = b.{c}" for c in ("label", "dim", *(f"c{k}" for k in range(AXES)))]
+    once = [f"a.c{k} = greatest(a.f{k}, b.f{k})" for k in range(AXES)]
+    gap = " + ".join(f"pow(greatest(0D, a.lo[{k}] - b.hi[{k}], b.lo[{k}] - a.hi[{k}]), 2)" for k in range(BOX))
+    near = " and ".join([*same, *once, "a.tile <= b.tile", f"{gap} <= {square}"])
+    return celled(reach).alias("a").join(celled(0.0).alias("b"), F.expr(near)).select(F.col("a.tile").alias("p"), F.col("b.tile").alias("q"))
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
@@ -197,14 +234,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     shared = vectors.sparkSession.sparkContext.broadcast(axes_of(classes))
     single = "array<float>" == vectors.schema[vector_col].dataType.simpleString()
     cut = tiles(classes.select("cid", "label", "dim", "vector", "n"), shared, tile, threshold, single)
-    reach = 2 - 2 * threshold + 1e-6
-    box = cut.select("tile", "label", "dim", "lo", "hi")
-    a, b = box.alias("a"), box.alias("b")
-    gap = " + ".join(f"pow(greatest(0D, a.lo[{k}] - b.hi[{k}], b.lo[{k}] - a.hi[{k}]), 2)" for k in range(BOX))
-    pairs = a.join(b, F.expr(f"a.label = b.label and a.dim = b.dim and a.tile <= b.tile and {gap} <= {reach}")).select(F.col("a.tile").alias("p"), F.col("b.tile").alias("q"))
-    sides = pairs.select("p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("tile"))
+    pairs = meeting(cut.select("tile", "label", "dim", "lo", "hi"), threshold)
+    # a tile goes once to each run of partners that are neighbours in the order of tiles, not once to each
+    runs = pairs.groupBy("p", F.shiftright("q", RUN).alias("run")).agg(F.collect_set("q").alias("qs"))
+    sides = runs.select("p", "run", F.array_contains("qs", F.col("p")).alias("itself"), F.explode(F.array_union(F.array("p"), "qs")).alias("tile"))
     found = sides.join(cut.select("tile", "dim", "classes", "sizes", "given"), "tile")
-    found = stored(found.groupBy("p", "q").applyInArrow(lambda t: compared(t, shared.value, threshold, single), "cid long, links long, root long"), "links")
+    found = stored(found.groupBy("p", "run").applyInArrow(lambda t: compared(t, shared.value, threshold, single), "cid long, links long, root long"), "links")
     label = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     out = classes.join(links, "cid", "left").join(label.withColumnRenamed("node", "cid").withColumnRenamed("label", "root"), "cid", "left")
