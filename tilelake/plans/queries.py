@@ -387,6 +387,18 @@ def polygon_union(s, d):
     return found.select(*BOXES.split(", "), F.round("conf", 6).alias("conf"), F.round("area", 6).alias("area"))
 
 
+#: Least area of a piece in ``large_unions``.
+LEAST_PIECE = 8000
+
+
+@query(f"""with t as ({ORACLE_SQL["polygon_union"]}), {DET}, n as (select slide_id, class_name, count(*) as n from det group by all), g as (select slide_id, class_name, max(area) as most from t group by all)
+ select t.* from t join n using (slide_id, class_name) where n = 1 or area >= {LEAST_PIECE}
+ union all select {BOXES}, round(conf,6), round((x2-x1)*(y2-y1),6) from det join n using (slide_id, class_name) join g using (slide_id, class_name) where n > 1 and most < {LEAST_PIECE}""")
+def large_unions(s, d):
+    found = merge.united(det(s, d).withColumn("polygon", rectangle()), LEAST_PIECE)
+    return found.select(*BOXES.split(", "), F.round("conf", 6).alias("conf"), F.round("area", 6).alias("area"))
+
+
 HELD = "(greatest(0, least(k.x2,x[1].x2)-greatest(k.x1,x[1].x1))*greatest(0, least(k.y2,x[1].y2)-greatest(k.y1,x[1].y1)))/((x[1].x2-x[1].x1)*(x[1].y2-x[1].y1))"
 
 
@@ -413,6 +425,30 @@ def nested_rings(s, d):
     return merge.without_nested(det(s, d, True).withColumn("polygon", _angle()), ("lp", "mild"), 0.73).select(*BOXES.split(", "))
 
 
+SHARED = "+".join(f"greatest(0, least({a[2]},{b[2]})-greatest({a[0]},{b[0]}))*greatest(0, least({a[3]},{b[3]})-greatest({a[1]},{b[1]}))" for a in _arms("a.") for b in _arms("b."))
+
+
+@query(f"""with {TIGHT}, p as (select a.slide_id, a.class_name, a.det_id as a, b.det_id as b, {SHARED} as area, 0.75*least((a.x2-a.x1)*(a.y2-a.y1), (b.x2-b.x1)*(b.y2-b.y1)) as own from det a join det b on a.slide_id = b.slide_id and a.class_name = b.class_name and a.det_id < b.det_id)
+ select slide_id, class_name, a, b, round(area,6) as area, round(area/own,6) as share from p where area > 0""")
+def shared_areas(s, d):
+    # rings are laid into the boxes after the join; pairs are few bytes and much work, so their tasks are not drawn together
+    near = spatial.pairs(det(s, d, True), ["slide_id", "class_name"]).repartition(int(s.conf.get("spark.sql.shuffle.partitions")), "a_det_id", "b_det_id")
+    near = near.withColumns({"ra": _angle("a_"), "rb": _angle("b_")})
+    near = near.withColumns({"area": merge.shared_area("ra", "rb"), "own": F.least(rings.area(F.col("ra")), rings.area(F.col("rb")))}).where("area > 0")
+    return near.select(F.col("a_slide_id").alias("slide_id"), F.col("a_class_name").alias("class_name"), F.col("a_det_id").alias("a"), F.col("b_det_id").alias("b"), F.round("area", 6).alias("area"), F.round(F.col("area") / F.col("own"), 6).alias("share"))
+
+
+@query(f"""with {DET}, r as (select det_id, x1%512 as u1, y1%512 as v1, x1%512+x2-x1 as u2, y1%512+y2-y1 as v2, x1-x1%512 as dx, y1-y1%512 as dy from det),
+ p as (select det_id, unnest([[0,u1,v1],[1,u2,v1],[2,u2,(v1+v2)/2],[3,(u1+u2)/2,(v1+v2)/2],[4,(u1+u2)/2,v2],[5,u1,v2]]) as q, dx, dy from r)
+ select det_id, cast(q[1] as int) as place, q[2]+dx as x, q[3]+dy as y from p""")
+def rings_to_slide(s, d):
+    dx, dy = F.col("x1") - F.col("x1") % 512, F.col("y1") - F.col("y1") % 512
+    tiles = det(s, d).withColumns({"dx": dx, "dy": dy})
+    local = tiles.withColumns({"x1": F.col("x1") - dx, "x2": F.col("x2") - dx, "y1": F.col("y1") - dy, "y2": F.col("y2") - dy})
+    moved = local.select("det_id", F.posexplode(rings.translated(_angle(), F.col("dx"), F.col("dy"))).alias("place", "p"))
+    return moved.select("det_id", "place", "p.x", "p.y")
+
+
 @query()
 def smart_simplify(s, d):
     return _waves(det(s, d)).select("det_id", merge.smart_simplified("polygon", 40).alias("polygon"))
@@ -629,9 +665,9 @@ def _bow():
     return F.array(_point(x1, y1), _point(x2, y2), _point(x2, y1), _point(x1, y2))
 
 
-def _angle():
+def _angle(prefix: str = ""):
     """A box without the quarter of its lower right."""
-    x1, y1, x2, y2 = boxes.corners()
+    x1, y1, x2, y2 = boxes.corners(prefix)
     mx, my = (x1 + x2) / 2, (y1 + y2) / 2
     return F.array(_point(x1, y1), _point(x2, y1), _point(x2, my), _point(mx, my), _point(mx, y2), _point(x1, y2))
 
