@@ -425,14 +425,19 @@ def nested_rings(s, d):
     return merge.without_nested(det(s, d, True).withColumn("polygon", _angle()), ("lp", "mild"), 0.73).select(*BOXES.split(", "))
 
 
+def _spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows of few bytes and much work over all partitions, which adaptive execution would else draw together."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 SHARED = "+".join(f"greatest(0, least({a[2]},{b[2]})-greatest({a[0]},{b[0]}))*greatest(0, least({a[3]},{b[3]})-greatest({a[1]},{b[1]}))" for a in _arms("a.") for b in _arms("b."))
 
 
 @query(f"""with {TIGHT}, p as (select a.slide_id, a.class_name, a.det_id as a, b.det_id as b, {SHARED} as area, 0.75*least((a.x2-a.x1)*(a.y2-a.y1), (b.x2-b.x1)*(b.y2-b.y1)) as own from det a join det b on a.slide_id = b.slide_id and a.class_name = b.class_name and a.det_id < b.det_id)
  select slide_id, class_name, a, b, round(area,6) as area, round(area/own,6) as share from p where area > 0""")
 def shared_areas(s, d):
-    # rings are laid into the boxes after the join; pairs are few bytes and much work, so their tasks are not drawn together
-    near = spatial.pairs(det(s, d, True), ["slide_id", "class_name"]).repartition(int(s.conf.get("spark.sql.shuffle.partitions")), "a_det_id", "b_det_id")
+    # rings are laid into the boxes after the join
+    near = _spread(spatial.pairs(det(s, d, True), ["slide_id", "class_name"]), "a_det_id", "b_det_id")
     near = near.withColumns({"ra": _angle("a_"), "rb": _angle("b_")})
     near = near.withColumns({"area": merge.shared_area("ra", "rb"), "own": F.least(rings.area(F.col("ra")), rings.area(F.col("rb")))}).where("area > 0")
     return near.select(F.col("a_slide_id").alias("slide_id"), F.col("a_class_name").alias("class_name"), F.col("a_det_id").alias("a"), F.col("b_det_id").alias("b"), F.round("area", 6).alias("area"), F.round(F.col("area") / F.col("own"), 6).alias("share"))
@@ -451,12 +456,12 @@ def rings_to_slide(s, d):
 
 @query()
 def smart_simplify(s, d):
-    return _waves(det(s, d)).select("det_id", merge.smart_simplified("polygon", 40).alias("polygon"))
+    return _waves(_spread(det(s, d), "det_id")).select("det_id", merge.smart_simplified("polygon", 40).alias("polygon"))
 
 
 @query()
 def adaptive_simplify(s, d):
-    return _waves(det(s, d)).select("det_id", merge.adaptively_simplified("polygon").alias("s")).select("det_id", "s.*")
+    return _waves(_spread(det(s, d), "det_id")).select("det_id", merge.adaptively_simplified("polygon").alias("s")).select("det_id", "s.*")
 
 
 @query(f"with {DET} select det_id, det_id%4 > 1 as valid from det")
