@@ -194,3 +194,49 @@ def test_markup_against_a_walk_of_the_tree():
         walk(tree, lines)
         page = f"<html><body><nav>menu</nav><p>before</p>{write(tree)}<p>after</p></body></html>"
         assert h.blocks(page)[0] == [" ".join(x.split()) for x in lines if x.strip()]
+
+
+def test_suffix_order_and_prefixes():
+    heads = h.suffixes(["a b", "c\x01 a b d"], 3)
+    assert heads == ["a b c\x01 ", "b c\x01 a ", "c\x01 a b ", "a b d "]
+    assert h.suffixes(["a"], 3) == ["a "] and h.suffixes([], 3) == []
+    rng = random.Random(2)
+    found = sorted(s for _ in range(40) for s in h.suffixes([" ".join(rng.choice(["a", "ab", "a\x01", "b"]) for _ in range(9))], 4))
+    for k in (1, 2, 3):
+        first = [s.split()[:k] for s in found]
+        assert all([h.prefix(x, y) >= k for x, y in zip(found, found[1:])][i] == (first[i] == first[i + 1]) for i in range(len(first) - 1))
+        assert sum(x != y for x, y in zip(first, first[1:])) + 1 == len({tuple(f) for f in first})
+
+
+def test_repeats_across_ranges(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice("xy"), False, f"{rng.choice(['often often'] * 8 + [f'w{i}' for i in range(300)])} a ", 0, rng.randrange(200), i, 2) for i in range(3000)]
+    rows += [("x", True, "often often a ", rest, s, 0, 9) for rest, s in ((1, 1), (1, 2), (2, 3), (3, 4), (3, 4))]
+    df = spark.createDataFrame(rows, "host string, marked boolean, head string, rest long, stream long, place int, size int")
+    streams = collections.defaultdict(set)
+    for r in rows:
+        streams[r[:4]].add(r[4])
+    want = collections.Counter((r[0], r[1], r[4], r[5]) for r in rows if len(streams[r[:4]]) > 1)
+    got = h.repeats(df, 2)
+    assert collections.Counter((r.host, r.marked, r.stream, r.place) for r in got.collect()) == want
+    assert got.select("host", "marked", "repeat").distinct().count() == sum(len(s) > 1 for s in streams.values())
+
+
+def test_notices_inside_articles(spark):
+    notice = "Join our members today and read every story free"
+    quote = "to be or not to be that is the question"
+    words = lambda k, n: " ".join(f"p{k}w{i}" for i in range(n))
+    rows = []
+    for k in range(24):  # the notice on 14 of 24, a quote on 12
+        middle = f"<p>{notice}</p>" * (k < 14) + f"<p>{quote}</p>" * (k % 2) + "<h2>What to know</h2>"
+        rows.append((k, "http://a.org/", f"<article><h1>Title {k}</h1><p>{words(k, 30)}</p>{middle}<p>{words(-k, 30)}</p></article>"))
+    rows.append((100, "http://a.org/copy", rows[0][2]))
+    rows += [(200 + k, f"http://b{k}.org/", rows[k][2]) for k in range(14)]
+    story = [f"s{i} " * 12 for i in range(6)]
+    rows += [(300 + k, "http://c.org/", "<article>" + "".join(f"<p>{s}{f' edit{k}' if i == k % 6 else ''}</p>" for i, s in enumerate(story)) + "</article>") for k in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in h.extracted(df).collect()}
+    for i, u, p in rows:
+        blocks = h.blocks(p)[0]
+        assert got[i] == "\n\n".join(b for b in blocks if b != notice or not u.startswith("http://a.org")), i
+    assert sum(notice in t for t in got.values()) == 14 and quote in got[1] and len(got) == len(rows)

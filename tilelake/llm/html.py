@@ -1,4 +1,4 @@
-"""Main text of web pages: markup first, then a suffix array of each host's undecided text.
+"""Main text of web pages: markup first, then a suffix array of each host's blocks, through which every page goes.
 
 Where a page marks its article (``article`` or ``main``), the blocks inside are its text, without those in menus,
 headers, footers, sidebars, notices, adverts, forms and comments; what stands outside is not, however long. Structure
@@ -7,8 +7,8 @@ blocks of its own and is no teaser, whose headings are all links. If none is so,
 counts, and any where nothing but links stands outside. Of other pages all blocks outside of layout are undecided, save
 three or more in a row that are links by half or more (a menu): their tokens, end to end, are the page's stream.
 
-Sorting the suffixes of a host's streams by their first ``RUN`` tokens brings repeated substrings together. What no other
-page has in runs of ``RUN`` tokens or more is a page's own. A substring is boilerplate if it stands on ``PAGES`` pages or
+The suffixes of a host's streams are sorted by their first ``RUN`` tokens, and neighbours with so long a prefix in common
+make a repeat. What no other page has in runs of ``RUN`` tokens or more is a page's own. A substring is boilerplate if it stands on ``PAGES`` pages or
 more, and on a ``SHARE`` of the host's, counting only pages with own runs, and those with the same own runs once:
 pages that differ in less are copies of each other, whose text nothing makes boilerplate. Every token that boilerplate
 covers goes and the unique runs stay. A page that would keep no run of ``RUN`` tokens keeps all.
@@ -17,10 +17,14 @@ An element is layout if its class, id or role has a name made of words of ``MARK
 ``cookie-banner`` and ``site-footer`` are, ``has-sidebar`` and ``section-header`` are not. Layout around the only article
 of a page does not hide it. A header inside an article goes too, as the contract's list of headers has it.
 
-Suffixes are sorted and grouped by Spark under (host, first RUN tokens), so a host of any size is spread over all tasks
-and no task holds a host. Longer substrings cover what their windows of RUN tokens cover, each of which stands on as many
-pages or more, so a deeper order would take the same tokens. Inside a marked article nothing is removed for being
-repeated: articles quote each other, and copies are articles too.
+Of a marked article the array holds a suffix at each block's begin, of all its tokens to the block's end: a block goes as a whole
+or not at all. It is a notice, which goes, if it has ``RUN`` tokens or more and stands on ``NOTICE`` pages or more and over
+half of the host's, counting only pages most of whose tokens stand in blocks that no other page has. Only those pages lose
+blocks, so less than half of their text: copies, and articles that quote each other, stay whole.
+
+Suffixes are sorted by Spark in ranges of (host, first tokens, stream), so a host or a repeat of any size is spread over all
+tasks and no task holds a host. Longer substrings cover what their windows of RUN tokens cover, each of which stands on as
+many pages or more, so a deeper order would take the same tokens of undecided text.
 
 Defined cases: a null or empty html has empty text; truncated markup is read as browsers do, to the end of the page;
 copies of one stream on a host are one page; a page without a host shares one with its like; repeated rows are
@@ -33,6 +37,7 @@ from __future__ import annotations
 import html as entities
 import itertools
 import re
+from os.path import commonprefix
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -44,6 +49,8 @@ from .common import stored
 RUN = 8
 #: Pages with own text that make a run of theirs boilerplate: this many, and one in so many of their host's.
 PAGES, SHARE = 3, 50
+#: Pages, and more than half of their host's, that make a whole block inside their articles a notice.
+NOTICE = 10
 TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S)
 NAMES = re.compile(r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 HIDDEN = re.compile(r"(?:^|[\s\"'])(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
@@ -216,12 +223,31 @@ def host(url: str | None) -> str:
     return m[1].rpartition("@")[2].partition(":")[0].lower() if m else ""
 
 
-def suffixes(parts: list[str], run: int = RUN) -> tuple[list[list[str]], list[int]]:
-    """Tokens of each block, and of the stream the hash of every suffix's first run tokens (all, if they are fewer)."""
-    tokens = [p.split() for p in parts]
-    flat = [t for p in tokens for t in p]
-    n = max(1, len(flat) - run + 1) if flat else 0
-    return tokens, [xxhash.xxh64_intdigest("\x00".join(flat[i : i + run]).encode()) - (1 << 63) for i in range(n)]
+def suffixes(parts: list[str], run: int = RUN) -> list[str]:
+    """First run tokens (all, if they are fewer) of every suffix of the blocks end to end, a space after each token, so
+    that suffixes with any number of first tokens in common stand together in the order of these strings."""
+    flat = [t for p in parts for t in p.split()]
+    return ["".join(f"{t} " for t in flat[i : i + run]) for i in range(max(1, len(flat) - run + 1))] if flat else []
+
+
+def block_suffixes(parts: list[str], run: int = RUN) -> list[tuple[str, int, int, int]]:
+    """(first run tokens, hash of the block's other tokens, block number, tokens) of the suffix at each block's begin, to the
+    block's end; of blocks of run tokens or more."""
+    found = []
+    for i, p in enumerate(parts):
+        t = p.split()
+        if len(t) >= run:
+            found.append(("".join(f"{x} " for x in t[:run]), _hash(t[run:]), i, len(t)))
+    return found
+
+
+def prefix(a: str, b: str) -> int:
+    """How many first tokens two suffixes of ``suffixes`` have in common."""
+    return a.count(" ") if a == b else commonprefix((a, b)).count(" ")
+
+
+def _hash(parts: list[str]) -> int:
+    return xxhash.xxh64_intdigest("\x00".join(parts).encode()) - (1 << 63)
 
 
 def _runs(tokens: list[list[str]], repeated: set[int], run: int) -> tuple[list[list[str]], list[list[str]]]:
@@ -247,7 +273,7 @@ def _runs(tokens: list[list[str]], repeated: set[int], run: int) -> tuple[list[l
 def own_text(parts: list[str], repeated: set[int], run: int = RUN) -> int | None:
     """Hash of a page's own runs of run tokens or more, of those that no other page has; null without any."""
     own = [r for r in _runs([p.split() for p in parts], repeated, run)[1] if len(r) >= run]
-    return xxhash.xxh64_intdigest("\x00".join(" ".join(r) for r in own).encode()) - (1 << 63) if own else None
+    return _hash([" ".join(r) for r in own]) if own else None
 
 
 def unique_runs(parts: list[str], repeated: set[int], run: int = RUN) -> list[str]:
@@ -258,32 +284,97 @@ def unique_runs(parts: list[str], repeated: set[int], run: int = RUN) -> list[st
     return [" ".join(k) for k in left if k] if any(len(r) >= run for r in own) else parts
 
 
-def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", run: int = RUN, least: int = PAGES, share: int = SHARE) -> DataFrame:
+def repeats(places: DataFrame, run: int = RUN) -> DataFrame:
+    """(host, marked, repeat, stream, place, size): the places of the suffix array's repeats that stand in two streams of a
+    host or more, repeat a number for each; places: (host, marked, head, rest, stream, place, size).
+
+    The array is sorted in ranges that a repeat may cross, so that a frequent one is no one task's; what stands before a
+    range's first suffix and after its last is not known there, so these two count as repeated until the streams of
+    all ranges are compared.
+    """
+    order = ["host", "marked", "head", "rest", "stream", "place"]
+    array = places.select(*order, "size").repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def neighbours(batches):
+        def batch(rows):
+            cols = list(zip(*[(r[0], r[1], _hash([r[2], str(r[3])]), *r[4:]) for r in rows]))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["host", "marked", "repeat", "stream", "place", "size"])
+
+        types = [pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        last, given = None, False
+        for b in batches:
+            rows = []
+            for row in zip(*[c.to_pylist() for c in b.columns]):
+                long = last is None
+                if last and row[:2] == last[:2] and row[3] == last[3]:
+                    length = prefix(last[2], row[2])
+                    long = length >= run or length == row[2].count(" ") == last[2].count(" ")
+                if long and last and not given:
+                    rows.append(last)
+                if long:
+                    rows.append(row)
+                last, given = row, long
+            if rows:
+                yield batch(rows)
+        if last and not given:
+            yield batch([last])
+
+    met = stored(array.mapInArrow(neighbours, "host string, marked boolean, repeat long, stream long, place int, size int"), "neighbours")
+    several = met.groupBy("host", "marked", "repeat").agg(F.min("stream").alias("a"), F.max("stream").alias("z")).where("a <> z").select("host", "marked", "repeat")
+    # both sides stored, so that a frequent repeat may be split
+    return stored(met.join(stored(several, "repeated"), ["host", "marked", "repeat"]), "hits")
+
+
+def notices(hits: DataFrame, pages: DataFrame, least: int) -> DataFrame:
+    """(host, stream, repeated): numbers of the blocks inside articles that are their host's notices.
+
+    hits: of marked pages; pages: (host, stream, tokens) of all of them.
+    """
+    hits = hits.select("host", "stream", "repeat", "place", "size").distinct()
+    known = pages.distinct()
+    echoes = hits.groupBy("host", "stream").agg(F.sum("size").alias("s")).join(known, ["host", "stream"]).where("2 * s >= tokens").select("host", "stream")
+    voices = known.join(echoes, ["host", "stream"], "left_anti").groupBy("host").agg(F.count("*").alias("of"))
+    said = stored(hits.join(echoes, ["host", "stream"], "left_anti"), "said")
+    counts = said.groupBy("host", "repeat").agg(F.count_distinct("stream").alias("n")).where(F.col("n") >= least)
+    often = counts.join(voices, "host").where("2 * n > of").select("host", "repeat")
+    return said.join(often, ["host", "repeat"]).groupBy("host", "stream").agg(F.collect_set("place").alias("repeated"))
+
+
+def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", run: int = RUN, least: int = PAGES, share: int = SHARE, notice: int = NOTICE) -> DataFrame:
     """(id, url, text, n_chars): one row per page."""
     kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
 
     def parse(batches):
         for b in batches:
-            text, open_, hosts, keys, heads = [], [], [], [], []
+            of, hosts, marks, keys, sizes = [], [], [], [], []
             for u, h in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 inside, undecided, marked = blocks(h or "")
-                text.append("\n\n".join(inside))
-                undecided = [] if marked else undecided
-                open_.append(undecided or None)
-                hosts.append(host(u) if undecided else None)
-                heads.append(suffixes(undecided, run)[1] if undecided else None)
-                keys.append(xxhash.xxh64_intdigest("\x00".join(undecided).encode()) - (1 << 63) if undecided else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array(open_, pa.list_(pa.string())), pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(heads, pa.list_(pa.int64()))], names=["id", "url", "text", "undecided", "host", "stream", "heads"])
-
-    found = stored(rows.mapInArrow(parse, f"id {kind}, url string, text string, undecided array<string>, host string, stream long, heads array<long>"), "blocks")
-    decided = found.where("undecided is null").select("id", "url", "text")
-    streams = found.where("undecided is not null")
-    distinct = streams.dropDuplicates(["host", "stream"])
-    places = distinct.select("host", "stream", F.posexplode("heads").alias("place", "head"))
-    places = stored(places, "suffixes")  # both sides of the join stored, so that a frequent run may be split
-    repeated = stored(places.groupBy("host", "head").agg(F.min("stream").alias("a"), F.max("stream").alias("z")).where("a <> z").select("host", "head"), "repeated")
-    hits = stored(places.join(repeated, ["host", "head"]), "hits")
+                parts = inside if marked else undecided
+                of.append(parts)
+                hosts.append(host(u))
+                marks.append(marked)
+                keys.append(_hash(parts))
+                sizes.append(sum(len(p.split()) for p in parts))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hosts, pa.string()), pa.array(marks, pa.bool_()), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(of, pa.list_(pa.string()))], names=["id", "url", "host", "marked", "stream", "tokens", "parts"])
+
+    found = stored(rows.mapInArrow(parse, f"id {kind}, url string, host string, marked boolean, stream long, tokens long, parts array<string>"), "blocks")
+    distinct = found.where("not marked and tokens > 0").dropDuplicates(["host", "stream"])
+
+    def cut(batches):
+        for b in batches:
+            out = []
+            for h, marked, stream, parts in zip(*[c.to_pylist() for c in b.columns]):
+                own = block_suffixes(parts, run) if marked else [(head, 0, i, run) for i, head in enumerate(suffixes(parts, run))]
+                out += [(h, marked, head, rest, stream, i, n) for head, rest, i, n in own]
+            types = [pa.string(), pa.bool_(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            cols = list(zip(*out)) or [()] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["host", "marked", "head", "rest", "stream", "place", "size"])
+
+    texts = found.where("marked").select("host", "marked", "stream", "parts").union(distinct.select("host", "marked", "stream", "parts"))
+    # not stored: made again for the sample of the ranges' bounds, which takes less than keeping them
+    every = repeats(texts.mapInArrow(cut, "host string, marked boolean, head string, rest long, stream long, place int, size int"), run)
+    hits = every.where("not marked").select("host", "repeat", "stream", "place")
 
     def covered(of: DataFrame) -> DataFrame:
         return of.groupBy("host", "stream").agg(F.collect_list("place").alias("repeated"))
@@ -293,17 +384,22 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             own = [own_text(p, set(r or ()), run) for p, r in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.int64())], names=["host", "stream", "own"])
 
-    own = distinct.join(covered(hits), ["host", "stream"], "left").select("host", "stream", "undecided", "repeated")
+    own = distinct.join(covered(hits), ["host", "stream"], "left").select("host", "stream", "parts", "repeated")
     own = stored(own.mapInArrow(owned, "host string, stream long, own long").where("own is not null"), "own")
     sizes = own.groupBy("host").agg(F.count_distinct("own").alias("of"))
-    counts = hits.join(own, ["host", "stream"]).groupBy("host", "head").agg(F.count_distinct("own").alias("n")).where(F.col("n") >= least)
-    boilerplate = stored(counts.join(sizes, "host").where(F.col("n") * share >= F.col("of")).select("host", "head"), "boilerplate")
-    at = covered(hits.join(boilerplate, ["host", "head"]))
+    counts = hits.join(own, ["host", "stream"]).groupBy("host", "repeat").agg(F.count_distinct("own").alias("n")).where(F.col("n") >= least)
+    boilerplate = stored(counts.join(sizes, "host").where(F.col("n") * share >= F.col("of")).select("host", "repeat"), "boilerplate")
+    said = notices(every.where("marked"), found.where("marked and tokens > 0").select("host", "stream", "tokens"), notice)
+    at = stored(covered(hits.join(boilerplate, ["host", "repeat"])).withColumn("marked", F.lit(False)).unionByName(said.withColumn("marked", F.lit(True))), "places")
 
     def strip(batches):
         for b in batches:
-            text = ["\n\n".join(unique_runs(p, set(r or ()), run)) for p, r in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            text = []
+            for marked, parts, gone in zip(*[c.to_pylist() for c in b.columns[2:]]):
+                gone = set(gone or ())
+                kept = [p for i, p in enumerate(parts) if i not in gone] if marked else unique_runs(parts, gone, run)
+                text.append("\n\n".join(kept))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], names=["id", "url", "text"])
 
-    stripped = streams.join(at, ["host", "stream"], "left").select("id", "url", "undecided", "repeated").mapInArrow(strip, f"id {kind}, url string, text string")
-    return decided.union(stripped).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
+    stripped = found.join(at, ["host", "marked", "stream"], "left").select("id", "url", "marked", "parts", "repeated").mapInArrow(strip, f"id {kind}, url string, text string")
+    return stripped.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
