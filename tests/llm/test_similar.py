@@ -55,3 +55,37 @@ def test_stage_takes_near_copies_from_similarity_of_eight_tenths(spark):
     got = corpus_pipeline.near_duplicates(spark, df, "")
     assert sorted(r.doc_id for r in got.collect()) == want
     assert simhash.deduplicated(df.limit(0)).count() == 0
+
+
+def test_filter_of_texts_loses_none(spark):
+    rng = random.Random(6)
+    hashes = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(4000)] + [0, -1, -(1 << 63)]
+    rows = spark.createDataFrame([(h, str(h)) for h in hashes], "text_hash long, text string")
+    wanted = hashes[::4] + hashes[-3:]
+    texts = spark.createDataFrame([(h,) for h in wanted], "text_hash long")
+    got = {r.text_hash for r in simhash.among(rows, texts).collect()}
+    assert set(wanted) <= got and len(got) < len(wanted) + 300
+    assert set(wanted) <= {r.text_hash for r in simhash.among(rows, texts, 1 << 10).collect()}
+    assert simhash.among(rows, texts.limit(0)).count() == 0
+
+
+def test_texts_without_a_partner_are_not_shuffled(spark):
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(10**7)}" for _ in range(4000)) for _ in range(200)]
+    rows = [*enumerate(texts), (900, texts[0] + " more"), (901, texts[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    df.count()
+    written = lambda: sum(e.totalShuffleWrite() for e in map(found().apply, range(found().size())))
+    found = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(True)
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df.write.parquet(path := f"{simhash.stored(df.limit(1), 'path').inputFiles()[0]}-docs")
+        before = written()
+        got = simhash.deduplicated(spark.read.parquet(path)).select("doc_id").collect()
+        used = written() - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert sorted(r.doc_id for r in got) == list(range(200))
+    # the rows that stay are joined with whole texts once, at the end
+    assert used < 1.3 * sum(map(len, texts)), (used, sum(map(len, texts)))

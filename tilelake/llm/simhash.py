@@ -40,6 +40,8 @@ BITS = 3
 SHINGLE, LEAST, BANDS, ROWS, SKETCH = 5, 0.8, 32, 5, 16
 #: Beyond so many distinct fingerprints, keys of 40 bits instead of 24: more rows in the index, fewer chance meetings.
 WIDE_FROM = 1 << 23
+#: Bits of the filter that tells which texts may be needed again (16 MB).
+MOST_BITS = 1 << 27
 WORD = np.ones(256, bool)
 WORD[[9, 10, 11, 12, 13, 32]] = False
 LOWER = lower_table()
@@ -190,6 +192,29 @@ def rarest(sets: DataFrame, least: float = LEAST) -> DataFrame:
     return found.select(F.col("k.gram").alias("key"), "node", "n", (F.col("i") + F.col("unique")).alias("place"))
 
 
+def among(rows: DataFrame, texts: DataFrame, most: int = MOST_BITS) -> DataFrame:
+    """rows (text_hash, text) without most of those whose hash is none of texts', a stored table, and with all others.
+
+    A Bloom filter of 16 bits a text, ``most`` in all: the join that follows decides, but need not send every text. With
+    more texts than the filter has room for more rows stay, none is lost.
+    """
+    bits = min(most, max(1 << 16, 1 << (16 * texts.count()).bit_length()))
+    places = texts.select(F.explode(F.array(F.pmod("text_hash", F.lit(bits)), F.pmod(F.shiftright("text_hash", 32), F.lit(bits)))).alias("b"))
+    words = places.groupBy(F.shiftright("b", 3).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1, cast(b & 7 as int)))").cast("int").alias("m")).toArrow()
+    table = np.zeros(bits >> 3, np.uint8)
+    table[words["w"].to_numpy()] = words["m"].to_numpy().astype(np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        t = shared.value
+        for b in batches:
+            h = b.column(0).to_numpy()
+            x, y = h & (bits - 1), (h >> 32) & (bits - 1)
+            yield b.filter(pa.array(((t[x >> 3] >> (x & 7).astype(np.uint8)) & (t[y >> 3] >> (y & 7).astype(np.uint8)) & 1).astype(bool)))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
     """(id, text_hash, node, label): one row per row of docs; label is the same for all rows of a group."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -211,13 +236,13 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     same = of_fp.join(first, "fp").where("node <> a").select("a", F.col("node").alias("b"))
     met = links(first.select("fp"), BITS, first.count() > WIDE_FROM).toDF("x", "y")
     near = met.join(first.toDF("x", "n1"), "x").join(first.toDF("y", "n2"), "y").where("n1 <> n2").select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b"))
-    nodes = own.groupBy("node").agg(F.first("bands").alias("bands"))
-    keyed = nodes.select("node", F.posexplode("bands").alias("k", "v")).select("node", F.xxhash64("k", "v").alias("key"))
+    # rows of one node give equal keys, which minima and distinct nodes do not mind
+    keyed = own.select("node", F.posexplode("bands").alias("k", "v")).select("node", F.xxhash64("k", "v").alias("key"))
     lead = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
-    simhash_pairs = same.union(near)
+    simhash_pairs = stored(same.union(near), "near")
     used = keyed.join(lead, "key").select("node").union(simhash_pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
-    texts = own.join(used, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
-    picked = rows.join(texts, "text_hash").dropDuplicates(["node"]).select("node", "text")
+    texts = stored(own.select("node", "text_hash").join(used, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash")), "texts")
+    picked = among(rows.select("text_hash", "text"), texts).join(texts, "text_hash").dropDuplicates(["node"]).select("node", "text")
 
     def expand(batches):
         for b in batches:
@@ -245,7 +270,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("other_place")) >= (F.col("n") + F.col("m")) * (least / (1 + least)) - 1e-9
     more = named.withColumnRenamed("node", "a").join(y, "key").where((F.col("label") < F.col("other")) & size & left & apart).select("a", "b").distinct()
     label = components(found.union(alike(more, sets, least)))
-    label = nodes.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    label = own.select("node").distinct().join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     return own.select("id", "text_hash", "node").join(label, "node")
 
 
