@@ -236,3 +236,16 @@ def test_components_with_hot_nodes(spark, monkeypatch):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
     kept = graph.stored(spark.range(3), "x")
     assert kept.count() == 3 and "stored-" in kept.inputFiles()[0]
+
+
+def test_shared_areas_in_one_task(spark):
+    import time
+
+    point = "named_struct('x', {0}, 'y', {1})".format
+    angle = lambda off: "array(" + ", ".join(point(f"{x}D + {off}", f"{y}D + {off}") for x, y in ((0, 0), (40, 0), (40, 20), (20, 20), (20, 40), (0, 40))) + ")"
+    rows = spark.range(30_000).coalesce(1).selectExpr("id", f"{angle('0')} as a", f"if(id % 10 = 3, null, {angle('id % 10')}) as b")
+    begin = time.time()
+    got = {r.k: (r.least, r.most, r.n) for r in rows.select((F.col("id") % 10).alias("k"), merge.shared_area("a", "b").alias("v")).groupBy("k").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.count("v").alias("n")).collect()}
+    assert time.time() - begin < 20  # with a union for each pair, the 87,500 of sf0.1 took 148 s
+    own = lambda k: (40 - k) * (20 - k) + (20 - k) * 20 + 0.0
+    assert got == {k: (None, None, 0) if k == 3 else (own(k), own(k), 3000) for k in range(10)}
