@@ -249,3 +249,23 @@ def test_shared_areas_in_one_task(spark):
     assert time.time() - begin < 20  # with a union for each pair, the 87,500 of sf0.1 took 148 s
     own = lambda k: (40 - k) * (20 - k) + (20 - k) * 20 + 0.0
     assert got == {k: (None, None, 0) if k == 3 else (own(k), own(k), 3000) for k in range(10)}
+
+
+def teeth(spark, n):
+    """n rings of 400 points, and for ids over 2 some without a ring."""
+    far = "(20 + i % 2 * 0.3D)"
+    ring = f"transform(sequence(0, 399), i -> named_struct('x', id + {far} * cos(i * 2 * pi() / 400), 'y', {far} * sin(i * 2 * pi() / 400)))"
+    return spark.range(n).coalesce(1).selectExpr("id", f"case when id = 3 then null when id = 4 then slice({ring}, 1, 0) when id = 5 then slice({ring}, 1, 2) else {ring} end as polygon")
+
+
+def test_adaptive_simplification_in_one_task(spark):
+    import time
+
+    begin = time.time()
+    rows = teeth(spark, 3000).select("id", merge.adaptively_simplified("polygon").alias("s"), F.col("polygon").alias("p")).select("id", "s.*", merge.is_valid("s.polygon").alias("valid"), F.size("p").alias("n")).collect()
+    assert time.time() - begin < 15  # with each ring on its own, 5 ms a ring of 200 points and more
+    got = {r.id: r for r in rows}
+    assert len(got) == 3000 and got[3].polygon is None and got[4].polygon is None and (got[3].method, got[3].original_points, got[4].complexity) == ("invalid", 0, "simple")
+    assert got[5].method == "invalid" and len(got[5].polygon) == 2 and not got[5].valid
+    for r in rows[6:]:
+        assert r.valid and r.original_points == 401 and r.simplified_points == len(r.polygon) + 1 <= 120 and (r.method != "douglas_peucker" or r.area_preserved >= 0.98)
