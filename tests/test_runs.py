@@ -171,3 +171,12 @@ def test_reports(spark):
     lines = [r.line for r in report.summary_lines(rows).orderBy("part", "place").collect()]
     assert lines == ["slides: 2, predictions: 3", "  lp: 2 (66.7%)", "  mild: 1 (33.3%)", "slide 3: 2 predictions, mean confidence 0.600, lp=1, mild=1", "slide 4: 1 predictions, mean confidence 0.900, lp=1"]
     assert [r.line for r in report.summary_lines(rows.limit(0)).collect()] == ["slides: 0, predictions: 0"]
+
+
+def test_both_adaptive_searches_take_the_rings_once(spark):
+    from tilelake.plans import queries
+
+    rows = queries.adaptive_simplify_kept(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 2000 and all(r.few and r.kept and r.valid for r in rows) and sum(r.legacy for r in rows) == 1000
+    plan = queries.adaptive_simplify_kept(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ring(") == 1 and "Union" not in plan

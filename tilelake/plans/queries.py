@@ -723,7 +723,8 @@ def smart_simplify_kept(s, d):
  select det_id, legacy, n as original_points, complexity, n <= target as untouched, true as few, true as kept, true as valid from t, l""")
 def adaptive_simplify_kept(s, d):
     rows = _waves(det(s, d))
-    found = rows.select("det_id", F.lit(False).alias("legacy"), merge.adaptively_simplified("polygon").alias("s")).union(rows.select("det_id", F.lit(True), merge.adaptively_simplified("polygon", legacy=True)))
+    both = [F.struct(F.lit(legacy).alias("legacy"), merge.adaptively_simplified("polygon", legacy=legacy).alias("s")) for legacy in (False, True)]
+    found = rows.select("det_id", F.inline(F.array(*both)))
     kind, n = F.col("s.complexity"), F.col("s.simplified_points")
     target = F.when(kind == "simple", 15).when(kind == "complex", 80).otherwise(60)
     least = F.when(kind == "simple", 0.95).when(kind == "complex", 0.98).otherwise(0.97)
