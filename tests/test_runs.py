@@ -180,3 +180,17 @@ def test_both_adaptive_searches_take_the_rings_once(spark):
     assert len(rows) == 2000 and all(r.few and r.kept and r.valid for r in rows) and sum(r.legacy for r in rows) == 1000
     plan = queries.adaptive_simplify_kept(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ring(") == 1 and "Union" not in plan
+
+
+def test_shared_areas_do_not_deal_out_pairs(spark):
+    from tilelake.operators import merge
+    from tilelake.plans import queries
+
+    found = queries.shared_areas(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("RepartitionByExpression")  # boxes are spread before the join
+    assert found.where("share > 0 and share <= 1 and area > 0").count() == found.count() > 0
+    ring = lambda *p: "array(" + ", ".join(f"named_struct('x', {x}F, 'y', {y}F)" for x, y in p) + ")"
+    big, small = ring((0, 0), (4, 0), (4, 4), (0, 4)), ring((2, 2), (2, 5), (5, 5), (5, 2))
+    got = spark.range(3).selectExpr("id", f"if(id = 1, null, {big}) as a", f"if(id = 2, slice({small}, 1, 0), {small}) as b").select("id", merge.shared("a", "b").alias("s")).orderBy("id").collect()
+    assert [got[0].s.area, got[0].s.least, got[1].s, got[2].s.area] == [4.0, 9.0, None, 0.0]

@@ -437,11 +437,10 @@ SHARED = "+".join(f"greatest(0, least({a[2]},{b[2]})-greatest({a[0]},{b[0]}))*gr
 @query(f"""with {TIGHT}, p as (select a.slide_id, a.class_name, a.det_id as a, b.det_id as b, {SHARED} as area, 0.75*least((a.x2-a.x1)*(a.y2-a.y1), (b.x2-b.x1)*(b.y2-b.y1)) as own from det a join det b on a.slide_id = b.slide_id and a.class_name = b.class_name and a.det_id < b.det_id)
  select slide_id, class_name, a, b, round(area,6) as area, round(area/own,6) as share from p where area > 0""")
 def shared_areas(s, d):
-    # rings are laid into the boxes after the join
-    near = _spread(spatial.pairs(det(s, d, True), ["slide_id", "class_name"]), "a_det_id", "b_det_id")
-    near = near.withColumns({"ra": _angle("a_"), "rb": _angle("b_")})
-    near = near.withColumns({"area": merge.shared_area("ra", "rb"), "own": F.least(rings.area(F.col("ra")), rings.area(F.col("rb")))}).where("area > 0")
-    return near.select(F.col("a_slide_id").alias("slide_id"), F.col("a_class_name").alias("class_name"), F.col("a_det_id").alias("a"), F.col("b_det_id").alias("b"), F.round("area", 6).alias("area"), F.round(F.col("area") / F.col("own"), 6).alias("share"))
+    # rings are laid into the boxes after the join; the boxes are spread, not their many pairs
+    near = spatial.pairs(_spread(det(s, d, True), "det_id"), ["slide_id", "class_name"])
+    near = near.withColumn("s", merge.shared(_angle("a_"), _angle("b_"))).where("s.area > 0")
+    return near.select(F.col("a_slide_id").alias("slide_id"), F.col("a_class_name").alias("class_name"), F.col("a_det_id").alias("a"), F.col("b_det_id").alias("b"), F.round("s.area", 6).alias("area"), F.round(F.col("s.area") / F.col("s.least"), 6).alias("share"))
 
 
 @query(f"""with {DET}, r as (select det_id, x1%512 as u1, y1%512 as v1, x1%512+x2-x1 as u2, y1%512+y2-y1 as v2, x1-x1%512 as dx, y1-y1%512 as dy from det),
