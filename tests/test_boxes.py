@@ -281,3 +281,18 @@ def test_nesting_of_many_pairs(spark):
     kept = merge.without_nested(rows, ("lp",), 0.73).selectExpr("det_id % 10 as k").groupBy("k").count().collect()
     assert time.time() - begin < 45  # 180,000 pairs, of which a union takes 1.2 ms each
     assert {r.k: r["count"] for r in kept} == {0: 4000, 5: 4000}  # shifted by 4 a ring still has 896 of 1,200 in common, by 5 only 825
+
+
+def test_smart_simplification_in_one_task(spark):
+    import time
+
+    begin = time.time()
+    most = F.when(F.col("id") % 2 == 0, 40).otherwise(60)
+    rows = teeth(spark, 3000).select("id", merge.smart_simplified("polygon", most).alias("s"), F.col("polygon").alias("p")).select("id", "s", merge.is_valid("s").alias("valid"), F.try_divide(merge.area("s"), merge.area("p")).alias("share"), merge.area("s").alias("area")).collect()
+    assert time.time() - begin < 15  # with each ring on its own, 5 ms a ring of 200 points and more
+    got = {r.id: r for r in rows}
+    assert got[3].s is None and got[3].area is None and got[4].s == [] and got[4].area is None and len(got[5].s) == 2 and got[5].area == 0
+    for r in rows[6:]:
+        assert r.valid and 30 <= len(r.s) + 1 <= (40 if r.id % 2 == 0 else 60) and 0.95 < r.share < 1.05
+    short = spark.sql("select array(named_struct('x', 1F, 'y', 2F), null, named_struct('x', 1F, 'y', 2F)) as polygon")
+    assert [p and (p.x, p.y) for p in short.select(merge.smart_simplified("polygon", 40).alias("s")).first().s] == [(1.0, 2.0), None, (1.0, 2.0)]
