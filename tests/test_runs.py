@@ -194,3 +194,12 @@ def test_shared_areas_do_not_deal_out_pairs(spark):
     big, small = ring((0, 0), (4, 0), (4, 4), (0, 4)), ring((2, 2), (2, 5), (5, 5), (5, 2))
     got = spark.range(3).selectExpr("id", f"if(id = 1, null, {big}) as a", f"if(id = 2, slice({small}, 1, 0), {small}) as b").select("id", merge.shared("a", "b").alias("s")).orderBy("id").collect()
     assert [got[0].s.area, got[0].s.least, got[1].s, got[2].s.area] == [4.0, 9.0, None, 0.0]
+
+
+def test_smart_simplification_is_computed_once(spark):
+    from tilelake.plans import queries
+
+    found = queries.smart_simplify_kept(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ring(") == 1 and "zip_with" not in plan  # areas come from batches too
+    assert found.where("few and like and valid").count() == found.count() == 1000

@@ -690,8 +690,9 @@ def _hexagon():
 POINTS = "5 + (det_id*37)%396"
 
 
-def _waves(rows: DataFrame) -> DataFrame:
-    """A ring of 5 to 400 points around each box for the simplifiers: smooth, wavy, or with a short tooth at every second point."""
+def _waves(rows: DataFrame, once: bool = False) -> DataFrame:
+    """A ring of 5 to 400 points around each box for the simplifiers: smooth, wavy, or with a short tooth at every second point;
+    once: not made again by each function that takes it."""
 
     @F.arrow_udf("array<struct<x:double,y:double>>")
     def ring(k: pa.Array, n: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
@@ -707,14 +708,15 @@ def _waves(rows: DataFrame) -> DataFrame:
             done.append(np.stack([cx[at : at + 256][of] + far * np.cos(turn), cy[at : at + 256][of] + far * np.sin(turn)], axis=1))
         return merge.rings_array(np.concatenate(done) if done else np.zeros((0, 2)), n, np.zeros(len(n), bool))
 
+    ring = ring.asNondeterministic() if once else ring
     return _spread(rows, "det_id").withColumn("polygon", ring(F.col("det_id") % 3, F.expr(POINTS), *boxes.center()))
 
 
 @query(f"with {DET} select det_id, {POINTS} as points, {POINTS} + 1 <= 40 as as_it_was, true as few, true as like, true as valid from det")
 def smart_simplify_kept(s, d):
-    rows = _waves(det(s, d)).withColumn("s", merge.smart_simplified("polygon", 40))
+    rows = _waves(det(s, d), once=True).withColumn("s", merge.smart_simplified("polygon", 40))
     n, m = F.size("polygon"), F.size("s")
-    share = rings.area(F.col("s")) / rings.area(F.col("polygon"))
+    share = merge.area("s") / merge.area("polygon")
     return rows.select("det_id", n.cast("bigint").alias("points"), (F.col("s") == F.col("polygon")).alias("as_it_was"), (m + 1 <= 40).alias("few"), share.between(0.9, 1.1).alias("like"), merge.is_valid("s").alias("valid"))
 
 
