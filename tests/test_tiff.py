@@ -99,3 +99,24 @@ def test_first_kept_reads_no_more_than_it_needs(spark, tmp_path):
         del tiling.TESTS["counted"]
     assert sorted((r.path[-6], r.patch_id, r.x, r.y) for r in got) == [("0", 0, 0, 96), ("0", 1, 32, 96), ("0", 2, 0, 128), ("1", 0, 0, 992), ("1", 1, 32, 992)]
     assert read.value == 2 * (7 + 32 + 2)  # of the first slide 1 + 2 + 4 rows of 32
+
+
+def test_many_small_slides_share_tasks(spark, tmp_path, monkeypatch):
+    image = {i: drawn(64, 64 if i % 3 else 20, 3, i) for i in range(400)}
+    for i, a in image.items():
+        (tmp_path / f"{i}.tiff").write_bytes(tiff.encoded([a], 16, deflate=i % 2 == 0))
+    rows = tiff.tiles(spark, str(tmp_path), 32, 0.5, band=32)
+    assert rows.rdd.getNumPartitions() <= 140  # a task for each of 532 bands before
+    got = {(int(r.path.rsplit("/", 1)[1][:-5]), r.x, r.y): r.image for r in rows.collect()}
+    assert got == {(i, x, y): a[y : y + 32, x : x + 32].tobytes() for i, a in image.items() if i % 3 for y in (0, 16, 32) for x in (0, 16, 32)}
+    part = tiff.tiles(spark, str(tmp_path), 32, 0.5, band=32, x=(16, 17), y=(20, 50)).collect()
+    assert len(part) == 266 and {(r.x, r.y) for r in part} == {(16, 32)}
+    with monkeypatch.context() as m:  # bands known to planning go together as well, in their order
+        m.setattr(tiff, "MANY", 1000)
+        reader = tiff.TileReader({"path": str(tmp_path), "tile": "32", "overlap": "0.5", "band": "32"})
+        parts = reader.partitions()
+        bands = [b for p in parts for b in ([p] if isinstance(p, tiff.Band) else p.bands)]
+        assert len(parts) <= 200 and len(bands) == 532 and [b.path for b in bands] == sorted(b.path for b in bands)
+        assert sum(b.num_rows for p in parts for b in reader.read(p)) == len(got)
+    wide = tiff.Band("a", 0, (0, 4096, 512), (0, 100_000, 512))
+    assert tiff.packed([wide] * 3, 512) == [wide] * 3

@@ -537,7 +537,7 @@ def _drawn(s: SparkSession, d: str) -> str:
     k = F.col("p_partkey")
     parts = table(s, d, "part").select(k.alias("k"), F.floor(k / 16).alias("slide"))
     groups = parts.withColumn("g", F.pmod(F.xxhash64("slide"), F.lit(64)))
-    groups.groupBy("g").applyInPandas(run, "path string").write.format("noop").mode("overwrite").save()
+    groups.repartition(64, "g").groupBy("g").applyInPandas(run, "path string").write.format("noop").mode("overwrite").save()
     return folder
 
 

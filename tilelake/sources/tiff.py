@@ -10,12 +10,12 @@ Two formats are registered by ``register``:
 - ``slide_metadata``: a row a file, as in ``schemas.SLIDES`` without slide_id; what cannot be read has an error and null sizes
   (option ``permissive``, else it raises).
 - ``slide_tiles``: the tiles of a grid with their pixels (options ``tile``, ``overlap``, ``level``, ``band``), a partition for
-  each band of rows of each file. Options ``x_from``, ``x_to``, ``y_from``, ``y_to`` (of origins, the upper ones excluded) and
+  each band of rows of each file; where these are many and small, for several in turn. Options ``x_from``, ``x_to``, ``y_from``, ``y_to`` (of origins, the upper ones excluded) and
   ``only`` (a JSON list of paths) choose partitions and tiles before anything is read. (Conditions are not taken by ``pushFilters``: Spark 4.1
   keeps a relation's pushed conditions for later queries on the same DataFrame.)
 
-Paths may be files or folders on any file system that pyarrow knows. Planning reads each file's header, by threads of
-the driver; a hundred thousand files take minutes there.
+Paths may be files or folders on any file system that pyarrow knows. Planning reads the files' headers, by threads of
+the driver, but not those of small files among many.
 """
 
 from __future__ import annotations
@@ -44,6 +44,10 @@ METADATA = "path string, width bigint, height bigint, levels int, level_downsamp
 PIXELS = "path string, level int, x bigint, y bigint, size int, height int, width int, channels int, image binary"
 #: Bytes of pixels handed on at a time, and of stored tiles kept decoded.
 AT_A_TIME, KEPT = 1 << 25, 1 << 26
+#: Bands go together in a partition up to so many bytes of pixels, a band counting for ``BAND`` more, and as long as there are so many partitions.
+TOGETHER, BAND, PARTITIONS = 1 << 28, 1 << 20, 128
+#: Of more files than ``MANY``, those of up to ``SMALL`` bytes are not opened for planning; their tasks find out what they hold.
+MANY, SMALL = 256, 1 << 18
 #: Tags and the sizes of their types in bytes.
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, SAMPLES, ROWS_PER_STRIP, X_RESOLUTION, PLANAR, UNIT, PREDICTOR = 256, 257, 258, 259, 262, 277, 278, 282, 284, 296, 317
 STRIP_OFFSETS, STRIP_BYTES, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_BYTES = 273, 279, 322, 323, 324, 325
@@ -64,14 +68,20 @@ def opened(path: str):
 
 def listed(path: str, extensions: tuple[str, ...] = EXTENSIONS) -> list[str]:
     """The slide files under a path, in order; a file is its own listing, a missing path raises."""
+    return [name for name, _ in sized(path, extensions)]
+
+
+def sized(path: str, extensions: tuple[str, ...] = EXTENSIONS) -> list[tuple[str, int]]:
+    """``listed`` with the files' bytes."""
     from pyarrow import fs
 
     system, name = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
     prefix = path[: len(path) - len(name)] if path.endswith(name) else ""
-    if system.get_file_info(name).type == fs.FileType.File:
-        return [path]
+    info = system.get_file_info(name)
+    if info.type == fs.FileType.File:
+        return [(path, info.size)]
     found = system.get_file_info(fs.FileSelector(name, recursive=False))
-    return sorted(prefix + f.path for f in found if f.type == fs.FileType.File and f.extension.lower() in extensions)
+    return sorted((prefix + f.path, f.size) for f in found if f.type == fs.FileType.File and f.extension.lower() in extensions)
 
 
 @dataclass
@@ -208,12 +218,33 @@ class Tiff:
 
 @dataclass
 class Band(InputPartition):
-    """Rows of tiles of one file that a task reads."""
+    """Rows of tiles of one file that a task reads; without them, all that are asked for."""
 
     path: str
     level: int
-    ys: tuple[int, int, int]
-    xs: tuple[int, int, int]
+    ys: tuple[int, int, int] | None = None
+    xs: tuple[int, int, int] | None = None
+
+
+@dataclass
+class Bands(InputPartition):
+    """Small bands that a task reads in turn."""
+
+    bands: list[Band]
+
+
+def packed(bands: list[Band], tile: int) -> list[Band | Bands]:
+    """Bands in their order, small ones together."""
+    weight = [(len(range(*b.ys)) * len(range(*b.xs)) * tile * tile * 3 if b.ys else 0) + BAND for b in bands]
+    most = min(TOGETHER, sum(weight) // PARTITIONS)
+    heaps, held = [], most + 1
+    for b, w in zip(bands, weight):
+        if held + w > most:
+            heaps.append([])
+            held = 0
+        heaps[-1].append(b)
+        held += w
+    return [h[0] if len(h) == 1 else Bands(h) for h in heaps]
 
 
 def _places(low: int, high: int, extent: int, tile: int, step: int) -> range:
@@ -234,37 +265,46 @@ class TileReader(DataSourceReader):
         self.x, self.y = ((_option(options, f"{c}_from", 0), _option(options, f"{c}_to", 1 << 40)) for c in "xy")
         self.only = set(json.loads(_option(options, "only", "null")) or ()) or None
 
-    def partitions(self) -> list[Band]:
-        paths = [p for p in listed(self.files) if self.only is None or p in self.only]
+    def partitions(self) -> list[Band | Bands]:
+        files = [(p, n) for p, n in sized(self.files) if self.only is None or p in self.only]
+        unseen = {p for p, n in files if n <= SMALL} if len(files) > MANY else set()
         with ThreadPoolExecutor(32) as pool:
-            found = list(pool.map(self._size, paths))
+            places = dict(zip(seen := [p for p, _ in files if p not in unseen], pool.map(self._grid, seen)))
         out = []
         rows = max(1, self.band // self.step)
-        for path, (width, height) in zip(paths, found):
-            xs, ys = _places(*self.x, width, self.tile, self.step), _places(*self.y, height, self.tile, self.step)
+        for path, _ in files:
+            if path in unseen:
+                out.append(Band(path, self.level))
+                continue
+            xs, ys = places[path]
             for k in range(0, len(ys) if len(xs) else 0, rows):
                 part = ys[k : k + rows]
                 out.append(Band(path, self.level, (part.start, part.stop, part.step), (xs.start, xs.stop, xs.step)))
-        return out
+        return packed(out, self.tile)
 
-    def _size(self, path: str) -> tuple[int, int]:
-        levels = Tiff(path).levels_of
-        return (levels[self.level].width, levels[self.level].height) if self.level < len(levels) else (0, 0)
+    def _grid(self, path: str, slide: Tiff | None = None) -> tuple[range, range]:
+        """Origins of the tiles of a file, across and down."""
+        levels = (slide or Tiff(path)).levels_of
+        width, height = (levels[self.level].width, levels[self.level].height) if self.level < len(levels) else (0, 0)
+        return _places(*self.x, width, self.tile, self.step), _places(*self.y, height, self.tile, self.step)
 
-    def read(self, band: Band) -> Iterator[pa.RecordBatch]:
-        if not isinstance(band, Band):  # a source without partitions is given one of Spark's own
+    def read(self, part: Band | Bands) -> Iterator[pa.RecordBatch]:
+        if not isinstance(part, Band | Bands):  # a source without partitions is given one of Spark's own
             return
-        slide = Tiff(band.path)
-        rows, held = [], 0
-        for y in range(*band.ys):
-            for x in range(*band.xs):
-                a = slide.region(x, y, self.tile, self.tile, band.level)
-                a = np.ascontiguousarray(np.repeat(a, 3, axis=2) if a.shape[2] == 1 else a[..., :3])
-                rows.append((band.path, band.level, x, y, self.tile, *a.shape, a.tobytes()))
-                held += a.nbytes
-                if held >= AT_A_TIME:
-                    yield _batch(rows)
-                    rows, held = [], 0
+        rows, held, slide = [], 0, None
+        for band in [part] if isinstance(part, Band) else part.bands:
+            if slide is None or slide.path != band.path:
+                slide = Tiff(band.path)
+            xs, ys = (range(*band.xs), range(*band.ys)) if band.ys else self._grid(band.path, slide)
+            for y in ys:
+                for x in xs:
+                    a = slide.region(x, y, self.tile, self.tile, band.level)
+                    a = np.ascontiguousarray(np.repeat(a, 3, axis=2) if a.shape[2] == 1 else a[..., :3])
+                    rows.append((band.path, band.level, x, y, self.tile, *a.shape, a.tobytes()))
+                    held += a.nbytes
+                    if held >= AT_A_TIME:
+                        yield _batch(rows)
+                        rows, held = [], 0
         if rows:
             yield _batch(rows)
 
